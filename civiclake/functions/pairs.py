@@ -22,13 +22,15 @@ def zip_pairs(categories: Column, values: Column) -> Column:
     """
     n_cat, n_val = F.size(categories), F.size(values)
     n = F.least(n_cat, n_val)
+    # both sides travel inside the list, so the lambda never recomputes one of them
+    both = F.arrays_zip(F.slice(categories, 1, n).alias("category"), F.slice(values, 1, n).alias("value"))
     paired = F.transform(
-        F.slice(categories, 1, n),
-        lambda cat, i: F.struct(
-            cat.alias("category"),
-            F.get(values, i).alias("value"),
+        both,
+        lambda p, i: F.struct(
+            p["category"].alias("category"),
+            p["value"].alias("value"),
             i.alias("pair_index"),
-            confidence(cat, F.get(values, i)).alias("confidence"),
+            confidence(p["category"], p["value"]).alias("confidence"),
         ),
     )
     quality = (

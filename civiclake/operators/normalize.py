@@ -72,3 +72,17 @@ def year_window(df: DataFrame, column: str, first: int, last: int, columns: list
     else:
         kept = df.where(c.between(first, last))
     return kept.select(*columns) if columns else kept
+
+
+def explode_rows(df: DataFrame, keep: list[str | Column], items: Column, name: str,
+                 position: str | None = None) -> DataFrame:
+    """One row per non-null element of a computed list.
+
+    Plain ``explode`` makes the optimizer add a ``size(list) > 0`` filter underneath,
+    which computes the list a second time; the outer form does not.
+    """
+    if position:
+        rows = df.select(*keep, F.posexplode_outer(items).alias(position, name))
+    else:
+        rows = df.select(*keep, F.explode_outer(items).alias(name))
+    return rows.where(F.col(name).isNotNull())

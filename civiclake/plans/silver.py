@@ -19,6 +19,7 @@ from ..functions.pairs import pair_at, pair_by_keyword, pair_value
 from ..functions.text import clean_text, normal_category, short_id, strip
 from ..operators.dedupe import dedupe_latest
 from ..operators.joins import valid_amendments
+from ..operators.normalize import explode_rows
 from ..sources.schemas import AMENDMENT_DOCUMENTS, LOAD_COLUMN
 
 MONEY_COLUMNS = [c for c in AMENDMENT_DOCUMENTS if c.startswith("valor_")]
@@ -81,11 +82,19 @@ GENERAL_FIELDS = [
 CONTRACT_FIELDS = [
     "numero_contrato_principal", "data_inicio", "prazo", "valor_contratado", "data_conclusao_paralisacao",
 ]
+WORK_SECTIONS = [
+    "general_info", "contract", "contracted", "fiscal_year_expenditures", "contract_amendment",
+    "cumulative_amount_paid",
+]
 AMENDMENT_FIELDS = ["prazo_aditado", "valor_aditado_acumulado"]
 
 
-def pairs_of(section: str) -> Column:
-    return F.col(f"{section}.paired_data")
+def pairs_only(pages: DataFrame, sections: list[str], keep: list[str]) -> DataFrame:
+    """Section structs reduced to their pair lists, one column each.
+
+    Kept as a projection of its own: the lists are read many times above it.
+    """
+    return pages.select(*keep, *[F.col(f"{s}.paired_data").alias(s) for s in sections])
 
 
 def section_columns(pairs: Column, keys: dict[str, str]) -> list[Column]:
@@ -95,19 +104,19 @@ def section_columns(pairs: Column, keys: dict[str, str]) -> list[Column]:
 
 def section_entries(df: DataFrame, keep: list[str], pairs: Column) -> DataFrame:
     """Long form of a section: one row per pair with its normalised category."""
-    return df.select(*keep, F.explode(pairs).alias("p")).select(
-        *keep, "p.pair_index", normal_category(F.col("p.category")).alias("category"), F.col("p.value").alias("value")
+    return explode_rows(df, keep, pairs, "p", position="pair_index").select(
+        *keep, "pair_index", normal_category(F.col("p.category")).alias("category"), F.col("p.value").alias("value")
     )
 
 
 def positional(section: str, names: list[str]) -> list[Column]:
     """Section whose pairs come in a fixed order: the n-th value feeds the n-th name."""
-    return [pair_at(pairs_of(section), i, "value").alias(name) for i, name in enumerate(names)]
+    return [pair_at(F.col(section), i, "value").alias(name) for i, name in enumerate(names)]
 
 
 def contracted_columns() -> list[Column]:
     """Contractor section: label and value sides of its first two pairs all carry data."""
-    pairs = pairs_of("contracted")
+    pairs = F.col("contracted")
     return [
         pair_at(pairs, 0, "category").alias("numero_contrato_referencia"),
         pair_at(pairs, 0, "value").alias("cnpj_contratada"),
@@ -118,15 +127,16 @@ def contracted_columns() -> list[Column]:
 
 def flatten_works(pages: DataFrame) -> DataFrame:
     """Public-works pages (section structs) to one flat typed row each, in one projection."""
-    spending = pairs_of("fiscal_year_expenditures")
-    raw = pages.select(
+    kept = [c for c in ("work_location", "source_url", "extraction_date") if c in pages.columns]
+    spending = F.col("fiscal_year_expenditures")
+    raw = pairs_only(pages, WORK_SECTIONS, kept).select(
         *positional("general_info", GENERAL_FIELDS),
         *positional("contract", CONTRACT_FIELDS),
         *contracted_columns(),
         *[pair_by_keyword(spending, SPENDING_RULES, t).alias(t) for t in SPENDING_RULES],
         *positional("contract_amendment", AMENDMENT_FIELDS),
         *positional("cumulative_amount_paid", ["valor_pago_acumulado"]),
-        *[c for c in ("work_location", "source_url", "extraction_date") if c in pages.columns],
+        *kept,
     )
     typed: dict[str, Column] = {}
     for c in ("descricao_obra", "etapa_obra", "responsavel_inexecucao", "motivo_inexecucao",
@@ -147,7 +157,7 @@ def flatten_works(pages: DataFrame) -> DataFrame:
 
 def work_documents(pages: DataFrame, only_http: bool = False) -> DataFrame:
     """One row per document link of a work; links without a target are skipped."""
-    exploded = pages.select("source_url", F.explode(pairs_of("all_documents")).alias("p")).where(
+    exploded = explode_rows(pages, ["source_url"], F.col("all_documents.paired_data"), "p").where(
         F.coalesce(F.col("p.value") != "", F.lit(False))
     )
     out = exploded.select(

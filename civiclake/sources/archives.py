@@ -89,7 +89,7 @@ def parse_profiles(
                     row = {"id_lattes": member, "error": f"{type(exc).__name__}: {exc}"}
                 if row is not None:
                     out.append(row)
-            yield pd.DataFrame(out, columns=PROFILE_COLUMNS)
+            yield pd.DataFrame({c: pd.Series([row.get(c) for row in out], dtype=object) for c in PROFILE_COLUMNS})
 
     parsed = archives.select("path", "content").mapInPandas(parse, PROFILE_SCHEMA)
     rejects = parsed.where("error IS NOT NULL").select("id_lattes", "error")

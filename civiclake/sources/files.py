@@ -89,17 +89,19 @@ def read_layout_csv(
         spark.read.schema(schema)
         .option("sep", separator).option("encoding", encoding).option("escape", '"')
         .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", RAW)
-        .option("multiLine", str(multi_line).lower())
+        .option("multiLine", str(multi_line).lower()).option("columnPruning", "false")
         .option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)
         .csv(root)
         .withColumn("_file", F.col("_metadata.file_name"))
     )
-    # the raw text is only set for lines whose width differs, so the count is rare work
-    too_long = F.col(RAW).isNotNull() & (field_count(F.col(RAW), separator) > len(columns))
+    # The raw text is set only for lines whose width differs; other lines count as ''.
+    # (Spark also wants a parsed column in every query on the raw text.)
+    line = F.coalesce(F.col(RAW), F.substring(columns[0], 1, 0), F.lit(""))
+    too_long = field_count(line, separator) > len(columns)
     rows = lines.where(~too_long).select(
         *[_without_tokens(F.col(c), na_tokens).alias(c) for c in columns], "_file"
     )
-    rejects = lines.where(too_long).select(F.col(RAW).alias("raw"), F.col("_file"))
+    rejects = lines.where(too_long).select(line.alias("raw"), "_file")
     return rows, rejects
 
 

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.normalize import explode_rows
+
 MAP = "map<string,string>"
 
 
@@ -18,14 +20,8 @@ def explode_payload(df: DataFrame, payload: str, element: str | T.DataType = MAP
     ddl = element if isinstance(element, str) else element.simpleString()
     parsed = F.from_json(payload, f"struct<recordsTotal: bigint, data: array<{ddl}>>")
     keep = [c for c in df.columns if c != payload]
-    return (
-        df.withColumn("_p", parsed)
-        .select(
-            *keep,
-            F.coalesce("_p.recordsTotal", F.lit(0).cast("bigint")).alias("records_total"),
-            F.explode("_p.data").alias("record"),
-        )
-    )
+    total = F.coalesce("_p.recordsTotal", F.lit(0).cast("bigint")).alias("records_total")
+    return explode_rows(df.withColumn("_p", parsed), [*keep, total], F.col("_p.data"), "record")
 
 
 def map_fields(record: Column, mapping: dict[str, str], null_when_missing: set[str] = frozenset()) -> list[Column]:
@@ -102,7 +98,7 @@ def unit_dictionary(df: DataFrame, payload: str) -> DataFrame:
     """``{pojo: {unidades: [{codigo, denominacaoPara}]}}`` to (code, name)."""
     unit = "struct<codigo: string, denominacaoPara: string>"
     parsed = F.from_json(payload, f"struct<pojo: struct<unidades: array<{unit}>>>")
-    return df.select(F.explode(parsed["pojo"]["unidades"]).alias("u")).select(
+    return explode_rows(df, [], parsed["pojo"]["unidades"], "u").select(
         F.col("u.codigo").alias("cod_unidade_gestora"),
         F.trim(F.replace("u.denominacaoPara", F.lit("para"), F.lit(""))).alias("nome_unidade_gestora"),
     )
@@ -112,7 +108,7 @@ def allowance_files(df: DataFrame, payload: str, base_url: str) -> DataFrame:
     """``{rows: [{arquivo, data_publicacao, descricao}]}`` to file records."""
     row = "struct<arquivo: string, data_publicacao: string, descricao: string>"
     parsed = F.from_json(payload, f"struct<rows: array<{row}>>")
-    return df.select(F.explode(parsed["rows"]).alias("r")).select(
+    return explode_rows(df, [], parsed["rows"], "r").select(
         F.concat(F.lit(base_url), "r.arquivo").alias("url"),
         F.col("r.data_publicacao").alias("publication_date"),
         F.col("r.descricao").alias("description"),

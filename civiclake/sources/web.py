@@ -11,8 +11,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.pairs import list_quality, success_grade, zip_pairs
+from ..functions.pairs import success_grade, zip_pairs
 from ..functions.text import clean_html_list
+from ..operators.normalize import explode_rows
 
 
 def tag_text(tag: str, css_class: str | None = None) -> str:
@@ -98,22 +99,36 @@ def extract_sections(pages: DataFrame, url: str, html: str, sections: dict[str,
 
     A section counts as extracted when its area holds at least one value; the summary
     gives processed / successful / failed counts, the rate and its grade.
+
+    The work is laid out in layers (areas, raw matches, cleaned lists, pairs).  Each
+    layer is used more than once by the next, so it stays a projection of its own and
+    every pattern runs once per page.
     """
-    columns, found = [], []
-    for name, section in sections.items():
-        raw_values = find_all(section.area(F.col(html)), section.values)
-        values = clean_html_list(raw_values)
-        if section.categories:
-            labels = clean_html_list(find_all(section.area(F.col(html)), section.categories))
-            column = zip_pairs(labels, values)
-        else:
-            column = values
-        columns.append(column.alias(name))
-        columns.append(list_quality(raw_values, values).alias(f"{name}_quality"))
-        found.append(f"{name}_quality")
-    wide = pages.select(F.col(url).alias("source_url"), *columns)
-    ok = sum((F.when(F.col(f"{q}.status") != "no_data", 1).otherwise(0) for q in found), F.lit(0))
-    return wide.withColumn("extraction_summary", summary(F.lit(len(found)), ok)).drop(*found)
+    areas: dict[tuple, str] = {}
+    for section in sections.values():
+        areas.setdefault((section.scope, section.scope_end), f"_area{len(areas)}")
+    by_scope = {(s.scope, s.scope_end): s for s in sections.values()}
+    layer = pages.select(
+        F.col(url).alias("source_url"),
+        *[by_scope[scope].area(F.col(html)).alias(name) for scope, name in areas.items()],
+    )
+    raw, cleaned = [], []
+    for i, section in enumerate(sections.values()):
+        area = F.col(areas[(section.scope, section.scope_end)])
+        for kind, pattern in (("v", section.values), ("c", section.categories)):
+            if pattern:
+                raw.append(find_all(area, pattern).alias(f"_{kind}{i}"))
+                cleaned.append(clean_html_list(F.col(f"_{kind}{i}")).alias(f"_{kind}{i}"))
+    ok = sum((F.when(F.size(f"_v{i}") > 0, 1).otherwise(0) for i in range(len(sections))), F.lit(0))
+    layer = layer.select("source_url", *raw)
+    layer = layer.select("source_url", *cleaned, ok.alias("_ok"))
+    columns = [
+        (zip_pairs(F.col(f"_c{i}"), F.col(f"_v{i}")) if section.categories else F.col(f"_v{i}")).alias(name)
+        for i, (name, section) in enumerate(sections.items())
+    ]
+    return layer.select(
+        "source_url", *columns, summary(F.lit(len(sections)), F.col("_ok")).alias("extraction_summary")
+    )
 
 
 def summary(total: Column, ok: Column) -> Column:
@@ -131,7 +146,7 @@ def summary(total: Column, ok: Column) -> Column:
 def links(pages: DataFrame, url: str, html: str, css_class: str | None = None) -> DataFrame:
     """One row per link of a listing page, in page order."""
     found = find_all(F.col(html), tag_attribute("a", "href", css_class))
-    return pages.select(F.col(url).alias("page_url"), F.posexplode(found).alias("position", "href"))
+    return explode_rows(pages, [F.col(url).alias("page_url")], found, "href", position="position")
 
 
 def next_page(html: Column) -> Column:
