@@ -1,4 +1,4 @@
 """Query catalogue: importing it registers every query."""
 
-from . import landing, parsing, shaping  # noqa: F401
+from . import lake, landing, parsing, relational, shaping  # noqa: F401
 from .registry import ORACLES, QUERIES  # noqa: F401

@@ -311,50 +311,53 @@ def exists_any(spark, d):
 
 
 PUBLIC_WORK_HTML = """concat(
-  '<div class="row-details introducao"><div class="group-title">Modalidade</div><div class="card-info"> TP ', o_orderkey, '/2020 </div>',
-  '<div class="group-title">Descrição</div><div class="card-info"><b>Obra</b>  ', o_orderpriority, '</div>',
-  '<div class="group-title">Situação</div><div class="card-info">', CASE o_orderstatus WHEN 'F' THEN 'Concluída' WHEN 'O' THEN 'em Andamento' ELSE 'Contrato Rescindido' END, '</div>',
+  '<div class="row-details introducao"><div class="group-title">Modalidade</div><div class="card-info"> TP ', id, '/2020 </div>',
+  '<div class="group-title">Descrição</div><div class="card-info"><b>Obra</b>  ', setor, '</div>',
+  '<div class="group-title">Situação</div><div class="card-info">', CASE situ WHEN 'F' THEN 'Concluída' WHEN 'O' THEN 'em Andamento' ELSE 'Contrato Rescindido' END, '</div>',
   '<div class="group-title">Etapa</div><div class="card-info">-</div>',
-  '<div class="group-title">Concluído</div><div class="card-info">', o_orderkey % 100, ',5%</div></div>',
+  '<div class="group-title">Concluído</div><div class="card-info">', id % 100, ',5%</div></div>',
   '<div class="row-group bigCard contrato"><div class="row-cards">',
-  '<div class="row-card"><div class="card-title">Contrato</div><div class="card-info">', o_orderkey, '/2019</div></div>',
-  '<div class="row-card"><div class="card-title">Início</div><div class="card-info">', date_format(o_orderdate, 'dd/MM/yyyy'), '</div></div>',
-  '<div class="row-card"><div class="card-title">Prazo</div><div class="card-info">', o_custkey % 300, ' dias</div></div>',
+  '<div class="row-card"><div class="card-title">Contrato</div><div class="card-info">', id, '/2019</div></div>',
+  '<div class="row-card"><div class="card-title">Início</div><div class="card-info">', date_format(inicio, 'dd/MM/yyyy'), '</div></div>',
+  '<div class="row-card"><div class="card-title">Prazo</div><div class="card-info">', id % 300, ' dias</div></div>',
   '<div class="row-card"><div class="card-title">Valor</div><div class="card-info">R$ ', {money}, '</div></div></div></div>',
   '<div class="row-group bigCard contratado"><div class="row-cards">',
-  '<div class="row-card"><div class="card-title">', o_orderkey, '</div><div class="card-info">00.000.', lpad(o_custkey % 1000, 3, '0'), '/0001-00</div></div>',
-  CASE WHEN o_orderkey % 2 = 0 THEN '' ELSE concat('<div class="row-card"><div class="card-title">01/01/2020</div><div class="card-info">EMPRESA ', o_custkey, '</div></div>') END, '</div></div>',
+  '<div class="row-card"><div class="card-title">', id, '</div><div class="card-info">00.000.', lpad(id % 1000, 3, '0'), '/0001-00</div></div>',
+  CASE WHEN id % 2 = 0 THEN '' ELSE concat('<div class="row-card"><div class="card-title">01/01/2020</div><div class="card-info">EMPRESA ', id, '</div></div>') END, '</div></div>',
   '<div class="row-group bigCard valorPagoAcum"><div class="group-title">Pago</div><div class="card-info">',
-  CASE WHEN o_orderkey % 5 = 0 THEN '-' ELSE {money} END, '</div></div>',
-  '<section class="description-obra allDocuments">', array_join(transform(sequence(1L, o_orderkey % 3 + 1), i ->
-    concat('<div class="attachment"><p class="cardTitle"> Doc  ', i, '</p><div class="button"><a href="', CASE WHEN i = 3 THEN '' ELSE concat('https://obras.example.org/', o_orderkey, '/', i, '.pdf') END, '">Abrir</a></div></div>')), ''), '</section>')"""
+  CASE WHEN id % 5 = 0 THEN '-' ELSE {money} END, '</div></div>',
+  '<section class="description-obra allDocuments">', array_join(transform(sequence(1L, id % 3 + 1), i ->
+    concat('<div class="attachment"><p class="cardTitle"> Doc  ', i, '</p><div class="button"><a href="', CASE WHEN i = 3 THEN '' ELSE concat('https://obras.example.org/', id, '/', i, '.pdf') END, '">Abrir</a></div></div>')), ''), '</section>')"""
 
 
 def _work_pages(spark, d) -> DataFrame:
-    """Public-works detail pages derived from every order, with their sections extracted."""
-    from .parsing import MONEY_TEXT
-
-    html = F.expr(PUBLIC_WORK_HTML.replace("{money}", MONEY_TEXT))
-    landed = table(spark, d, "orders").select(
-        F.concat(F.lit("https://obras.example.org/obra/"), F.col("o_orderkey").cast("string")).alias("url"), html.alias("html"))
+    """Public-works detail pages derived from every customer, with their sections extracted."""
+    html = F.expr(PUBLIC_WORK_HTML.replace("{money}", "translate(format_number(valor, 2), ',.', '.,')"))
+    landed = table(spark, d, "customer").selectExpr(
+        "c_custkey AS id", "c_mktsegment AS setor", "CAST(c_acctbal AS DECIMAL(18,2)) AS valor",
+        "substr('FOP', c_nationkey % 3 + 1, 1) AS situ", "date_add(DATE '2020-01-01', CAST(c_custkey % 1000 AS INT)) AS inicio",
+    ).select(
+        F.concat(F.lit("https://obras.example.org/obra/"), F.col("id").cast("string")).alias("url"), html.alias("html"))
     return web.extract_sections(landed, "url", "html", web.PUBLIC_WORK_SECTIONS)
 
 
-DUCK_WORK_ID = "substr(sha256('https://obras.example.org/obra/' || o_orderkey), 1, 16)"
+DUCK_WORKS = """(SELECT c_custkey AS id, c_mktsegment AS setor, CAST(c_acctbal AS DECIMAL(18,2)) AS valor,
+  substr('FOP', c_nationkey % 3 + 1, 1) AS situ, DATE '2020-01-01' + CAST(c_custkey % 1000 AS INTEGER) AS inicio FROM customer)"""
+DUCK_WORK_ID = "substr(sha256('https://obras.example.org/obra/' || id), 1, 16)"
 
 
 @query("works_flatten", f"""
-SELECT {DUCK_WORK_ID} AS obra_id, 'TOMADA DE PREÇO' AS tipo_modalidade, 'Obra ' || o_orderpriority AS descricao_obra,
-  CASE o_orderstatus WHEN 'F' THEN 'CONCLUIDA' WHEN 'O' THEN 'EM_ANDAMENTO' ELSE 'RESCINDIDA' END AS situacao,
-  CAST(NULL AS VARCHAR) AS etapa_obra, CAST(CAST(o_orderkey % 100 AS DECIMAL(9,4)) + 0.5 AS DECIMAL(9,4)) AS percentual_concluido,
-  CASE WHEN o_orderkey % 100 < 25 THEN '0-25%' WHEN o_orderkey % 100 < 50 THEN '25-50%' WHEN o_orderkey % 100 < 75 THEN '50-75%'
-    WHEN o_orderkey % 100 < 100 THEN '75-100%' END AS faixa_conclusao,
-  o_orderkey || '/2019' AS numero_contrato_principal, CAST(o_orderdate AS DATE) AS data_inicio, o_custkey % 300 AS prazo_dias,
-  CAST(o_totalprice AS DECIMAL(18,2)) AS valor_contratado,
-  '00.000.' || lpad(CAST(o_custkey % 1000 AS VARCHAR), 3, '0') || '/0001-00' AS cnpj_contratada,
-  CASE WHEN o_orderkey % 2 <> 0 THEN 'EMPRESA ' || o_custkey END AS razao_social_contratada,
-  CASE WHEN o_orderkey % 5 <> 0 THEN CAST(o_totalprice AS DECIMAL(18,2)) END AS valor_pago_acumulado
-FROM orders""")
+SELECT {DUCK_WORK_ID} AS obra_id, 'TOMADA DE PREÇO' AS tipo_modalidade, 'Obra ' || setor AS descricao_obra,
+  CASE situ WHEN 'F' THEN 'CONCLUIDA' WHEN 'O' THEN 'EM_ANDAMENTO' ELSE 'RESCINDIDA' END AS situacao,
+  CAST(NULL AS VARCHAR) AS etapa_obra, CAST(CAST(id % 100 AS DECIMAL(9,4)) + 0.5 AS DECIMAL(9,4)) AS percentual_concluido,
+  CASE WHEN id % 100 < 25 THEN '0-25%' WHEN id % 100 < 50 THEN '25-50%' WHEN id % 100 < 75 THEN '50-75%'
+    WHEN id % 100 < 100 THEN '75-100%' END AS faixa_conclusao,
+  id || '/2019' AS numero_contrato_principal, inicio AS data_inicio, id % 300 AS prazo_dias,
+  valor AS valor_contratado,
+  '00.000.' || lpad(CAST(id % 1000 AS VARCHAR), 3, '0') || '/0001-00' AS cnpj_contratada,
+  CASE WHEN id % 2 <> 0 THEN 'EMPRESA ' || id END AS razao_social_contratada,
+  CASE WHEN id % 5 <> 0 THEN valor END AS valor_pago_acumulado
+FROM {DUCK_WORKS}""")
 def works_flatten(spark, d):
     return silver.flatten_works(_work_pages(spark, d)).select(
         "obra_id", "tipo_modalidade", "descricao_obra", "situacao", "etapa_obra", "percentual_concluido",
@@ -363,9 +366,9 @@ def works_flatten(spark, d):
     )
 
 
-DUCK_DOCUMENTS = f"""SELECT o_orderkey, {DUCK_WORK_ID} AS obra_id, 'Doc ' || i AS documento_titulo,
-  'https://obras.example.org/' || o_orderkey || '/' || i || '.pdf' AS documento_url
-  FROM (SELECT *, unnest(generate_series(1, least(o_orderkey % 3 + 1, 2))) AS i FROM orders)"""
+DUCK_DOCUMENTS = f"""SELECT id, {DUCK_WORK_ID} AS obra_id, 'Doc ' || i AS documento_titulo,
+  'https://obras.example.org/' || id || '/' || i || '.pdf' AS documento_url
+  FROM (SELECT *, unnest(generate_series(1, least(id % 3 + 1, 2))) AS i FROM {DUCK_WORKS})"""
 
 
 @query("docs_explode", f"SELECT obra_id, documento_titulo, documento_url FROM ({DUCK_DOCUMENTS})")
@@ -375,9 +378,9 @@ def docs_explode(spark, d):
 
 
 @query("left_doc_join", f"""
-SELECT d.obra_id, d.documento_url, CASE WHEN o.o_orderstatus = 'F' THEN 'CONCLUIDA' WHEN o.o_orderstatus = 'O' THEN 'EM_ANDAMENTO' END AS situacao,
-  CASE WHEN o.o_orderstatus <> 'P' THEN CAST(o.o_totalprice AS DECIMAL(18,2)) END AS valor_contratado
-FROM ({DUCK_DOCUMENTS}) d LEFT JOIN orders o ON d.o_orderkey = o.o_orderkey""")
+SELECT d.obra_id, d.documento_url, CASE WHEN o.situ = 'F' THEN 'CONCLUIDA' WHEN o.situ = 'O' THEN 'EM_ANDAMENTO' END AS situacao,
+  CASE WHEN o.situ <> 'P' THEN o.valor END AS valor_contratado
+FROM ({DUCK_DOCUMENTS}) d LEFT JOIN {DUCK_WORKS} o ON d.id = o.id""")
 def left_doc_join(spark, d):
     from ..operators.joins import documents_with_works
 

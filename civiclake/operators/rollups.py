@@ -37,13 +37,15 @@ def phase_pivot(documents: DataFrame, key: str = "codigo_emenda", phase: str = "
     return documents.groupBy(key).agg(*phase_sums(F.col(phase), F.col(value)))
 
 
-def revenue_rollup(movements: DataFrame, levels: list[str], value: str) -> DataFrame:
+def revenue_rollup(movements: DataFrame, levels: list[str], value: str, count: str | None = None) -> DataFrame:
     """Totals for every prefix of the hierarchy, grand total included.
 
     The finest groups are built first; only those few rows are expanded into the
-    levels above.
+    levels above.  ``count`` names a column of movement counts if the input is already
+    summed up.
     """
-    finest = movements.groupBy(*levels).agg(F.sum(value).alias("_v"), F.count(value).alias("_n"))
+    n = F.sum(count) if count else F.count(value)
+    finest = movements.groupBy(*levels).agg(F.sum(value).alias("_v"), n.alias("_n"))
     return finest.rollup(*levels).agg(
         F.grouping_id().cast("bigint").alias("nivel"),
         F.sum("_v").cast(TOTAL).alias("valor"),

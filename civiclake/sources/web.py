@@ -51,8 +51,9 @@ class Section:
     def area(self, html: Column) -> Column:
         if not self.scope:
             return html
-        stop = rf"(?=(?:{self.scope_end})|\z)" if self.scope_end else r"\z"
-        return F.regexp_extract(html, rf"(?s){self.scope}(.*?){stop}", 1)
+        rest = F.get(F.split(html, self.scope, 2), F.lit(1))
+        inside = F.get(F.split(rest, self.scope_end, 2), F.lit(0)) if self.scope_end else rest
+        return F.coalesce(inside, F.lit(""))
 
 
 def _card(group: str) -> Section:
