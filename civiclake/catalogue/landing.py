@@ -132,17 +132,17 @@ def _zip_batches(df, member_suffix: str, key: str, text: str):
 
 
 @query("zip_csv_unpack", """
-SELECT lpad(CAST(o_orderkey AS VARCHAR), 8, '0') AS cnpj_basico, 'K' || o_orderkey || '.EMPRECSV' AS member, g AS line_no,
-  'Razao "' || g || '"; social' AS razao_social, CAST(o_custkey AS VARCHAR) AS capital_social
-FROM (SELECT o_orderkey, o_custkey, unnest(generate_series(0, o_orderkey % 3)) AS g FROM orders)""")
+SELECT lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS cnpj_basico, 'K' || c_custkey || '.EMPRECSV' AS member, g AS line_no,
+  'Razao "' || g || '"; social' AS razao_social, CAST(c_nationkey AS VARCHAR) AS capital_social
+FROM (SELECT c_custkey, c_nationkey, unnest(generate_series(0, c_custkey % 3)) AS g FROM customer)""")
 def zip_csv_unpack(spark, d):
-    key = F.col("o_orderkey")
+    key = F.col("c_custkey")
     line = lambda g: F.concat(
         F.lit('"'), F.lpad(key.cast("string"), 8, "0"), F.lit('";"Razao ""'), g.cast("string"),
-        F.lit('""; social";'), F.col("o_custkey").cast("string"),
+        F.lit('""; social";'), F.col("c_nationkey").cast("string"),
     )
     text = F.array_join(F.transform(F.sequence(F.lit(0).cast("bigint"), key % 3), line), "\r\n")
-    source = table(spark, d, "orders").select(F.concat(F.lit("K"), key.cast("string")).alias("name"), text.alias("body"))
+    source = table(spark, d, "customer").select(F.concat(F.lit("K"), key.cast("string")).alias("name"), text.alias("body"))
     rows, _ = archives.parse_zip_csv(
         _zip_batches(source, ".EMPRECSV", "name", "body"), ["cnpj_basico", "razao_social", "capital_social"]
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -65,18 +67,13 @@ def pair_by_keyword(pairs: Column, rules: dict[str, list[str]], target: str) ->
     of several pairs for one target the last wins.
     """
     names = list(rules)
-
-    def has_any(category: Column, words: list[str]) -> Column:
-        hit = F.lit(False)
-        for word in words:
-            hit = hit | category.contains(word)
-        return hit
+    any_of = {name: "|".join(re.escape(word) for word in rules[name]) for name in names}
 
     def owned(p: Column) -> Column:
         category = F.lower(p["category"])
-        mine = has_any(category, rules[target])
+        mine = category.rlike(any_of[target])
         for earlier in names[: names.index(target)]:
-            mine = mine & ~has_any(category, rules[earlier])
+            mine = mine & ~category.rlike(any_of[earlier])
         return F.coalesce(mine, F.lit(False))
 
     return F.try_element_at(F.filter(pairs, owned), F.lit(-1))["value"]

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.brazil import full_cnpj, is_valid_code, split_payee
+from ..functions.brazil import full_cnpj, is_valid_code, payee_cnpj
 from .skew import skew_join
 
 
@@ -44,10 +44,7 @@ def company_match(payments: DataFrame, establishments: DataFrame, payee: str = "
 
     ``establishments`` needs cnpj_basico, cnpj_ordem and cnpj_dv and one row per id.
     """
-    parsed = split_payee(F.col(payee))
-    with_id = payments.withColumn("_payee", parsed).where("_payee.kind = 'CNPJ'").select(
-        *payments.columns, F.col("_payee.id").alias("cnpj")
-    )
+    with_id = payments.withColumn("cnpj", payee_cnpj(F.col(payee)))
     keyed = establishments.withColumn(
         "cnpj", full_cnpj(F.col("cnpj_basico"), F.col("cnpj_ordem"), F.col("cnpj_dv"))
     )

@@ -8,20 +8,21 @@ from pyspark.sql import functions as F
 SALT = "_salt"
 
 
-def hot_keys(df: DataFrame, key: str, min_share: float = 0.05) -> tuple[list, bool]:
-    """Keys holding at least ``min_share`` of the rows, and whether null is one of them.
+def hot_keys(df: DataFrame, key: str, min_share: float = 0.05, fraction: float = 0.05) -> tuple[list, bool]:
+    """Keys holding about ``min_share`` of the rows or more, and whether null is one of them.
 
-    A frequent-items sketch over one column, merged map-side.  There can be no more than
-    1/min_share such keys, so the list is bounded whatever the data.  It steers the
-    layout only; results never depend on it.
+    A frequent-items sketch over a sample of one column, merged map-side.  There can be no
+    more than 1/min_share such keys, so the list is bounded whatever the data.  The list
+    only steers how rows are spread; every row is joined whatever it says.
     """
     limit = max(1, int(1 / min_share))
-    found = df.agg(
+    sample = df.select(key).sample(fraction, seed=17) if fraction < 1 else df.select(key)
+    found = sample.agg(
         F.expr(f"approx_top_k(`{key}`, {limit}, {max(limit * 50, 1000)})").alias("top"),
         F.count("*").alias("n"),
         F.count_if(F.col(key).isNull()).alias("nulls"),
     ).first()
-    floor = max(1, min_share * found["n"])
+    floor = max(2, min_share * found["n"])
     keys = [t["item"] for t in found["top"] or [] if t["item"] is not None and t["count"] >= floor]
     return keys, found["nulls"] >= floor
 
@@ -36,7 +37,7 @@ def skew_join(many: DataFrame, one: DataFrame, key: str, how: str = "inner", *,
     Without hot keys this is a plain join.
     """
     hot, hot_null = hot_keys(many, key, min_share) if min_share else ([], False)
-    if not hot and not hot_null:
+    if not hot and not (hot_null and how == "left"):
         return many.join(one, key, how)
     is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False)) if hot else F.lit(False)
     spread = F.pmod(F.xxhash64(*many.columns), F.lit(salts)).cast("int")
