@@ -236,7 +236,7 @@ FROM (SELECT url, CAST(regexp_matches(html, '(?s)<a\\b[^>]*?\\bhref="([^"]*)"')
   + CAST(regexp_matches(html, '(?s)<h1\\b[^>]*>(.*?)</h1>') AS BIGINT)
   + CAST(regexp_matches(html, '(?s)<img\\b[^>]*?\\bsrc="([^"]*)"') AS BIGINT) AS ok FROM pages)""")
 def section_summary(spark, d):
-    s = web.extract_sections(table(spark, d, "pages"), "url", "html", SUMMARY_SECTIONS)
+    s = web.extract_sections(table(spark, d, "pages"), "url", "html", SUMMARY_SECTIONS, require_values=True)
     return s.select("source_url", "extraction_summary.*")
 
 

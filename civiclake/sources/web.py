@@ -43,11 +43,15 @@ class Section:
     is a plain list of values.
     """
 
-    values: str
+    values: str | None
     categories: str | None = None
     scope: str | None = None
     scope_end: str | None = None
 
+    @property
+    def usable(self) -> bool:
+        return bool(self.values)
+
     def area(self, html: Column) -> Column:
         if not self.scope:
             return html
@@ -95,16 +99,20 @@ PUBLIC_WORK_SECTIONS = {
 }
 
 
-def extract_sections(pages: DataFrame, url: str, html: str, sections: dict[str, Section]) -> DataFrame:
+def extract_sections(pages: DataFrame, url: str, html: str, sections: dict[str, Section],
+                     require_values: bool = False) -> DataFrame:
     """One struct (or list) column per section plus ``extraction_summary``.
 
-    A section counts as extracted when its area holds at least one value; the summary
-    gives processed / successful / failed counts, the rate and its grade.
+    The summary gives processed / successful / failed counts, the rate and its grade.  A
+    section fails, and gets no column, if its configuration is unusable; with
+    ``require_values`` also if the page holds no value for it.
 
     The work is laid out in layers (areas, raw matches, cleaned lists, pairs).  Each
     layer is used more than once by the next, so it stays a projection of its own and
     every pattern runs once per page.
     """
+    total = len(sections)
+    sections = {name: s for name, s in sections.items() if s.usable}
     areas: dict[tuple, str] = {}
     for section in sections.values():
         areas.setdefault((section.scope, section.scope_end), f"_area{len(areas)}")
@@ -120,7 +128,10 @@ def extract_sections(pages: DataFrame, url: str, html: str, sections: dict[str,
             if pattern:
                 raw.append(find_all(area, pattern).alias(f"_{kind}{i}"))
                 cleaned.append(clean_html_list(F.col(f"_{kind}{i}")).alias(f"_{kind}{i}"))
-    ok = sum((F.when(F.size(f"_v{i}") > 0, 1).otherwise(0) for i in range(len(sections))), F.lit(0))
+    if require_values:
+        ok = sum((F.when(F.size(f"_v{i}") > 0, 1).otherwise(0) for i in range(len(sections))), F.lit(0))
+    else:
+        ok = F.lit(len(sections))
     layer = layer.select("source_url", *raw)
     layer = layer.select("source_url", *cleaned, ok.alias("_ok"))
     columns = [
@@ -128,7 +139,7 @@ def extract_sections(pages: DataFrame, url: str, html: str, sections: dict[str,
         for i, (name, section) in enumerate(sections.items())
     ]
     return layer.select(
-        "source_url", *columns, summary(F.lit(len(sections)), F.col("_ok")).alias("extraction_summary")
+        "source_url", *columns, summary(F.lit(total), F.col("_ok")).alias("extraction_summary")
     )
 
 
