@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from ..operators.normalize import year_window as window_of_years
-from ..operators.ranking import slice_by_rank, top_n
+from ..operators.ranking import sample_n, slice_by_rank, top_n
 from ..operators.rollups import truncation_audit as audit_truncation
 from ..session import scratch_path
 from ..sources import archives, files, payload, web
@@ -281,6 +281,12 @@ def preview_limit(spark, d):
     return top_n(orders, [F.col("o_totalprice").desc(), F.col("o_orderkey")], 10)
 
 
+@query("sample_rows", """
+SELECT o_orderkey, o_custkey, o_orderstatus FROM orders ORDER BY md5(o_orderkey || ':42'), o_orderkey LIMIT 10""")
+def sample_rows(spark, d):
+    return sample_n(table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus"), "o_orderkey", 10)
+
+
 @query("offset_slice", "SELECT doc_id, source, n_chars FROM documents ORDER BY doc_id LIMIT 50 OFFSET 100")
 def offset_slice(spark, d):
     return slice_by_rank(table(spark, d, "documents").select("doc_id", "source", "n_chars"), "doc_id", 100, 50)

@@ -333,7 +333,7 @@ SELECT *, CAST(len(fl) AS INTEGER) AS severity FROM (SELECT *, list_filter([
 
 
 @query("status_inconsistency", f"""
-SELECT o_orderkey, array_to_string(fl, ',') AS flags, severity, CAST(fin AS BIGINT) AS financeiro,
+SELECT o_orderkey, array_to_string(fl, ',') AS flags, severity, CAST(round(CAST(fin AS DECIMAL(18,4)), 0) AS BIGINT) AS financeiro,
   CASE WHEN list_contains(fl, 'FISICA_COMPLETA') THEN 'Rescindida mas ' || percentual || '.0% concluída' END AS descricao
 FROM ({DUCK_FLAGGED})""")
 def status_inconsistency(spark, d):
@@ -427,7 +427,8 @@ SELECT carga AS data_extracao, codigo_emenda, codigo_documento, CAST(year(l_ship
   CASE WHEN l_orderkey % 10 = 3 THEN 'FAVORECIDO COLETIVO' ELSE 'FORNECEDOR ' || l_partkey END AS favorecido_nome,
   CASE WHEN l_orderkey % 10 = 3 THEN 'outro' ELSE 'CNPJ' END AS favorecido_tipo
 FROM raw QUALIFY row_number() OVER (PARTITION BY codigo_emenda, codigo_documento ORDER BY carga DESC, l_linenumber % 6, strftime(l_shipdate, '%d/%m/%Y'),
-  CASE WHEN l_orderkey % 10 <> 3 THEN CAST(l_partkey AS VARCHAR) END, {PRICE}) = 1""")
+  CASE WHEN l_orderkey % 10 <> 3 THEN CAST(l_partkey AS VARCHAR) END,
+  translate(format('{{:,.2f}}', CAST({PRICE} AS DOUBLE)), ',.', '.,')) = 1""")
 def silver_emendas(spark, d):
     price = MONEY_TEXT.replace("o_totalprice", "l_extendedprice")
     raw = table(spark, d, "lineitem").select(

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import strip
+from .rollups import short_key
 
 # Tokens, keywords and labels are part of the published output.
 EMPTY_TOKENS = ["", "-", "NA", "None"]
@@ -52,19 +53,13 @@ def completeness(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 def mixed_score(df: DataFrame, column: str) -> DataFrame:
     """How strongly a column mixes dates, remarks and keywords (0 to 100), with its counts."""
     c = F.col(column)
-    # distinct values are counted from per-value subtotals: one shuffle of distinct texts
-    per_value = df.where(c.isNotNull()).groupBy(c).agg(F.count("*").alias("_n"))
-    weight = F.col("_n")
-
-    def rows_where(condition: Column) -> Column:
-        return F.coalesce(F.sum(F.when(condition, weight)), F.lit(0)).cast("bigint")
-
-    counted = per_value.agg(
-        rows_where(c.rlike(r"\d{2}/\d{2}/\d{4}")).alias("with_date"),
-        rows_where(c.rlike(r"\([^)]+\)")).alias("with_parentheses"),
-        F.coalesce(F.sum(weight), F.lit(0)).cast("bigint").alias("total"),
-        F.count("*").alias("distinct_values"),
-        *[rows_where(F.upper(c).contains(k)).alias(f"kw_{i}") for i, k in enumerate(MIXED_KEYWORDS)],
+    upper = F.upper(c)
+    counted = df.where(c.isNotNull()).agg(
+        F.count_if(c.rlike(r"\d{2}/\d{2}/\d{4}")).alias("with_date"),
+        F.count_if(c.rlike(r"\([^)]+\)")).alias("with_parentheses"),
+        F.count("*").alias("total"),
+        F.count_distinct(short_key(c)).alias("distinct_values"),
+        *[F.count_if(upper.contains(k)).alias(f"kw_{i}") for i, k in enumerate(MIXED_KEYWORDS)],
     )
     found = F.map_filter(
         F.map_from_arrays(

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .joins import orphans
-from .rollups import duplicate_keys, union_all
+from .rollups import duplicate_keys, short_key, union_all
 
 ERROR, WARN = "error", "warn"
 
@@ -42,8 +43,10 @@ def not_null(df: DataFrame, rules: list[Rule]) -> DataFrame:
 
 def unique(df: DataFrame, rule: Rule) -> DataFrame:
     """Repeated non-null keys."""
-    keyed = df.where(F.col(rule.column).isNotNull())
-    return duplicate_keys(keyed, [rule.column]).agg(F.count("*").alias("failures")).select(
+    c = F.col(rule.column)
+    key = short_key(c) if isinstance(df.schema[rule.column].dataType, T.StringType) else c
+    keyed = df.where(c.isNotNull()).select(key.alias("key"))
+    return duplicate_keys(keyed, ["key"]).agg(F.count("*").alias("failures")).select(
         F.lit(rule.name).alias("rule"), "failures"
     )
 
@@ -85,7 +88,7 @@ def run_rules(tables: dict[str, DataFrame], rules: list[Rule], now: datetime | N
             elif rule.kind == "relationships":
                 parts.append(relationships(df, rule, tables[rule.parent[0]]))
             elif rule.kind == "freshness":
-                parts.append(freshness(df, rule, now or datetime.utcnow()))
+                parts.append(freshness(df, rule, now or datetime.now(timezone.utc)))
             elif rule.kind != "not_null":
                 raise ValueError(f"unknown rule kind {rule.kind!r}")
     facts = {r.name: r for r in rules}

@@ -17,6 +17,12 @@ def top_n(df: DataFrame, order: list[Column], n: int) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
+def sample_n(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
+    """``n`` rows drawn by a keyed hash: the same rows every time, one small heap per task."""
+    order = F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed))))
+    return df.orderBy(order, F.col(key)).limit(n)
+
+
 def global_index(df: DataFrame, order: list[Column], index: str = "_index") -> DataFrame:
     """Zero-based position of every row under ``order``.
 

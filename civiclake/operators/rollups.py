@@ -7,7 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.brazil import MONEY, PHASES
+from ..functions.brazil import PHASES
+from ..functions.pairs import summary
 
 TOTAL = "decimal(28,2)"
 PHASE_COLUMNS = dict(zip(PHASES, ["empenho", "liquidacao", "pagamento"]))
@@ -97,8 +98,19 @@ def duplicate_summary(df: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def money(c: Column) -> Column:
-    return c.cast(MONEY)
+def short_key(c: Column) -> Column:
+    """Long texts replaced by their SHA-256, so that grouping by them shuffles little.
+
+    Digests carry a prefix that makes them longer than any text left as it is.
+    """
+    return F.when(F.length(c) > 64, F.concat(F.lit("sha256:"), F.sha2(c, 256))).otherwise(c)
+
+
+def section_summary(sections: DataFrame, key: str, ok: str) -> DataFrame:
+    """Processed, successful and failed sections per page, the rate and its grade."""
+    return sections.groupBy(key).agg(
+        F.count("*").alias("_n"), F.count_if(F.col(ok)).alias("_ok")
+    ).select(key, summary(F.col("_n"), F.col("_ok")).alias("s")).select(key, "s.*")
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:

@@ -33,14 +33,16 @@ def skew_join(many: DataFrame, one: DataFrame, key: str, how: str = "inner", *,
 
     ``one`` is meant to be unique per key.  Rows of a hot key are spread over ``salts``
     tasks, and only the few rows of ``one`` that carry a hot key are repeated.  The salt
-    is a hash of the row, so a retried task sends every row where the first attempt did.
+    is a hash of the row and its input partition, so copies of one row spread as well, and
+    a retried task sends every row where the first attempt did.
     Without hot keys this is a plain join.
     """
     hot, hot_null = hot_keys(many, key, min_share) if min_share else ([], False)
     if not hot and not (hot_null and how == "left"):
         return many.join(one, key, how)
     is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False)) if hot else F.lit(False)
-    spread = F.pmod(F.xxhash64(*many.columns), F.lit(salts)).cast("int")
+    hashable = [f.name for f in many.schema.fields if "map<" not in f.dataType.simpleString()]
+    spread = F.pmod(F.xxhash64(*hashable, F.spark_partition_id()), F.lit(salts)).cast("int")
     # null keys match nothing, so they may go anywhere
     salted = many.withColumn(SALT, F.when(is_hot | F.col(key).isNull(), spread).otherwise(0))
     copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))

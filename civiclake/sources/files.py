@@ -21,8 +21,12 @@ def read_jsonl(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     return spark.read.schema(strings(columns)).json(path)
 
 
-def write_jsonl(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+def write_jsonl(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
+    """JSON Lines; ``partition_by`` gives every value (a management unit, say) a folder of its own."""
+    writer = df.write.mode("overwrite").option("ignoreNullFields", "false")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.json(path)
 
 
 def read_json_documents(spark: SparkSession, path: str, schema) -> DataFrame:
@@ -94,10 +98,10 @@ def read_layout_csv(
         .csv(root)
         .withColumn("_file", F.col("_metadata.file_name"))
     )
-    # The raw text is set only for lines whose width differs; other lines count as ''.
-    # (Spark also wants a parsed column in every query on the raw text.)
+    # The raw text is set only for lines whose width differs, so counting fields is rare work.
+    # (Spark wants a parsed column in every query on the raw text, hence the empty prefix.)
     line = F.coalesce(F.col(RAW), F.substring(columns[0], 1, 0), F.lit(""))
-    too_long = field_count(line, separator) > len(columns)
+    too_long = F.when(F.col(RAW).isNull(), False).otherwise(field_count(line, separator) > len(columns))
     rows = lines.where(~too_long).select(
         *[_without_tokens(F.col(c), na_tokens).alias(c) for c in columns], "_file"
     )

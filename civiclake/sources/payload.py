@@ -47,7 +47,7 @@ def page_plan(df: DataFrame, total: str, size: int = 1000) -> DataFrame:
 
 def document_request(df: DataFrame, size: int = 1000) -> DataFrame:
     """Request parameters of the document endpoint for every planned page."""
-    params = {
+    params = {  # fixed values: parameter names and settings of the endpoint
         "paginacaoSimples": F.lit("false"),
         "tamanhoPagina": F.lit(str(size)),
         "offset": F.col("page_offset").cast("string"),

@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.pairs import success_grade, zip_pairs
+from ..functions.pairs import summary, zip_pairs
 from ..functions.text import clean_html_list
 from ..operators.normalize import explode_rows
 
@@ -143,18 +143,6 @@ def extract_sections(pages: DataFrame, url: str, html: str, sections: dict[str,
     )
 
 
-def summary(total: Column, ok: Column) -> Column:
-    """struct<processed, successful, failed, success_rate, grade>."""
-    rate = F.coalesce(F.try_divide(ok.cast("decimal(12,0)"), total.cast("decimal(12,0)")), F.lit(0))
-    return F.struct(
-        total.cast("bigint").alias("processed"),
-        ok.cast("bigint").alias("successful"),
-        (total - ok).cast("bigint").alias("failed"),
-        F.round(rate, 2).cast("decimal(5,2)").alias("success_rate"),
-        success_grade(rate).alias("grade"),
-    )
-
-
 def links(pages: DataFrame, url: str, html: str, css_class: str | None = None) -> DataFrame:
     """One row per link of a listing page, in page order."""
     found = find_all(F.col(html), tag_attribute("a", "href", css_class))
