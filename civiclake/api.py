@@ -53,6 +53,17 @@ from .sources.files import (  # noqa: F401
     write_jsonl,
     write_table,
 )
+from .sources.schemas import (  # noqa: F401
+    AMENDMENT,
+    AMENDMENT_DOCUMENTS,
+    COMPANIES,
+    ESTABLISHMENTS,
+    PARTNERS,
+    TABLES,
+    bronze,
+    layout_for,
+    strings,
+)
 from .sources.payload import (  # noqa: F401
     allowance_files,
     document_request,

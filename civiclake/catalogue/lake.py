@@ -151,6 +151,17 @@ def isolation_check(spark, d):
     return total.agg(*[F.sum(c).alias(c) for c in total.columns]).withColumn("equal", F.col("differing_rows") == 0)
 
 
+@query("ref_compare", """
+SELECT 'eventos' AS table_name, count(*) FILTER (ts < TIMESTAMP '2024-01-11') AS rows_a,
+  count(*) FILTER (ts < TIMESTAMP '2024-01-21') AS rows_b, false AS equal FROM events""")
+def ref_compare(spark, d):
+    ledger, days = _lake(spark, d, "compare")
+    _publish(ledger, [i for i in days if i <= "d20240110"], "carga_1", _utc(2, 1))
+    ledger.create_branch("revisao", at=_utc(2, 2))
+    ledger.mark_staged("revisao", [(EVENTS, i) for i in days if "d20240110" < i <= "d20240120"], _utc(2, 2))
+    return ledger.compare("main", "revisao")
+
+
 @query("tag_read", f"{ROWS} WHERE ts < TIMESTAMP '2024-01-11'")
 def tag_read(spark, d):
     ledger, days = _lake(spark, d, "tag")

@@ -105,6 +105,16 @@ def partitioned_write(spark, d):
     return spark.read.schema(events.schema).parquet(path)
 
 
+@query("json_per_unit", """
+SELECT c_custkey AS numero, c_name AS nome, c_nationkey AS codigo_unidade FROM customer""")
+def json_per_unit(spark, d):
+    path = scratch_path(spark, "units")
+    rows = table(spark, d, "customer").select(
+        F.col("c_custkey").alias("numero"), F.col("c_name").alias("nome"), F.col("c_nationkey").alias("codigo_unidade"))
+    files.write_jsonl(rows, path, partition_by=["codigo_unidade"])
+    return spark.read.schema("numero bigint, nome string, codigo_unidade int").json(path)
+
+
 @query("per_file_counts", "SELECT source, count(*) AS rows FROM documents GROUP BY source")
 def per_file_counts(spark, d):
     path = scratch_path(spark, "files")

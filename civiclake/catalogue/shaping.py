@@ -118,6 +118,18 @@ def silver_dedupe_latest(spark, d):
     return dedupe.dedupe_latest(events, ["user_id", "event_type"], [F.desc("ts"), F.desc("event_id")])
 
 
+@query("silver_table", """
+SELECT o_orderstatus || ' ' || o_orderpriority AS quote_text, o_custkey AS author_name, o_orderkey AS tags, o_orderdate AS ingestion_at FROM orders
+QUALIFY row_number() OVER (PARTITION BY o_orderstatus, o_orderpriority, o_custkey ORDER BY o_orderdate DESC, o_orderkey) = 1""")
+def silver_table(spark, d):
+    raw = table(spark, d, "orders").select(
+        F.concat_ws(" ", "o_orderstatus", "o_orderpriority").alias("texto"), F.col("o_custkey").alias("autor"),
+        F.col("o_orderkey").alias("tags"), F.lit("u").alias("url_origem"), F.col("o_orderdate").alias("ingestion_at"))
+    path = scratch_path(spark, "silver")
+    files.write_table(silver.silver_quotes(raw).drop("url_origem"), path, sort_by=["author_name"])
+    return spark.read.parquet(path)
+
+
 @query("bronze_latest_by_key", """
 SELECT l_orderkey, l_linenumber, l_shipdate, l_partkey, l_suppkey, l_quantity FROM lineitem
 QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber

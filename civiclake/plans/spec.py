@@ -96,11 +96,11 @@ def load(spark: SparkSession, spec: PipelineSpec, load_ts: datetime) -> dict[str
     return out
 
 
-def audit(spec: PipelineSpec, ledger: Ledger, ids: dict[str, str], now: datetime) -> tuple[DataFrame | None, bool]:
-    """Run the rules over the staged ingests only; (results, may publish)."""
+def audit(spec: PipelineSpec, ledger: Ledger, ids: dict[str, str], now: datetime) -> dict:
+    """Run the rules over the staged ingests only: passed / warned / failed counts and ``publish``."""
     rules = [r for r in spec.rules if r.table in ids]
     if not rules:
-        return None, True
+        return {"passed": 0, "warned": 0, "failed": 0, "publish": True}
     columns = spec.targets()
     tables = {
         t: ledger.spark.read.schema(bronze(columns[t])).parquet(ledger.location(t, i)) for t, i in ids.items()
@@ -108,8 +108,7 @@ def audit(spec: PipelineSpec, ledger: Ledger, ids: dict[str, str], now: datetime
     for rule in rules:
         if rule.parent and rule.parent[0] not in tables:
             tables[rule.parent[0]] = ledger.read_ref(rule.parent[0], bronze([rule.parent[1]]))
-    results = run_rules(tables, rules, now)
-    return results, gate(results).first()["publish"]
+    return gate(run_rules(tables, rules, now)).first().asDict()
 
 
 def run_pipeline(spark: SparkSession, spec: PipelineSpec, ledger: Ledger, at: datetime | None = None) -> dict:
@@ -128,13 +127,11 @@ def run_pipeline(spark: SparkSession, spec: PipelineSpec, ledger: Ledger, at: da
             ledger.write(frame, table, ingest)
         ledger.mark_staged(branch, [(t, ingest) for t in frames], at)
         ids = {t: ingest for t in frames}
-        ok = True
-        if spec.branching:
-            _, ok = audit(spec, ledger, ids, at)
-        if ok:
+        verdict = audit(spec, ledger, ids, at) if spec.branching else {"publish": True}
+        if verdict["publish"]:
             ledger.publish(branch, at)
         else:
             ledger.reject(branch, at)
-        return {"ingest_id": ingest, "published": ok, "tables": sorted(frames)}
+        return {"ingest_id": ingest, "published": verdict["publish"], "verdict": verdict, "tables": sorted(frames)}
     finally:
         ledger.delete_branch(branch, at)

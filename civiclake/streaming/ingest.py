@@ -7,6 +7,7 @@ no row is loaded twice.
 
 from __future__ import annotations
 
+import hashlib
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,13 +48,17 @@ def stream_pipeline(
 
     def load_batch(rows: DataFrame, batch_id: int) -> None:
         at = load_ts or datetime.now(timezone.utc)
-        ingest = f"ingest_{spec.name}_batch{batch_id:08d}"
+        # The query id belongs to the checkpoint: the batches of another checkpoint can
+        # never be taken for these.
+        query_id = rows.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        ingest = f"ingest_{spec.name}_{query_id or hashlib.sha256(checkpoint.encode()).hexdigest()}_{batch_id:08d}"
+        if ingest in ledger.ingest_ids(spec.table):
+            return  # repeated after a failure behind the publication
         ledger.create_branch(ingest, spec.from_ref, at)
         try:
             ledger.write(normalise(spec, rows, at), spec.table, ingest)
             ledger.mark_staged(ingest, [(spec.table, ingest)], at)
-            _, ok = audit(spec, ledger, {spec.table: ingest}, at)
-            if ok:
+            if audit(spec, ledger, {spec.table: ingest}, at)["publish"]:
                 ledger.publish(ingest, at)
             else:
                 ledger.reject(ingest, at)

@@ -64,6 +64,17 @@ def test_restaging_replaces(spark, ledger):
     assert ids(ledger.read_ref("t", SCHEMA, "b")) == ["2"]
 
 
+def test_compare_refs(spark, ledger):
+    ledger.create_branch("b")
+    ledger.stage(frame(spark, "1"), "t", "i1", "b")
+    ledger.publish("b")
+    ledger.create_branch("c")
+    ledger.stage(frame(spark, "2", "3"), "u", "i2", "c")
+    assert (ledger.tables(), ledger.tables("c")) == (["t"], ["t", "u"])
+    got = sorted(tuple(r) for r in ledger.compare("main", "c").collect())
+    assert got == [("t", 1, 1, True), ("u", 0, 2, False)]
+
+
 def test_branch_name_can_be_reused(spark, ledger):
     ledger.create_branch("b")
     ledger.stage(frame(spark, "1"), "t", "i1", "b")
@@ -158,3 +169,12 @@ def test_stream_takes_each_file_once(spark, ledger, tmp_path):
     jsonl(tmp_path / "landing/lote_4.jsonl", {"id_lattes": "4", "nome": "D"})
     run()
     assert sorted(r["id_lattes"] for r in ledger.read_ref("lattes_raw", schema).collect()) == ["1", "2", "4"]
+
+
+def test_streams_with_other_checkpoints_do_not_collide(spark, ledger, tmp_path):
+    for part in ("a", "b"):
+        spec = spec_for(tmp_path, source=str(tmp_path / part))
+        jsonl(tmp_path / part / "lote.jsonl", {"id_lattes": part, "nome": "x"})
+        stream_pipeline(spark, spec, ledger, str(tmp_path / f"checkpoint_{part}")).awaitTermination()
+    assert sorted(r["id_lattes"] for r in ledger.read_ref("lattes_raw", bronze(spec.columns)).collect()) == ["a", "b"]
+    assert len({i.split("_")[2] for i in ledger.ingest_ids("lattes_raw")}) == 2
