@@ -14,10 +14,11 @@ from pyspark.sql import functions as F
 from ..operators.dedupe import same_rows
 from ..operators.dedupe import snapshot_diff as diff_snapshots
 from ..operators.quality import Rule
-from ..plans.spec import PipelineSpec
+from ..plans.spec import PipelineSpec, run_pipeline
 from ..plans.wap import INGEST, Ledger
 from ..session import scratch_path
 from ..sources.files import write_jsonl
+from ..sources.schemas import bronze
 from ..streaming.ingest import stream_pipeline
 from .registry import query, table
 
@@ -191,6 +192,28 @@ def snapshot_diff(spark, d):
     return diff_snapshots(before, after, ["event_id"]).select("event_id", "change")
 
 
+@query("audited_load", """
+SELECT TIMESTAMP '2024-02-01 00:00:00' AS data_extracao, CAST(c_custkey AS VARCHAR) AS codigo, c_name AS nome FROM customer
+UNION ALL SELECT TIMESTAMP '2024-03-01 00:00:00', CAST(c_custkey AS VARCHAR), upper(c_name) FROM customer""")
+def audited_load(spark, d):
+    """Three monthly loads of the same landing folder; the second breaks an error rule and stays out."""
+    root = scratch_path(spark, "audited")
+    spec = PipelineSpec(
+        name="clientes", source=f"{root}/landing/*", table="clientes", columns=["codigo", "nome"], rename={"c_name": "nome"},
+        rules=[Rule("clientes", "codigo", "not_null"), Rule("clientes", "codigo", "unique", "warn"), Rule("clientes", "data_extracao", "not_null")])
+    ledger = Ledger(spark, f"{root}/lake")
+    customer = table(spark, d, "customer")
+    lots = [
+        customer.select(F.col("c_custkey").alias("codigo"), "c_name"),
+        customer.select(F.expr("CASE WHEN c_custkey % 2 = 0 THEN c_custkey END").alias("codigo"), "c_name"),
+        customer.select(F.col("c_custkey").alias("codigo"), F.upper("c_name").alias("c_name")),
+    ]
+    for lot, at in zip(lots, (_utc(2, 1), _utc(2, 15), _utc(3, 1))):
+        write_jsonl(lot, f"{root}/landing/lote")
+        run_pipeline(spark, spec, ledger, at)
+    return ledger.read_ref("clientes", bronze(spec.columns)).select("data_extracao", *spec.columns)
+
+
 @query("incremental_ingest", """
 SELECT CAST(event_id AS VARCHAR) AS event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS momento, event_type AS tipo FROM events""")
 def incremental_ingest(spark, d):
@@ -206,6 +229,4 @@ def incremental_ingest(spark, d):
     for lot, condition in lots.items():
         write_jsonl(landed.where(condition).drop("ts"), f"{root}/landing/{lot}")
         stream_pipeline(spark, spec, ledger, f"{root}/checkpoint", load_ts=_utc(3, 1)).awaitTermination()
-    from ..sources.schemas import bronze
-
     return ledger.read_ref(EVENTS, bronze(spec.columns)).select(*spec.columns)

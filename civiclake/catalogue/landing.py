@@ -14,7 +14,7 @@ from ..operators.rollups import truncation_audit as audit_truncation
 from ..session import scratch_path
 from ..sources import archives, files, payload, web
 from ..sources.schemas import COMPANIES
-from .registry import query, table
+from .registry import query, table, wide_table
 
 
 @query("scan_jsonl_raw", """
@@ -152,7 +152,7 @@ def zip_csv_unpack(spark, d):
         F.lit('""; social";'), F.col("c_nationkey").cast("string"),
     )
     text = F.array_join(F.transform(F.sequence(F.lit(0).cast("bigint"), key % 3), line), "\r\n")
-    source = table(spark, d, "customer").select(F.concat(F.lit("K"), key.cast("string")).alias("name"), text.alias("body"))
+    source = wide_table(spark, d, "customer").select(F.concat(F.lit("K"), key.cast("string")).alias("name"), text.alias("body"))
     rows, _ = archives.parse_zip_csv(
         _zip_batches(source, ".EMPRECSV", "name", "body"), ["cnpj_basico", "razao_social", "capital_social"]
     )
@@ -183,7 +183,7 @@ def xml_profile(spark, d):
       '<DOUTORADO STATUS-DO-CURSO="', CASE c_mktsegment WHEN 'MACHINERY' THEN 'EM_ANDAMENTO' ELSE '' END, '"/>',
       '</DADOS-GERAIS>', CASE WHEN c_custkey % 3 = 0 THEN '' ELSE array_join({project}, '') END,
       '</CURRICULO-VITAE>') END""")
-    source = table(spark, d, "customer").select(F.lpad(F.col("c_custkey").cast("string"), 16, "0").alias("name"), body.alias("body"))
+    source = wide_table(spark, d, "customer").select(F.lpad(F.col("c_custkey").cast("string"), 16, "0").alias("name"), body.alias("body"))
     profiles, _ = archives.parse_profiles(_zip_batches(source, ".xml", "name", "body"))
     return profiles.select(
         "id_lattes", "data_atualizacao", "hora_atualizacao", "nome", "uf_atuacao",
@@ -198,7 +198,7 @@ SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN 0 ELSE o_orderkey % 4 + 1 E
   o_orderkey || '-' || g AS codigo, CASE WHEN g = 2 THEN NULL ELSE o_orderstatus END AS fase
 FROM (SELECT *, unnest(generate_series(0, o_orderkey % 4)) AS g FROM orders WHERE o_orderkey % 13 <> 0)""")
 def paged_payload_explode(spark, d):
-    pages = table(spark, d, "orders").select("o_orderkey", F.expr("""CASE WHEN o_orderkey % 13 = 0 THEN '<html>502</html>'
+    pages = wide_table(spark, d, "orders").select("o_orderkey", F.expr("""CASE WHEN o_orderkey % 13 = 0 THEN '<html>502</html>'
       ELSE concat('{', CASE WHEN o_orderkey % 5 = 0 THEN '' ELSE concat('"recordsTotal":', o_orderkey % 4 + 1, ',') END,
        '"data":[', array_join(transform(sequence(0L, o_orderkey % 4), g -> concat('{"codigo":"', o_orderkey, '-', g, '","fase":',
        CASE WHEN g = 2 THEN 'null' ELSE concat('"', o_orderstatus, '"') END, '}')), ','), ']}') END""").alias("body"))
@@ -214,6 +214,19 @@ def page_plan(spark, d):
     return payload.page_plan(totals, "records_total", 10)
 
 
+@query("request_plan", """
+SELECT codigo, ano, CAST(o AS VARCHAR) AS "offset", '1000' AS tamanho FROM (SELECT CAST(o_orderkey AS VARCHAR) AS codigo,
+  CAST(year(o_orderdate) AS VARCHAR) AS ano, unnest(generate_series(0, o_custkey % 2500 - 1, 1000)) AS o FROM orders)""")
+def request_plan(spark, d):
+    amendments = table(spark, d, "orders").select(
+        F.col("o_orderkey").cast("string").alias("codigo_emenda"), F.date_format("o_orderdate", "yyyy").alias("ano"),
+        F.lit("08").alias("codigo_funcao"), F.lit("244").alias("codigo_subfuncao"), F.lit("PE").alias("localidade_do_gasto"),
+        F.lit("2").alias("sk_tipo_emenda"), (F.col("o_custkey") % 2500).alias("records_total"))
+    planned = payload.document_request(payload.page_plan(amendments, "records_total"))
+    picked = {"codigo": "codigo", "ano": "ano", "offset": "offset", "tamanhoPagina": "tamanho"}
+    return planned.select(*[F.col("params")[k].alias(v) for k, v in picked.items()])
+
+
 @query("truncation_audit", """
 SELECT o_custkey, fetched, announced, fetched >= announced AS complete,
   fetched < announced AND fetched % 5 = 0 AS truncated

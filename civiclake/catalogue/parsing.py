@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import functions as fx
 from ..operators.profiling import date_category
-from .registry import query, table
+from .registry import query, table, wide_table
 
 MONEY_TEXT = "translate(format_number(CAST(o_totalprice AS DECIMAL(18,2)), 2), ',.', '.,')"
 
@@ -75,7 +75,7 @@ SELECT doc_id, nullif(nullif(regexp_replace(regexp_replace(regexp_replace(raw,
 FROM c""")
 def clean_text(spark, d):
     raw = F.expr("CASE doc_id % 7 WHEN 1 THEN ' - ' WHEN 2 THEN '' ELSE text END")
-    return table(spark, d, "documents").select("doc_id", fx.clean_text(raw).alias("texto"))
+    return wide_table(spark, d, "documents").select("doc_id", fx.clean_text(raw).alias("texto"))
 
 
 @query("modality_type", """
@@ -119,7 +119,7 @@ def payee_split(spark, d):
       WHEN 0 THEN '123.' || lpad(o_orderkey % 1000, 3, '0') || '.789-00 - PESSOA ' || o_custkey
       WHEN 1 THEN 'FAVORECIDO COLETIVO' WHEN 2 THEN NULL WHEN 3 THEN {base} || '000199'
       ELSE {dotted} || ' - FUNDO - ' || o_custkey END"""
-    out = table(spark, d, "orders").select("o_orderkey", fx.split_payee(F.expr(text)).alias("p"))
+    out = wide_table(spark, d, "orders").select("o_orderkey", fx.split_payee(F.expr(text)).alias("p"))
     return out.select("o_orderkey", F.col("p.id").alias("id"), F.col("p.name").alias("nome"), F.col("p.kind").alias("tipo"))
 
 
@@ -175,7 +175,7 @@ SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(text, '[\x{00}-\x{08
 FROM documents""")
 def mojibake_fix(spark, d):
     garbled = F.when(F.col("doc_id") % 2 == 0, F.decode(F.encode("text", "UTF-8"), "ISO-8859-1")).otherwise(F.col("text"))
-    return table(spark, d, "documents").select("doc_id", fx.fix_mojibake(garbled).alias("texto"))
+    return wide_table(spark, d, "documents").select("doc_id", fx.fix_mojibake(garbled).alias("texto"))
 
 
 CODE = """CASE WHEN o_orderkey % 7 = 0 THEN 'S/I' WHEN o_orderkey % 11 = 0 THEN 'REL. GERAL'

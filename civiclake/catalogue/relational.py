@@ -13,7 +13,7 @@ from ..plans.silver import silver_amendments
 from ..sources import payload
 from ..sources.schemas import REVENUE_LEVELS, revenue_file
 from .parsing import DUCK_DATE_FIELD, MONEY_TEXT, SPARK_DATE_FIELD
-from .registry import query, table
+from .registry import query, table, wide_table
 
 # Amendment side = orders, document side = lineitem; both derive the code from the order key.
 VALID = "{k} % 7 <> 0 AND {k} % 11 <> 0"
@@ -75,7 +75,7 @@ def _establishments(spark, d) -> DataFrame:
 SELECT l_orderkey, l_linenumber, {PRICE} AS valor, {PAYEE_BASE} || '000100' AS cnpj, s_name AS nome_fantasia
 FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE l_orderkey % 10 <> 3 AND l_orderkey % 11 <> 4 AND l_returnflag <> 'N'""")
 def company_match(spark, d):
-    payments = table(spark, d, "lineitem").where("l_returnflag <> 'N'").select(
+    payments = wide_table(spark, d, "lineitem").where("l_returnflag <> 'N'").select(
         "l_orderkey", "l_linenumber", F.expr(PRICE).alias("valor"),
         F.expr(f"""CASE WHEN l_orderkey % 10 = 3 THEN 'FAVORECIDO COLETIVO' WHEN l_orderkey % 11 = 4 THEN '123.456.789-00 - FULANO'
           ELSE substr({PAYEE_BASE},1,2) || '.' || substr({PAYEE_BASE},3,3) || '.' || substr({PAYEE_BASE},6,3) || '/0001-00 - FORNECEDOR' END""").alias("favorecido"))
@@ -182,12 +182,8 @@ def catalog_tables(spark, d):
 
 # -- revenue ---------------------------------------------------------------------
 
-@query("revenue_explode", """
-SELECT o_orderkey AS receita, o_custkey AS unidade, CAST(year(o_orderdate) AS INTEGER) AS exercicio, 'cat ' || o_orderstatus AS "categoriaEconomica",
-  'ori ' || o_orderpriority AS origem, CASE WHEN g IS NULL THEN NULL ELSE CAST(o_orderdate AS DATE) + CAST(g AS INTEGER) END AS data_movimento,
-  CASE WHEN g IS NULL THEN NULL ELSE CAST(CAST(o_totalprice AS DECIMAL(18,2)) + g AS DECIMAL(18,2)) END AS valor_movimento
-FROM (SELECT *, unnest(CASE WHEN o_orderkey % 3 = 0 THEN [NULL] ELSE generate_series(1, o_orderkey % 3) END) AS g FROM orders)""")
-def revenue_explode(spark, d):
+def _revenue_records(spark, d) -> DataFrame:
+    """Revenue files, one per order, parsed and exploded to records."""
     money = "CAST(CAST(o_totalprice AS DECIMAL(18,2)) + i AS STRING)"
     levels = ", ".join(
         f"'{lv}', named_struct('codigo', '{n}', 'denominacao', concat('{lv[:3]} ', {'o_orderstatus' if n == 0 else 'o_orderpriority'}))"
@@ -202,16 +198,31 @@ def revenue_explode(spark, d):
     moves = f"""concat('"listMovimentos":[', array_join(transform(
       CASE WHEN o_orderkey % 3 = 0 THEN CAST(array() AS ARRAY<BIGINT>) ELSE sequence(1L, o_orderkey % 3) END, i -> concat('{{"dataMovimento":"',
       date_format(date_add(CAST(o_orderdate AS DATE), CAST(i AS INT)), 'yyyy-MM-dd'), '","tipoMovimento":"Arrecadação","valorMovimento":', {money}, '}}')), ','), '],')"""
-    landed = table(spark, d, "orders").select(
+    landed = wide_table(spark, d, "orders").select(
         F.expr(body).alias("body"), F.expr(moves).alias("moves")
     ).select(F.concat(
         F.substring_index("body", '"exercicio":{', 1), "moves", F.lit('"exercicio":{'), F.substring_index("body", '"exercicio":{', -1),
     ).alias("body"))
     files = landed.select(F.from_json("body", revenue_file()).alias("f")).select("f.*")
-    moved = payload.revenue_movements(payload.explode_revenue(files), ["categoriaEconomica", "origem"])
+    return payload.explode_revenue(files)
+
+
+@query("revenue_explode", """
+SELECT o_orderkey AS receita, o_custkey AS unidade, CAST(year(o_orderdate) AS INTEGER) AS exercicio, 'cat ' || o_orderstatus AS "categoriaEconomica",
+  'ori ' || o_orderpriority AS origem, CASE WHEN g IS NULL THEN NULL ELSE CAST(o_orderdate AS DATE) + CAST(g AS INTEGER) END AS data_movimento,
+  CASE WHEN g IS NULL THEN NULL ELSE CAST(CAST(o_totalprice AS DECIMAL(18,2)) + g AS DECIMAL(18,2)) END AS valor_movimento
+FROM (SELECT *, unnest(CASE WHEN o_orderkey % 3 = 0 THEN [NULL] ELSE generate_series(1, o_orderkey % 3) END) AS g FROM orders)""")
+def revenue_explode(spark, d):
+    moved = payload.revenue_movements(_revenue_records(spark, d), ["categoriaEconomica", "origem"])
     return moved.select("receita", "unidade", "exercicio", "categoriaEconomica", "origem", "data_movimento", "valor_movimento")
 
 
+@query("revenue_funds", """
+SELECT o_orderkey AS receita, CAST(101 AS BIGINT) AS fonte, 'Próprios' AS fonte_nome, CAST(100 AS DECIMAL(9,4)) AS percentual FROM orders""")
+def revenue_funds(spark, d):
+    return payload.revenue_funds(_revenue_records(spark, d))
+
+
 @query("revenue_rollup", f"""
 SELECT r_name AS regiao, n_name AS unidade, CAST(year(l_shipdate) AS INTEGER) AS ano,
   CAST(grouping(r_name) * 4 + grouping(n_name) * 2 + grouping(year(l_shipdate)) AS BIGINT) AS nivel,
@@ -431,7 +442,7 @@ FROM raw QUALIFY row_number() OVER (PARTITION BY codigo_emenda, codigo_documento
   translate(format('{{:,.2f}}', CAST({PRICE} AS DOUBLE)), ',.', '.,')) = 1""")
 def silver_emendas(spark, d):
     price = MONEY_TEXT.replace("o_totalprice", "l_extendedprice")
-    raw = table(spark, d, "lineitem").select(
+    raw = wide_table(spark, d, "lineitem").select(
         F.expr("CAST(CASE WHEN l_linenumber % 2 = 0 THEN '2024-02-01 06:00:00' ELSE '2024-01-01 06:00:00' END AS TIMESTAMP)").alias("data_extracao"),
         F.expr(LINE_CODE).alias("codigo_emenda"),
         F.expr("date_format(l_shipdate, 'yyyy') || 'OB' || lpad(CAST(l_suppkey AS STRING), 6, '0')").alias("codigo_documento"),

@@ -10,7 +10,7 @@ from ..operators import dedupe, normalize, rollups
 from ..plans import silver, wap
 from ..session import scratch_path
 from ..sources import files, payload, web
-from .registry import query, table
+from .registry import query, table, wide_table
 
 DAY = "CAST(ts AS DATE)"
 
@@ -186,7 +186,7 @@ DUCK_PARAGRAPHS = _duck_list(r"(?s)<p\b[^>]*>(.*?)</p>")
 
 @query("html_text", f"SELECT page_id, {_duck_clean('html')} AS texto FROM pages")
 def html_text(spark, d):
-    return table(spark, d, "pages").select("page_id", fx.strip_html(F.col("html")).alias("texto"))
+    return wide_table(spark, d, "pages").select("page_id", fx.strip_html(F.col("html")).alias("texto"))
 
 
 @query("html_pairs", f"""
@@ -195,7 +195,7 @@ SELECT url AS source_url, CAST(i - 1 AS INTEGER) AS pair_index, labels[i] AS cat
 FROM (SELECT *, unnest(generate_series(1, least(len(labels), len(links)))) AS i
   FROM (SELECT url, {DUCK_LABELS} AS labels, {DUCK_LINKS} AS links FROM pages))""")
 def html_pairs(spark, d):
-    pages = web.extract_sections(table(spark, d, "pages"), "url", "html", NAV)
+    pages = web.extract_sections(wide_table(spark, d, "pages"), "url", "html", NAV)
     return normalize.explode_rows(pages, ["source_url"], F.col("nav.paired_data"), "p").select("source_url", "p.*")
 
 
@@ -207,7 +207,7 @@ SELECT url AS source_url, CAST(n AS INTEGER) AS total_pairs, n || '/' || nv AS p
 FROM (SELECT *, len(labels) AS nc, len(vals) AS nv, least(len(labels), len(vals)) AS n
   FROM (SELECT url, {DUCK_LABELS} AS labels, {DUCK_PARAGRAPHS} AS vals FROM pages))""")
 def pair_zip(spark, d):
-    s = web.extract_sections(table(spark, d, "pages"), "url", "html", BODY)
+    s = web.extract_sections(wide_table(spark, d, "pages"), "url", "html", BODY)
     last = F.try_element_at("body.paired_data", F.lit(-1))
     return s.select(
         "source_url", "body.total_pairs", "body.paired_ratio", "body.pairing_quality",
@@ -248,7 +248,7 @@ FROM (SELECT url, CAST(regexp_matches(html, '(?s)<a\\b[^>]*?\\bhref="([^"]*)"')
   + CAST(regexp_matches(html, '(?s)<h1\\b[^>]*>(.*?)</h1>') AS BIGINT)
   + CAST(regexp_matches(html, '(?s)<img\\b[^>]*?\\bsrc="([^"]*)"') AS BIGINT) AS ok FROM pages)""")
 def section_summary(spark, d):
-    s = web.extract_sections(table(spark, d, "pages"), "url", "html", SUMMARY_SECTIONS, require_values=True)
+    s = web.extract_sections(wide_table(spark, d, "pages"), "url", "html", SUMMARY_SECTIONS, require_values=True)
     return s.select("source_url", "extraction_summary.*")
 
 
@@ -263,7 +263,7 @@ PAIRS = """array_compact(array(
 
 
 def _sections(spark, d) -> DataFrame:
-    return table(spark, d, "orders").select("o_orderkey", F.expr(PAIRS).alias("pairs"))
+    return wide_table(spark, d, "orders").select("o_orderkey", F.expr(PAIRS).alias("pairs"))
 
 
 @query("section_pivot", """
@@ -345,7 +345,7 @@ PUBLIC_WORK_HTML = """concat(
 def _work_pages(spark, d) -> DataFrame:
     """Public-works detail pages derived from every customer, with their sections extracted."""
     html = F.expr(PUBLIC_WORK_HTML.replace("{money}", "translate(format_number(valor, 2), ',.', '.,')"))
-    landed = table(spark, d, "customer").selectExpr(
+    landed = wide_table(spark, d, "customer").selectExpr(
         "c_custkey AS id", "c_mktsegment AS setor", "CAST(c_acctbal AS DECIMAL(18,2)) AS valor",
         "substr('FOP', c_nationkey % 3 + 1, 1) AS situ", "date_add(DATE '2020-01-01', CAST(c_custkey % 1000 AS INT)) AS inicio",
     ).select(

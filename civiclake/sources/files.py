@@ -13,6 +13,20 @@ from .schemas import layout_for, strings
 RAW = "_raw"
 
 
+SMALL_INPUT_SPLITS = 32
+
+
+def fill_cores(df: DataFrame) -> DataFrame:
+    """Spread a small input that cannot be split (one row group, one archive) over the cores.
+
+    Meant for heavy work per row.  An input with enough splits, or more than
+    SMALL_INPUT_SPLITS, comes back as it is: large data are never shuffled here.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    splits = df.rdd.getNumPartitions()
+    return df.repartition(cores) if splits < min(cores, SMALL_INPUT_SPLITS) else df
+
+
 def read_jsonl(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     """JSON Lines as text columns; nested values keep their raw JSON text.
 

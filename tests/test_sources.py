@@ -233,3 +233,18 @@ def test_table_contract(spark, tmp_path):
         files.create_table_if_missing(spark, "t_contract", ["a", "b"], f"{tmp_path}/tc")
     assert [f.simpleString() for f in spark.table("t_contract").schema] == ["data_extracao:timestamp", "a:string", "b:string"]
     spark.sql("DROP TABLE t_contract")
+
+
+def test_fill_cores_never_shuffles_larger_inputs(spark):
+    assert files.fill_cores(spark.range(0, 100, 1, 2)).rdd.getNumPartitions() == 4
+    for n in (4, 64):
+        df = spark.range(0, 100, 1, n)
+        assert files.fill_cores(df) is df
+
+
+def test_jsonl_per_unit(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a"), (2, None)], "unidade int, nome string")
+    files.write_jsonl(df, f"{tmp_path}/u", partition_by=["unidade"])
+    assert sorted(p.name for p in (tmp_path / "u").iterdir() if p.is_dir()) == ["unidade=1", "unidade=2"]
+    back = spark.read.schema("nome string, unidade int").json(f"{tmp_path}/u")
+    assert sorted((r["unidade"], r["nome"]) for r in back.collect()) == [(1, "a"), (2, None)]
