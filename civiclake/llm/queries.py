@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import lines, mixing, quality, simhash, toxicity
+from . import decontaminate, fingerprint, language, lines, mixing, quality, simhash, suffixes, toxicity
 
 QUALITY_THRESHOLD = 0.3
 TOXICITY_THRESHOLD = 0.5
@@ -33,10 +33,23 @@ def op1_quality(spark: SparkSession, data_dir: str) -> DataFrame:
     return _judged(quality.quality_scores(documents, weights), QUALITY_THRESHOLD)
 
 
+def op2_decontaminate(spark: SparkSession, data_dir: str) -> DataFrame:
+    return decontaminate.contamination(_read(spark, data_dir, "documents"), _read(spark, data_dir, "benchmark"))
+
+
+def op3_language(spark: SparkSession, data_dir: str) -> DataFrame:
+    model = language.fit_text_model(_read(spark, data_dir, "documents"))
+    return language.page_languages(_read(spark, data_dir, "pages"), model)
+
+
 def op5_mixing(spark: SparkSession, data_dir: str) -> DataFrame:
     return mixing.mix(_read(spark, data_dir, "documents"))
 
 
+def op6_fingerprint(spark: SparkSession, data_dir: str) -> DataFrame:
+    return fingerprint.fingerprint_report(_read(spark, data_dir, "documents"))
+
+
 def op7_toxicity(spark: SparkSession, data_dir: str) -> DataFrame:
     documents = _read(spark, data_dir, "documents").select("doc_id", "text")
     weights = toxicity.toxicity_model(documents, _read(spark, data_dir, "labels"), _fold(F.col("doc_id")) != 0)
@@ -52,12 +65,20 @@ def op9_lines(spark: SparkSession, data_dir: str) -> DataFrame:
     return lines.line_report(_read(spark, data_dir, "documents"))
 
 
+def op10_suffixes(spark: SparkSession, data_dir: str) -> DataFrame:
+    return suffixes.removal_report(_read(spark, data_dir, "documents"))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
+    "op2_decontaminate": op2_decontaminate,
+    "op3_language": op3_language,
     "op5_mixing": op5_mixing,
+    "op6_fingerprint": op6_fingerprint,
     "op7_toxicity": op7_toxicity,
     "op8_simhash": op8_simhash,
     "op9_lines": op9_lines,
+    "op10_suffixes": op10_suffixes,
 }
 
 ORACLES = {"op5_mixing": mixing.ORACLE, "op9_lines": lines.ORACLE}
