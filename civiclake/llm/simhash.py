@@ -1,6 +1,6 @@
 """SimHash near-duplicates by a segment-popcount embedding.
 
-A 64-bit fingerprint is mapped to the number of set bits in each of 16 segments.  The Manhattan distance
+A 64-bit fingerprint is mapped to the number of set bits in each of 32 segments.  The Manhattan distance
 of two such vectors is never above the Hamming distance of the fingerprints, so fingerprints within two
 bits stand at most two steps apart on the grid of vectors, and then some vector is at most one step from
 both.  The range join therefore meets at such vectors: a fingerprint that meets no other one there has no link.
@@ -27,7 +27,7 @@ from .tokens import with_text_columns
 
 SHINGLE = 3
 SEED = 42
-SEGMENTS, SEGMENT_BITS = 16, 4
+SEGMENTS, SEGMENT_BITS = 32, 2
 
 #: For each byte, its eight bits in the eight bytes of a 64-bit word.
 _SPREAD = (
@@ -90,14 +90,18 @@ def with_fingerprint(documents: DataFrame, text: str = "text") -> DataFrame:
 
 
 def meeting_cells(fp: Column) -> Column:
-    """The fingerprint's popcount vector and all vectors one step away, three bits a segment."""
-    counts = [F.bit_count(F.shiftrightunsigned(fp, SEGMENT_BITS * i).bitwiseAND(15)).cast("long") for i in range(SEGMENTS)]
-    cell = sum((F.shiftleft(c, 3 * i) for i, c in enumerate(counts)), F.lit(0).cast("long"))
+    """The fingerprint's popcount vector and all vectors one step away, two bits a segment."""
+    counts = [F.bit_count(F.shiftrightunsigned(fp, SEGMENT_BITS * i).bitwiseAND((1 << SEGMENT_BITS) - 1)).cast("long")
+              for i in range(SEGMENTS)]
+    cell = F.lit(0).cast("long")
+    for i, c in enumerate(counts):
+        cell = cell.bitwiseOR(F.shiftleft(c, 2 * i))
     steps = [F.lit(0).cast("long")]
     for i, c in enumerate(counts):
-        step = F.lit(1 << 3 * i).cast("long")
-        steps += [F.when(c > 0, -step), F.when(c < SEGMENT_BITS, step)]
-    return F.transform(F.array_compact(F.array(*steps)), lambda s: s + cell)
+        # as a cell holds one vector, a step is an exclusive or of its old and new count
+        down, up = (F.shiftleft(c.bitwiseXOR(c + s), 2 * i) for s in (-1, 1))
+        steps += [F.when(c > 0, down), F.when(c < SEGMENT_BITS, up)]
+    return F.transform(F.array_compact(F.array(*steps)), lambda s: s.bitwiseXOR(cell))
 
 
 def one_bit_away(fp: Column) -> Column:
@@ -131,13 +135,13 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     smallest = named.groupBy("root").agg(F.min("first").alias("component_id"))
     groups = written(named.join(smallest, "root").select("fp", "root", "component_id"), "groups")
     discard(roots)
-    discard(first)
     return rows.join(groups, "fp").select("__rid", "doc_id", "fp", "root", "component_id")
 
 
 def drop_near_duplicates(documents: DataFrame) -> DataFrame:
     """One row of each component stays: that of the smallest id (null last), the first of repeated rows."""
-    kept = near_duplicates(documents).groupBy("root").agg(
-        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "__rid"))["__rid"].alias("__rid"))
-    kept = written(kept.select("__rid"), "kept")
-    return numbered(documents).join(kept, "__rid", "left_semi").select(*[F.col(f"`{c}`") for c in documents.columns])
+    rows = written(near_duplicates(documents).select("__rid", "doc_id", "root"), "grouped")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "__rid")
+    first = rows.groupBy("root").agg(F.min(order)["__rid"].alias("stays"))
+    others = written(rows.join(first, "root").filter("__rid <> stays").select("__rid"), "others")
+    return numbered(documents).join(others, "__rid", "left_anti").select(*[F.col(f"`{c}`") for c in documents.columns])
