@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, fingerprint, language, lines, mixing, quality, simhash, suffixes, toxicity
+from . import decontaminate, fingerprint, language, lines, mixing, perplexity, quality, simhash, suffixes, toxicity
 
 QUALITY_THRESHOLD = 0.3
 TOXICITY_THRESHOLD = 0.5
@@ -42,6 +42,13 @@ def op3_language(spark: SparkSession, data_dir: str) -> DataFrame:
     return language.page_languages(_read(spark, data_dir, "pages"), model)
 
 
+def op4_perplexity(spark: SparkSession, data_dir: str) -> DataFrame:
+    documents = _read(spark, data_dir, "documents").select("doc_id", "text")
+    held_out = _fold(F.col("doc_id")) == 1
+    rows = perplexity.scores(documents, perplexity.fit(documents.filter(~held_out)))
+    return rows.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op5_mixing(spark: SparkSession, data_dir: str) -> DataFrame:
     return mixing.mix(_read(spark, data_dir, "documents"))
 
@@ -73,6 +80,7 @@ QUERIES = {
     "op1_quality": op1_quality,
     "op2_decontaminate": op2_decontaminate,
     "op3_language": op3_language,
+    "op4_perplexity": op4_perplexity,
     "op5_mixing": op5_mixing,
     "op6_fingerprint": op6_fingerprint,
     "op7_toxicity": op7_toxicity,
