@@ -32,37 +32,39 @@ def _filled(lines: Column) -> Column:
 
 
 def fingerprint_rows(documents: DataFrame) -> DataFrame:
-    """``(__rid, doc_id, at, hash, first, around)``: winnowed fingerprints and the line hashes around each.
+    """``(__rid, doc_id, hash, lines, around)``: winnowed fingerprints with the lines around each.
 
-    ``around`` begins at line ``first`` and reaches ``RUN - 1`` lines to each side, as far as the document does.
+    ``lines`` and ``around`` have the numbers and hashes of the lines that are not blank, ``RUN - 1`` to each side as far as
+    the document reaches.
     """
-    lines = documents.select("__rid", "doc_id", _lines(F.col("text")).alias("lines"))
-    hashes = F.transform(_filled(F.col("lines")), lambda i: F.xxhash64(F.col("lines")[i]))
-    rows = lines.select("__rid", "doc_id", hashes.alias("h")).filter(F.size("h") >= RUN)
+    rows = documents.select("__rid", "doc_id", _lines(F.col("text")).alias("l"))
+    rows = rows.select("__rid", "doc_id", "l", _filled(F.col("l")).alias("i")).filter(F.size("i") >= RUN)
+    rows = rows.select("__rid", "doc_id", "i", F.transform("i", lambda i: F.xxhash64(F.col("l")[i])).alias("h"))
     windows = F.sequence(F.lit(0), F.size("h") - RUN)
     lowest = F.transform(windows, lambda s: F.array_min(F.transform(
-        F.sequence(s, s + RUN - 1), lambda i: F.struct(F.col("h")[i].alias("hash"), (-i).alias("back")))))
-    rows = rows.select("__rid", "doc_id", "h", F.explode(F.array_distinct(lowest)).alias("f"))
-    rows = rows.select("__rid", "doc_id", "h", (-F.col("f.back")).alias("at"), F.col("f.hash").alias("hash"))
-    first = F.greatest(F.col("at") - (RUN - 1), F.lit(0))
-    return rows.select("__rid", "doc_id", "at", "hash", first.alias("first"),
-                       F.slice("h", first + 1, F.col("at") + RUN - first).alias("around"))
+        F.sequence(s, s + RUN - 1), lambda k: F.struct(F.col("h")[k].alias("hash"), (-k).alias("back")))))
+    rows = rows.select("__rid", "doc_id", "i", "h", F.explode(F.array_distinct(lowest)).alias("f"))
+    first = F.greatest(-F.col("f.back") - (RUN - 1), F.lit(0))
+    length = -F.col("f.back") + RUN - first
+    return rows.select("__rid", "doc_id", F.col("f.hash").alias("hash"),
+                       F.slice("i", first + 1, length).alias("lines"), F.slice("h", first + 1, length).alias("around"))
 
 
 def later_repeats(documents: DataFrame) -> DataFrame:
-    """``(__rid, starts)``: where, among a document's lines that are not blank, runs begin that have occurred before."""
+    """``(__rid, gone)``: the lines of each document that runs cover which have occurred before."""
     rows = written(fingerprint_rows(documents), "line-fingerprints")
     several = rows.groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1").select("hash")
     found = rows.join(several, "hash", "left_semi")
     starts = F.sequence(F.lit(0), F.size("around") - RUN)
-    runs = found.select("__rid", "doc_id", "first", "around", F.explode(starts).alias("s")).select(
-        "__rid", "doc_id", (F.col("first") + F.col("s")).alias("start"),
+    runs = found.select("__rid", "doc_id", "lines", "around", F.explode(starts).alias("s")).select(
+        "__rid", "doc_id", F.slice("lines", F.col("s") + 1, RUN).alias("lines"),
         F.xxhash64(F.slice("around", F.col("s") + 1, RUN)).alias("run")).distinct()
     runs = written(runs, "line-runs")
-    place = F.struct("doc_id", "__rid", "start")
+    place = F.struct("doc_id", "__rid", F.col("lines")[0])
     origin = runs.groupBy("run").agg(F.min(place).alias("origin"), F.count("*").alias("n")).filter("n > 1")
     later = runs.join(origin.select("run", "origin"), "run").filter(place > F.col("origin"))
-    return written(later.groupBy("__rid").agg(F.collect_set("start").alias("starts")), "line-repeats")
+    return written(later.groupBy("__rid").agg(
+        F.array_distinct(F.flatten(F.collect_list("lines"))).alias("gone")), "line-repeats")
 
 
 def dedup_lines(documents: DataFrame) -> DataFrame:
@@ -70,17 +72,14 @@ def dedup_lines(documents: DataFrame) -> DataFrame:
     frame = numbered(documents)
     repeats = later_repeats(frame.select("__rid", "doc_id", "text"))
     packed = frame.select("__rid", "text", F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("__row"))
-    lines = _lines(F.col("text"))
-    filled = _filled(lines)
-    covered = F.array_distinct(F.flatten(F.transform("starts", lambda s: F.sequence(s, s + RUN - 1))))
-    deleted = F.transform(covered, lambda i: filled[i])
-    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), deleted)
-    text = F.when(F.col("starts").isNull(), F.col("text")).otherwise(
-        F.array_join(F.transform(kept, lambda i: lines[i]), "\n"))
-    return packed.join(repeats, "__rid", "left").select(
-        "__row", text.alias("__text"),
-        F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long").alias("__lines"),
-        F.coalesce(F.size(covered), F.lit(0)).cast("long").alias("__deleted"))
+    # the lines are a layer of their own, so that a text is split once and not for each of its lines
+    rows = packed.join(repeats, "__rid", "left").select("__row", "text", "gone", _lines(F.col("text")).alias("l"))
+    kept = F.array_except(F.sequence(F.lit(0), F.size("l") - 1), "gone")
+    text = F.when(F.col("gone").isNull(), F.col("text")).otherwise(
+        F.array_join(F.transform(kept, lambda i: F.col("l")[i]), "\n"))
+    return rows.select(
+        "__row", text.alias("__text"), F.when(F.col("text").isNull(), 0).otherwise(F.size("l")).cast("long").alias("__lines"),
+        F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).cast("long").alias("__deleted"))
 
 
 def without_repeated_lines(documents: DataFrame) -> DataFrame:
