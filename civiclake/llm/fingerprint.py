@@ -60,8 +60,9 @@ def phrases(name: np.ndarray, first: np.ndarray, label: np.ndarray | None = None
     for _ in range(4 if label is None else 3):
         coins = _toss(coins, first)
     begins = first.copy()
-    if len(coins) > 2:
-        begins[1:-1] |= (coins[1:-1] > coins[:-2]) & ((coins[1:-1] > coins[2:]) | first[2:])
+    # the last symbol of a text has nothing after it, wherever the text stands among others
+    highest = np.append((coins[:-1] > coins[1:]) | first[1:], True)
+    begins[1:] |= highest[1:] & (coins[1:] > coins[:-1])
     start = np.flatnonzero(begins)
     length = np.diff(np.concatenate((start, [len(symbol)])))
     inner = np.arange(len(symbol)) - np.repeat(start, length)
