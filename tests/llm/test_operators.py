@@ -219,7 +219,7 @@ def test_repeated_strings(docs, rows, empty):
 
 
 def test_repeated_strings_of_hot_anchors_and_long_texts(docs, rows, monkeypatch):
-    monkeypatch.setattr(suffixes, "HOT_ROWS", 2)
+    monkeypatch.setattr(suffixes, "HOT_CONTEXTS", 2)
     monkeypatch.setattr(suffixes, "SORTED_AT_ONCE", 500)
     same(suffixes.removal_report(docs).collect(), brute.repeated_bytes(pairs(rows)))
 
