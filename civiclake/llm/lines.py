@@ -73,7 +73,8 @@ def dedup_lines(documents: DataFrame) -> DataFrame:
     repeats = later_repeats(frame.select("__rid", "doc_id", "text"))
     packed = frame.select("__rid", "text", F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("__row"))
     # the lines are a layer of their own, so that a text is split once and not for each of its lines
-    rows = packed.join(repeats, "__rid", "left").select("__row", "text", "gone", _lines(F.col("text")).alias("l"))
+    # always a merge join, so that the plan (and what it moves) is the same at every size
+    rows = packed.join(repeats.hint("merge"), "__rid", "left").select("__row", "text", "gone", _lines(F.col("text")).alias("l"))
     kept = F.array_except(F.sequence(F.lit(0), F.size("l") - 1), "gone")
     text = F.when(F.col("gone").isNull(), F.col("text")).otherwise(
         F.array_join(F.transform(kept, lambda i: F.col("l")[i]), "\n"))

@@ -144,4 +144,4 @@ def drop_near_duplicates(documents: DataFrame) -> DataFrame:
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "__rid")
     first = rows.groupBy("root").agg(F.min(order)["__rid"].alias("stays"))
     others = written(rows.join(first, "root").filter("__rid <> stays").select("__rid"), "others")
-    return numbered(documents).join(others, "__rid", "left_anti").select(*[F.col(f"`{c}`") for c in documents.columns])
+    return numbered(documents).join(others.hint("merge"), "__rid", "left_anti").select(*[F.col(f"`{c}`") for c in documents.columns])
