@@ -118,9 +118,10 @@ def _hubs(points: DataFrame) -> DataFrame:
 def near_links(distinct: DataFrame) -> DataFrame:
     """Edges ``(a, b)`` that connect all of ``distinct (fp)`` within two bits of each other, exactly."""
     grid = distinct.select("fp", F.explode(meeting_cells(F.col("fp"))).alias("at"))
-    met = written(grid.join(_hubs(grid).select("at"), "at", "left_semi").select("fp").distinct(), "met")
+    # always merge joins, so that the plan (and what it moves) is the same at every size
+    met = written(grid.join(_hubs(grid).select("at").hint("merge"), "at", "left_semi").select("fp").distinct(), "met")
     exact = met.select("fp", F.explode(one_bit_away(F.col("fp"))).alias("at"))
-    return exact.join(_hubs(exact), "at").filter("fp <> hub").select(F.col("fp").alias("a"), F.col("hub").alias("b"))
+    return exact.join(_hubs(exact).hint("merge"), "at").filter("fp <> hub").select(F.col("fp").alias("a"), F.col("hub").alias("b"))
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
