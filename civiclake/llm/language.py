@@ -128,10 +128,10 @@ def _blend(counts: Column, prior: Column) -> Column:
 def _value_evidence(rows: DataFrame, column: str, k: int) -> DataFrame:
     """``(column, log)``: log-likelihood of each value of a column by language."""
     by_value = rows.filter(F.col(column).isNotNull()).groupBy(column).agg(_tally(F.col("guess"), k).alias("n"))
-    totals = by_value.agg(*[F.sum(F.col("n")[i]).alias(f"t{i}") for i in range(k)], F.count("*").alias("values"))
-    smoothed = [F.log((F.col("n")[i] + UNSEEN) / (F.col(f"t{i}") + UNSEEN * (F.col("values") + 1))) for i in range(k)]
-    # the totals are a single row
-    return by_value.crossJoin(F.broadcast(totals)).select(column, F.array(*smoothed).alias(f"{column}_log"))
+    by_value = written(by_value, f"language-{column}")
+    *totals, values = by_value.agg(*[F.coalesce(F.sum(F.col("n")[i]), F.lit(0.0)) for i in range(k)], F.count("*")).first()
+    smoothed = [F.log((F.col("n")[i] + UNSEEN) / (t + UNSEEN * (values + 1))) for i, t in enumerate(totals)]
+    return by_value.select(column, F.array(*smoothed).alias(f"{column}_log"))
 
 
 def identify(evidence: DataFrame, languages: list[str]) -> DataFrame:
@@ -148,25 +148,22 @@ def identify(evidence: DataFrame, languages: list[str]) -> DataFrame:
     sure = rows.filter(F.col("trigrams") >= LEAST_TRIGRAMS)
 
     by_host = written(sure.groupBy("host", "domain").agg(_tally(F.col("guess"), k).alias("n")), "language-hosts")
-    every = by_host.agg(*[F.coalesce(F.sum(F.col("n")[i]), F.lit(0.0)).alias(f"g{i}") for i in range(k)])
-    uniform = F.array(*[F.lit(1.0 / k)] * k)
-    every = every.select(_blend(F.array(*[F.col(f"g{i}") for i in range(k)]), uniform).alias("overall"))
+    counted = by_host.agg(*[F.coalesce(F.sum(F.col("n")[i]), F.lit(0.0)) for i in range(k)]).first()
+    overall = F.array(*[F.lit((n + PRIOR_ROWS / k) / (sum(counted) + PRIOR_ROWS)) for n in counted])
     domains = by_host.groupBy("domain").agg(F.array(*[F.sum(F.col("n")[i]) for i in range(k)]).alias("m"))
-    domains = domains.crossJoin(F.broadcast(every)).select(
-        F.col("domain").alias("d"), F.when(F.col("domain").isNull(), F.col("overall")).otherwise(
-            _blend(F.col("m"), F.col("overall"))).alias("above"))
+    domains = domains.select(F.col("domain").alias("d"), F.when(F.col("domain").isNull(), overall).otherwise(
+        _blend(F.col("m"), overall)).alias("above"))
     h = by_host.alias("h").join(domains, F.expr("domain <=> d"))
     hosts = written(h.select(
         F.col("h.host").alias("__host"), F.col("h.domain").alias("__domain"),
         F.when(F.col("h.host").isNull(), F.col("above")).otherwise(_blend(F.col("n"), F.col("above"))).alias("prior")), "language-priors")
-    values = {c: written(_value_evidence(sure, c, k), f"language-{c}") for c in ("declared", "suffix")}
+    values = {c: _value_evidence(sure, c, k) for c in ("declared", "suffix")}
 
     fused = rows.join(hosts, F.expr("host <=> __host and domain <=> __domain"), "left")
     for c, table in values.items():
         fused = fused.join(table, c, "left")
-    fused = fused.crossJoin(F.broadcast(every))
     nothing = F.array(*[F.lit(0.0)] * k)
-    score = _plus(F.col("evidence"), F.transform(F.coalesce("prior", "overall"), lambda p: F.log(p)))
+    score = _plus(F.col("evidence"), F.transform(F.coalesce(F.col("prior"), overall), lambda p: F.log(p)))
     for c in values:
         score = _plus(score, F.coalesce(f"{c}_log", nothing))
     fused = fused.select("__rid", "guess", "trigrams", score.alias("score"))
