@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import functions as fx
 from ..operators.profiling import date_category
-from .registry import query, table, wide_table
+from .registry import query, table
 
 MONEY_TEXT = "translate(format_number(CAST(o_totalprice AS DECIMAL(18,2)), 2), ',.', '.,')"
 
@@ -66,7 +66,8 @@ def days_extract(spark, d):
 
 
 @query("clean_text", r"""
-WITH c AS (SELECT doc_id, CASE doc_id % 7 WHEN 1 THEN ' - ' WHEN 2 THEN '' ELSE text END AS raw FROM documents)
+WITH c AS (SELECT doc_id, text AS raw FROM documents
+  UNION ALL SELECT -1 - doc_id, CASE doc_id % 3 WHEN 0 THEN ' - ' WHEN 1 THEN '' ELSE chr(160) || ' a ' || chr(9) || chr(10) || 'b ' END FROM documents)
 SELECT doc_id, nullif(nullif(regexp_replace(regexp_replace(regexp_replace(raw,
    '^[\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+', ''),
    '[\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+$', ''),
@@ -74,8 +75,10 @@ SELECT doc_id, nullif(nullif(regexp_replace(regexp_replace(regexp_replace(raw,
    ''), '-') AS texto
 FROM c""")
 def clean_text(spark, d):
-    raw = F.expr("CASE doc_id % 7 WHEN 1 THEN ' - ' WHEN 2 THEN '' ELSE text END")
-    return wide_table(spark, d, "documents").select("doc_id", fx.clean_text(raw).alias("texto"))
+    documents = table(spark, d, "documents")
+    awkward = F.expr("CASE doc_id % 3 WHEN 0 THEN ' - ' WHEN 1 THEN '' ELSE concat(chr(160), ' a ', chr(9), chr(10), 'b ') END")
+    raw = documents.select("doc_id", F.col("text").alias("raw")).union(documents.select(-1 - F.col("doc_id"), awkward))
+    return raw.select("doc_id", fx.clean_text(F.col("raw")).alias("texto"))
 
 
 @query("modality_type", """
@@ -119,7 +122,7 @@ def payee_split(spark, d):
       WHEN 0 THEN '123.' || lpad(o_orderkey % 1000, 3, '0') || '.789-00 - PESSOA ' || o_custkey
       WHEN 1 THEN 'FAVORECIDO COLETIVO' WHEN 2 THEN NULL WHEN 3 THEN {base} || '000199'
       ELSE {dotted} || ' - FUNDO - ' || o_custkey END"""
-    out = wide_table(spark, d, "orders").select("o_orderkey", fx.split_payee(F.expr(text)).alias("p"))
+    out = table(spark, d, "orders").select("o_orderkey", fx.split_payee(F.expr(text)).alias("p"))
     return out.select("o_orderkey", F.col("p.id").alias("id"), F.col("p.name").alias("nome"), F.col("p.kind").alias("tipo"))
 
 
@@ -175,7 +178,7 @@ SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(text, '[\x{00}-\x{08
 FROM documents""")
 def mojibake_fix(spark, d):
     garbled = F.when(F.col("doc_id") % 2 == 0, F.decode(F.encode("text", "UTF-8"), "ISO-8859-1")).otherwise(F.col("text"))
-    return wide_table(spark, d, "documents").select("doc_id", fx.fix_mojibake(garbled).alias("texto"))
+    return table(spark, d, "documents").select("doc_id", fx.fix_mojibake(garbled).alias("texto"))
 
 
 CODE = """CASE WHEN o_orderkey % 7 = 0 THEN 'S/I' WHEN o_orderkey % 11 = 0 THEN 'REL. GERAL'

@@ -6,8 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..sources.files import fill_cores
-
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, QueryFn] = {}
@@ -31,7 +29,3 @@ def query(name: str, oracle: str | None = None) -> Callable[[QueryFn], QueryFn]:
 def table(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{data_dir}/{name}.parquet")
 
-
-def wide_table(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
-    """A table for row-heavy work: small unsplittable files are spread over the cores."""
-    return fill_cores(table(spark, data_dir, name))

@@ -13,7 +13,7 @@ from ..plans.silver import silver_amendments
 from ..sources import payload
 from ..sources.schemas import REVENUE_LEVELS, revenue_file
 from .parsing import DUCK_DATE_FIELD, MONEY_TEXT, SPARK_DATE_FIELD
-from .registry import query, table, wide_table
+from .registry import query, table
 
 # Amendment side = orders, document side = lineitem; both derive the code from the order key.
 VALID = "{k} % 7 <> 0 AND {k} % 11 <> 0"
@@ -73,9 +73,9 @@ def _establishments(spark, d) -> DataFrame:
 
 @query("company_match", f"""
 SELECT l_orderkey, l_linenumber, {PRICE} AS valor, {PAYEE_BASE} || '000100' AS cnpj, s_name AS nome_fantasia
-FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE l_orderkey % 10 <> 3 AND l_orderkey % 11 <> 4 AND l_returnflag <> 'N'""")
+FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE l_orderkey % 10 <> 3 AND l_orderkey % 11 <> 4""")
 def company_match(spark, d):
-    payments = wide_table(spark, d, "lineitem").where("l_returnflag <> 'N'").select(
+    payments = table(spark, d, "lineitem").select(
         "l_orderkey", "l_linenumber", F.expr(PRICE).alias("valor"),
         F.expr(f"""CASE WHEN l_orderkey % 10 = 3 THEN 'FAVORECIDO COLETIVO' WHEN l_orderkey % 11 = 4 THEN '123.456.789-00 - FULANO'
           ELSE substr({PAYEE_BASE},1,2) || '.' || substr({PAYEE_BASE},3,3) || '.' || substr({PAYEE_BASE},6,3) || '/0001-00 - FORNECEDOR' END""").alias("favorecido"))
@@ -165,7 +165,8 @@ def adhoc_sql(spark, d):
     return spark.sql(ADHOC)
 
 
-CATALOGUED = ["customer", "documents", "events", "labels", "lineitem", "orders", "pages"]
+CATALOGUED = sorted("region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
+                    "labels conversations".split())
 
 
 @query("catalog_tables", " UNION ALL ".join(
@@ -198,7 +199,7 @@ def _revenue_records(spark, d) -> DataFrame:
     moves = f"""concat('"listMovimentos":[', array_join(transform(
       CASE WHEN o_orderkey % 3 = 0 THEN CAST(array() AS ARRAY<BIGINT>) ELSE sequence(1L, o_orderkey % 3) END, i -> concat('{{"dataMovimento":"',
       date_format(date_add(CAST(o_orderdate AS DATE), CAST(i AS INT)), 'yyyy-MM-dd'), '","tipoMovimento":"Arrecadação","valorMovimento":', {money}, '}}')), ','), '],')"""
-    landed = wide_table(spark, d, "orders").select(
+    landed = table(spark, d, "orders").select(
         F.expr(body).alias("body"), F.expr(moves).alias("moves")
     ).select(F.concat(
         F.substring_index("body", '"exercicio":{', 1), "moves", F.lit('"exercicio":{'), F.substring_index("body", '"exercicio":{', -1),
@@ -244,6 +245,7 @@ def revenue_rollup(spark, d):
 # -- counts and profiles ------------------------------------------------------------
 
 LABELLED = "documents LEFT JOIN labels ON documents.doc_id = labels.doc_id"
+LABELLED_COLUMNS = {"doc_id": "documents.doc_id", **{c: c for c in ("text", "lang", "source", "n_chars", "quality", "toxic")}}
 
 
 def _labelled(spark, d) -> DataFrame:
@@ -252,9 +254,9 @@ def _labelled(spark, d) -> DataFrame:
 
 @query("null_counts", " UNION ALL ".join(
     f"SELECT '{c}' AS column_name, count({q}) AS non_null, count(*) - count({q}) AS nulls FROM {LABELLED}"
-    for c, q in [("doc_id", "documents.doc_id"), ("lang", "lang"), ("source", "source"), ("quality", "quality"), ("toxic", "toxic")]))
+    for c, q in LABELLED_COLUMNS.items()))
 def null_counts(spark, d):
-    return rollups.null_counts(_labelled(spark, d), ["doc_id", "lang", "source", "quality", "toxic"])
+    return rollups.null_counts(_labelled(spark, d), list(LABELLED_COLUMNS))
 
 
 @query("dup_keys", "SELECT user_id, event_type, count(*) AS n FROM events GROUP BY 1, 2 HAVING count(*) > 1")
@@ -273,10 +275,10 @@ NOTE = "CASE WHEN quality IS NULL THEN NULL WHEN {k} % 5 = 0 THEN ' - ' WHEN {k}
 
 
 def _duck_completeness() -> str:
-    columns = {"doc_id": "documents.doc_id", "lang": "lang", "quality": "quality", "nota": NOTE.format(k="documents.doc_id")}
+    columns = {**LABELLED_COLUMNS, "nota": NOTE.format(k="documents.doc_id")}
     parts = []
     for name, c in columns.items():
-        empty = f"count(*) FILTER (trim({c}) IN ('', '-', 'NA', 'None'))" if name in ("lang", "nota") else "0"
+        empty = f"count(*) FILTER (trim({c}) IN ('', '-', 'NA', 'None'))" if name in ("text", "lang", "source", "nota") else "0"
         parts.append(f"SELECT '{name}' AS column_name, count(*) AS t, count(*) FILTER (({c}) IS NULL) AS nulls, {empty} AS empty FROM {LABELLED}")
     union = " UNION ALL ".join(parts)
     return f"""SELECT column_name, t - nulls - empty AS valid, nulls, CAST(empty AS BIGINT) AS empty,
@@ -285,7 +287,7 @@ def _duck_completeness() -> str:
 
 def _profiled(spark, d) -> DataFrame:
     return profiling.completeness(
-        _labelled(spark, d).select("doc_id", "lang", "quality", F.expr(NOTE.format(k="doc_id")).alias("nota")))
+        _labelled(spark, d).select(*LABELLED_COLUMNS, F.expr(NOTE.format(k="doc_id")).alias("nota")))
 
 
 @query("completeness_profile", _duck_completeness())
@@ -394,8 +396,8 @@ DUCK_NOT_NULL = [("documents", c, "not_null", s, f"SELECT count(*) - count({q})
 DUCK_UNIQUE = [("documents", "doc_id", "unique", "error", _duck_unique("documents", "doc_id")),
                ("events", "user_id", "unique", "warn", _duck_unique("events", "user_id")),
                ("documents", "text", "unique", "warn", _duck_unique("documents", "text"))]
-DUCK_FRESH = [("events", "ts", "freshness", "warn", "SELECT CAST(date_diff('day', max(ts), TIMESTAMP '2024-03-15') > 90 AS INTEGER) FROM events"),
-              ("orders", "o_orderdate", "freshness", "warn", "SELECT CAST(date_diff('day', max(o_orderdate), TIMESTAMP '2024-03-15') > 90 AS INTEGER) FROM orders")]
+DUCK_FRESH = [("events", "ts", "freshness", "warn", "SELECT CAST(max(ts) < TIMESTAMP '2024-03-15' - INTERVAL 90 DAY AS INTEGER) FROM events"),
+              ("orders", "o_orderdate", "freshness", "warn", "SELECT CAST(max(o_orderdate) < TIMESTAMP '2024-03-15' - INTERVAL 90 DAY AS INTEGER) FROM orders")]
 
 
 def _audited(spark, d) -> dict[str, DataFrame]:
@@ -442,7 +444,7 @@ FROM raw QUALIFY row_number() OVER (PARTITION BY codigo_emenda, codigo_documento
   translate(format('{{:,.2f}}', CAST({PRICE} AS DOUBLE)), ',.', '.,')) = 1""")
 def silver_emendas(spark, d):
     price = MONEY_TEXT.replace("o_totalprice", "l_extendedprice")
-    raw = wide_table(spark, d, "lineitem").select(
+    raw = table(spark, d, "lineitem").select(
         F.expr("CAST(CASE WHEN l_linenumber % 2 = 0 THEN '2024-02-01 06:00:00' ELSE '2024-01-01 06:00:00' END AS TIMESTAMP)").alias("data_extracao"),
         F.expr(LINE_CODE).alias("codigo_emenda"),
         F.expr("date_format(l_shipdate, 'yyyy') || 'OB' || lpad(CAST(l_suppkey AS STRING), 6, '0')").alias("codigo_documento"),

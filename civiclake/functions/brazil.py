@@ -94,22 +94,22 @@ _PAYEE_ID = (
 def split_payee(c: Column) -> Column:
     """``"<id> - <name>"`` as ``struct<id,name,kind>``; id holds digits only.
 
-    kind is CNPJ, CPF or ``outro``; for ``outro`` the whole text is the name.
+    kind is CNPJ, CPF or ``outro``; for ``outro`` the whole text is the name.  The pattern
+    runs once per row: it marks the end of the id, and a one-element list carries the
+    marked text to the fields.
     """
-    token = F.regexp_extract(c, _PAYEE_ID, 1)
-    digits = F.regexp_replace(token, r"[^0-9]", "")
-    kind = (
-        F.when(c.isNull(), F.lit(None))
-        .when(F.length(digits) == 14, "CNPJ")
-        .when(token != "", "CPF")
-        .otherwise("outro")
-    )
-    name = F.when(token == "", strip(c)).otherwise(strip(F.regexp_replace(c, _PAYEE_ID, "")))
-    return F.struct(
-        F.when(token != "", digits).alias("id"),
-        F.when(name != "", name).alias("name"),
-        kind.alias("kind"),
-    )
+    mark = "\u0001"
+    marked = F.regexp_replace(F.translate(c, mark, " "), _PAYEE_ID, "$1" + mark)
+
+    def fields(text: Column) -> Column:
+        known = F.instr(text, mark) > 0
+        digits = F.translate(F.substring_index(text, mark, 1), ".-/*", "")
+        name = strip(F.when(known, F.substring_index(text, mark, -1)).otherwise(text))
+        kind = F.when(text.isNotNull(), F.when(~known, "outro").when(F.length(digits) == 14, "CNPJ").otherwise("CPF"))
+        return F.struct(
+            F.when(known, digits).alias("id"), F.when(name != "", name).alias("name"), kind.alias("kind"))
+
+    return F.transform(F.array(marked), fields)[0]
 
 
 def payee_cnpj(c: Column) -> Column:

@@ -49,26 +49,21 @@ def same_rows(a: DataFrame, b: DataFrame) -> DataFrame:
 def snapshot_diff(before: DataFrame, after: DataFrame, keys: list[str]) -> DataFrame:
     """Keys whose rows differ between two states: added, removed or changed.
 
-    Equal rows cancel in a map-side combined sum, so only real differences reach the
-    second, key-wise step.
+    Whole rows are counted per side with a map-side combined sum, then all of a key's rows:
+    a key that both states hold is changed, however many of its rows are equal.
     """
-    changed = _net(after, before).where("_p <> _m")
-    gained, lost = F.max(F.col("_p") > F.col("_m")), F.max(F.col("_p") < F.col("_m"))
-    still_old = F.max("_m") > 0
-    still_new = F.max("_p") > 0
+    rows = _net(after, before)
+    gained, lost = F.greatest(F.col("_p") - F.col("_m"), F.lit(0)), F.greatest(F.col("_m") - F.col("_p"), F.lit(0))
     return (
-        changed.groupBy(*keys)
+        rows.groupBy(*keys)
         .agg(
-            gained.alias("_g"), lost.alias("_l"), still_old.alias("_o"), still_new.alias("_n"),
-            F.sum(F.greatest(F.col("_p") - F.col("_m"), F.lit(0))).cast("bigint").alias("rows_added"),
-            F.sum(F.greatest(F.col("_m") - F.col("_p"), F.lit(0))).cast("bigint").alias("rows_removed"),
+            F.sum("_m").alias("_old"), F.sum("_p").alias("_new"),
+            F.sum(gained).cast("bigint").alias("rows_added"), F.sum(lost).cast("bigint").alias("rows_removed"),
         )
+        .where("rows_added + rows_removed > 0")
         .select(
             *keys,
-            F.when(F.col("_g") & F.col("_l"), "changed")
-            .when(F.col("_g"), F.when(F.col("_o"), "changed").otherwise("added"))
-            .otherwise(F.when(F.col("_n"), "changed").otherwise("removed"))
-            .alias("change"),
+            F.when(F.col("_old") == 0, "added").when(F.col("_new") == 0, "removed").otherwise("changed").alias("change"),
             "rows_added",
             "rows_removed",
         )

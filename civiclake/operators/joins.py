@@ -21,7 +21,7 @@ def valid_amendments(amendments: DataFrame, code: str = "codigo_emenda") -> tupl
 
 
 def amend_documents(amendments: DataFrame, documents: DataFrame, code: str = "codigo_emenda",
-                    min_share: float | None = 0.01) -> DataFrame:
+                    min_share: float | None = None) -> DataFrame:
     """One row per execution document of a valid amendment.
 
     Codes are checked on both sides before the shuffle; amendments without documents
@@ -33,13 +33,13 @@ def amend_documents(amendments: DataFrame, documents: DataFrame, code: str = "co
 
 
 def documents_with_works(documents: DataFrame, works: DataFrame, columns: list[str],
-                         key: str = "obra_id", min_share: float | None = 0.01) -> DataFrame:
+                         key: str = "obra_id", min_share: float | None = None) -> DataFrame:
     """Documents left-joined to the chosen columns of their public work."""
     return skew_join(documents, works.select(key, *columns), key, "left", min_share=min_share)
 
 
 def company_match(payments: DataFrame, establishments: DataFrame, payee: str = "favorecido",
-                  min_share: float | None = 0.01) -> DataFrame:
+                  min_share: float | None = None) -> DataFrame:
     """Payments matched to the establishment with the payee's full 14-digit id.
 
     ``establishments`` needs cnpj_basico, cnpj_ordem and cnpj_dv and one row per id.
@@ -52,7 +52,7 @@ def company_match(payments: DataFrame, establishments: DataFrame, payee: str = "
 
 
 def partner_network(companies: DataFrame, establishments: DataFrame, partners: DataFrame,
-                    key: str = "cnpj_basico", min_share: float | None = 0.01) -> DataFrame:
+                    key: str = "cnpj_basico", min_share: float | None = None) -> DataFrame:
     """Partners of every company with a summary of its establishments.
 
     Establishments are counted per company before the join: joining the two many-sides

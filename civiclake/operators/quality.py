@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -61,11 +61,11 @@ def relationships(df: DataFrame, rule: Rule, parent: DataFrame) -> DataFrame:
 
 def freshness(df: DataFrame, rule: Rule, now: datetime) -> DataFrame:
     """1 if the newest load is older than allowed (or there is none)."""
-    age = F.datediff(F.lit(now).cast("timestamp"), F.max(rule.column))
-    return df.agg(
-        F.when(F.coalesce(age, F.lit(rule.max_age_days + 1)) > rule.max_age_days, 1).otherwise(0)
-        .cast("bigint").alias("failures")
-    ).select(F.lit(rule.name).alias("rule"), "failures")
+    # a naive ``now`` is UTC; the oldest load allowed is an instant, not a calendar day
+    now = now if now.tzinfo else now.replace(tzinfo=timezone.utc)
+    oldest = F.timestamp_seconds(F.lit((now - timedelta(days=rule.max_age_days)).timestamp()))
+    fresh = F.coalesce(F.max(F.col(rule.column).cast("timestamp")) >= oldest, F.lit(False))
+    return df.agg((~fresh).cast("bigint").alias("failures")).select(F.lit(rule.name).alias("rule"), "failures")
 
 
 def run_rules(tables: dict[str, DataFrame], rules: list[Rule], now: datetime | None = None) -> DataFrame:
@@ -73,6 +73,9 @@ def run_rules(tables: dict[str, DataFrame], rules: list[Rule], now: datetime | N
 
     A failing rule has status FAIL if its severity is error, WARN otherwise.
     """
+    names = [r.name for r in rules]
+    if twice := sorted({n for n in names if names.count(n) > 1}):
+        raise ValueError(f"rules named twice: {', '.join(twice)}")
     by_table: dict[str, list[Rule]] = {}
     for rule in rules:
         by_table.setdefault(rule.table, []).append(rule)
@@ -91,19 +94,11 @@ def run_rules(tables: dict[str, DataFrame], rules: list[Rule], now: datetime | N
                 parts.append(freshness(df, rule, now or datetime.now(timezone.utc)))
             elif rule.kind != "not_null":
                 raise ValueError(f"unknown rule kind {rule.kind!r}")
-    facts = {r.name: r for r in rules}
-    rule = F.col("rule")
-
-    def fact(field: str):
-        picked = F.lit(None).cast("string")
-        for name, r in facts.items():
-            picked = F.when(rule == name, F.lit(getattr(r, field))).otherwise(picked)
-        return picked
-
-    out = union_all(parts).select(
-        fact("table").alias("table_name"), fact("column").alias("column_name"),
-        fact("kind").alias("kind"), fact("severity").alias("severity"), "failures",
-    )
+    results = union_all(parts)
+    facts = results.sparkSession.createDataFrame(
+        [(r.name, r.table, r.column, r.kind, r.severity) for r in rules],
+        "rule string, table_name string, column_name string, kind string, severity string")
+    out = results.join(facts, "rule").select("table_name", "column_name", "kind", "severity", "failures")
     failing = F.col("failures") > 0
     return out.withColumn(
         "status",
@@ -138,4 +133,13 @@ BRONZE_RULES = [
     Rule("cgu_emendas_parlamentares", "codigo_documento", "not_null"),
     Rule("cgu_emendas_parlamentares", "fase_documento", "not_null"),
     Rule("cgu_emendas_parlamentares", "favorecido", "not_null", WARN),
+    *[Rule(t, "data_extracao", "freshness", WARN, max_age_days=90)
+      for t in ("rfb_cnpj_empresas", "rfb_cnpj_estabelecimentos", "rfb_cnpj_socios")],
+]
+
+# Rules of the Silver quotes (fixed values).
+SILVER_RULES = [
+    Rule("quotes", "quote_text", "not_null"),
+    Rule("quotes", "quote_text", "unique"),
+    Rule("quotes", "author_name", "not_null"),
 ]

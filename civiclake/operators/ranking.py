@@ -6,6 +6,7 @@ from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import shared_root
 
@@ -45,16 +46,39 @@ def global_index(df: DataFrame, order: list[Column], index: str = "_index") -> D
     return located.select(*df.columns, (start_of + within).alias(index))
 
 
-def slice_by_rank(df: DataFrame, key: str, offset: int, size: int) -> DataFrame:
-    """Rows at positions ``offset .. offset+size-1`` when sorted by the unique ``key``.
+def slice_by_rank(df: DataFrame, key: str, offset: int, size: int, ranges: int = 64) -> DataFrame:
+    """Rows at positions ``offset .. offset+size-1`` when sorted by the unique, non-null ``key``.
 
-    Only the key column is ranked; the rows themselves are then read with a key range,
-    which reaches the scan as a pushed filter.
+    Rows are counted per key range (edges are estimated quantiles, so at most ``ranges``
+    small numbers reach the driver); only the ranges that hold the slice are sorted, and
+    rows without a key have no position.
     """
-    ranked = global_index(df.select(key), [F.col(key).asc()])
-    edge = ranked.where(F.col("_index").between(offset, offset + size - 1)).agg(
-        F.min(key).alias("low"), F.max(key).alias("high")
-    ).first()
-    if edge["low"] is None:
+    keyed = df.where(F.col(key).isNotNull())
+    shares = [i / ranges for i in range(1, ranges)]
+    if isinstance(df.schema[key].dataType, T.NumericType):
+        edges = keyed.agg(F.percentile_approx(key, shares, 10 * ranges)).first()[0] or []
+    else:
+        drawn = keyed.select(key).orderBy(F.xxhash64(key)).limit(10 * ranges).collect()
+        edges = sorted(r[0] for r in drawn)[::10]
+    edges = sorted(set(edges))
+    if not edges:
+        return keyed.orderBy(key).offset(offset).limit(size)
+    kind = df.schema[key].dataType.simpleString()
+    band = F.aggregate(F.lit(edges).cast(f"array<{kind}>"), F.lit(0), lambda n, e: n + (e <= F.col(key)).cast("int"))
+    counts = dict(keyed.groupBy(band.alias("band")).agg(F.count("*")).collect())
+    start, low, high, skipped = 0, None, None, 0
+    for i in range(len(edges) + 1):
+        n = counts.get(i, 0)
+        if start + n > offset and start < offset + size and n:
+            if low is None:
+                low, skipped = i, start
+            high = i
+        start += n
+    if low is None:
         return df.where(F.lit(False))
-    return df.where(F.col(key).between(F.lit(edge["low"]), F.lit(edge["high"])))
+    inside = F.lit(True)
+    if low > 0:
+        inside = inside & (F.col(key) >= F.lit(edges[low - 1]))
+    if high < len(edges):
+        inside = inside & (F.col(key) < F.lit(edges[high]))
+    return keyed.where(inside).orderBy(key).offset(offset - skipped).limit(size)

@@ -28,21 +28,22 @@ def hot_keys(df: DataFrame, key: str, min_share: float = 0.01, fraction: float =
 
 
 def skew_join(many: DataFrame, one: DataFrame, key: str, how: str = "inner", *,
-              min_share: float | None = 0.01, salts: int | None = None) -> DataFrame:
+              min_share: float | None = None, salts: int | None = None) -> DataFrame:
     """``many JOIN one ON key``, inner or left, with the key column merged.
 
-    ``one`` is meant to be unique per key.  Rows of a hot key are spread over ``salts``
-    tasks (by default as many as there are shuffle partitions, between 32 and 2048), and
-    only the few rows of ``one`` that carry a hot key are repeated.  The salt is a hash of
-    the row and its input partition, so copies of one row spread as well, and a retried
-    task sends every row where the first attempt did.  Without hot keys this is a plain
-    join.
+    ``one`` is meant to be unique per key.  By default this is a plain join, whose hot
+    partitions the adaptive planner splits.  With ``min_share``, keys of that share of the
+    rows are sketched first (a job of its own): their rows are spread over ``salts`` tasks
+    (by default as many as there are shuffle partitions), and only the few rows of ``one``
+    that carry a hot key are repeated.  The salt is a hash of the row and its input
+    partition, so copies of one row spread as well, and a retried task sends every row
+    where the first attempt did.
     """
     hot, hot_null = hot_keys(many, key, min_share) if min_share else ([], False)
     if not hot and not (hot_null and how == "left"):
         return many.join(one, key, how)
     if salts is None:
-        salts = min(2048, max(32, int(many.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+        salts = int(many.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False)) if hot else F.lit(False)
     hashable = [f.name for f in many.schema.fields if "map<" not in f.dataType.simpleString()]
     spread = F.pmod(F.xxhash64(*hashable, F.spark_partition_id()), F.lit(salts)).cast("int")

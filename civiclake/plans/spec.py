@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
@@ -10,10 +11,13 @@ from pyspark.sql import functions as F
 
 from ..operators.normalize import conform, drop_all_null, rename_coerce, stamp
 from ..operators.quality import Rule, gate, run_rules
-from ..sources.files import read_jsonl, read_layout_csv
+from ..sources.files import list_files, read_jsonl, read_layout_csv
 from ..sources.schemas import bronze, layout_for
 from .wap import MAIN, Ledger
 
+#: What the table of a CSV table's rejected lines is called.
+DEAD_LETTERS = "_dead_letters"
+
 
 @dataclass(frozen=True)
 class CsvTable:
@@ -21,10 +25,15 @@ class CsvTable:
 
     pattern: str
     table: str
+    separator: str = ";"
+    encoding: str = "ISO-8859-1"
+    multi_line: bool = False
+    na_tokens: tuple[str, ...] = ()
+    layout: str | None = None  # file pattern whose published layout applies, if not ``pattern``
 
     @property
     def columns(self) -> list[str]:
-        return layout_for(self.pattern)
+        return layout_for(self.layout or self.pattern)
 
 
 @dataclass(frozen=True)
@@ -84,16 +93,32 @@ def normalise(spec: PipelineSpec, raw: DataFrame, load_ts: datetime) -> DataFram
     return stamp(named, load_ts)
 
 
-def load(spark: SparkSession, spec: PipelineSpec, load_ts: datetime) -> dict[str, DataFrame]:
-    """Target table -> normalised rows."""
+def landed(spark: SparkSession, spec: PipelineSpec) -> dict[str, dict[str, str]]:
+    """Target table -> its landed files (location -> identity); a source without files is an error."""
     out = {}
     if spec.source:
-        out[spec.table] = normalise(spec, read_jsonl(spark, spec.source, spec.source_columns), load_ts)
+        out[spec.table] = list_files(spark, spec.source)
+    for target in spec.csv_tables:
+        out[target.table] = list_files(spark, spec.csv_root, target.pattern)
+    return out
+
+
+def load(spark: SparkSession, spec: PipelineSpec, load_ts: datetime,
+         files: dict[str, list[str]]) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    """Target table -> normalised rows, and dead-letter table -> lines that are none."""
+    out, dead = {}, {}
+    if files.get(spec.table or ""):
+        out[spec.table] = normalise(spec, read_jsonl(spark, files[spec.table], spec.source_columns), load_ts)
     for target in spec.csv_tables:
-        rows, _ = read_layout_csv(spark, spec.csv_root, target.pattern)
+        if not files.get(target.table):
+            continue
+        rows, rejects = read_layout_csv(
+            spark, spec.csv_root, target.pattern, columns=target.columns, separator=target.separator, encoding=target.encoding,
+            multi_line=target.multi_line, na_tokens=list(target.na_tokens) or None, files=files[target.table])
         business = rows.select(*target.columns)
         out[target.table] = stamp(drop_all_null(business, target.columns), load_ts)
-    return out
+        dead[f"{target.table}{DEAD_LETTERS}"] = stamp(rejects, load_ts)
+    return out, dead
 
 
 def audit(spec: PipelineSpec, ledger: Ledger, ids: dict[str, str], now: datetime) -> dict:
@@ -111,27 +136,48 @@ def audit(spec: PipelineSpec, ledger: Ledger, ids: dict[str, str], now: datetime
     return gate(run_rules(tables, rules, now)).first().asDict()
 
 
+def published_as(ledger: Ledger, table: str, run: str) -> str | None:
+    """The ingest under which a run has been published, if it has."""
+    return next((i for i in ledger.ingest_ids(table) if i == run or i.startswith(f"{run}_")), None)
+
+
 def run_pipeline(spark: SparkSession, spec: PipelineSpec, ledger: Ledger, at: datetime | None = None) -> dict:
     """One load: staged on its own branch, audited, then published or rejected.
 
-    The branch is closed in either case.  Without branching the rows go straight to main.
+    ``at`` names the run and stamps its rows.  A run that is published already is not
+    repeated, and every attempt writes folders of its own, so nothing that a ref shows
+    can change.  Only landed files that no published ingest holds are read; those of a
+    rejected load stay open.  The branch is closed in any case.  Without branching the
+    rows go straight to main.
     """
     spec.check()
     at = at or datetime.now(timezone.utc)
-    ingest = run_id(spec, at)
+    run = run_id(spec, at)
+    for table in spec.targets():
+        if earlier := published_as(ledger, table, run):
+            return {"ingest_id": earlier, "published": True, "repeated": True, "verdict": {"publish": True},
+                    "dead_letters": {}, "tables": sorted(spec.targets())}
+    consumed = ledger.consumed()
+    new = {t: {f: i for f, i in files.items() if i not in consumed} for t, files in landed(spark, spec).items()}
+    ingest = f"{run}_{uuid.uuid4().hex[:8]}"
+    if not any(new.values()):
+        return {"ingest_id": ingest, "published": False, "repeated": False, "verdict": {"publish": False},
+                "dead_letters": {}, "tables": []}
     branch = ingest if spec.branching else f"direct_{ingest}"
-    ledger.create_branch(branch, spec.from_ref, at)
+    ledger.create_branch(branch, spec.from_ref)
     try:
-        frames = load(spark, spec, at)
-        for table, frame in frames.items():
+        frames, dead = load(spark, spec, at, {t: sorted(files) for t, files in new.items()})
+        for table, frame in {**frames, **dead}.items():
             ledger.write(frame, table, ingest)
-        ledger.mark_staged(branch, [(t, ingest) for t in frames], at)
+        counts = {t: spark.read.parquet(ledger.location(t, ingest)).count() for t in dead}
+        ledger.mark_staged(branch, [(t, ingest) for t in [*frames, *(t for t, n in counts.items() if n)]])
         ids = {t: ingest for t in frames}
         verdict = audit(spec, ledger, ids, at) if spec.branching else {"publish": True}
         if verdict["publish"]:
-            ledger.publish(branch, at)
+            ledger.publish(branch, [i for files in new.values() for i in files.values()])
         else:
-            ledger.reject(branch, at)
-        return {"ingest_id": ingest, "published": verdict["publish"], "verdict": verdict, "tables": sorted(frames)}
+            ledger.reject(branch)
+        return {"ingest_id": ingest, "published": verdict["publish"], "repeated": False, "verdict": verdict,
+                "dead_letters": counts, "tables": sorted(frames)}
     finally:
-        ledger.delete_branch(branch, at)
+        ledger.delete_branch(branch)

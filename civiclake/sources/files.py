@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import fnmatch
 from collections.abc import Iterator
 
 import pandas as pd
@@ -13,21 +14,31 @@ from .schemas import layout_for, strings
 RAW = "_raw"
 
 
-SMALL_INPUT_SPLITS = 32
+def list_files(spark: SparkSession, path: str, pattern: str | None = None) -> dict[str, str]:
+    """Landed files below a path or glob whose name matches ``pattern``: location -> identity.
 
-
-def fill_cores(df: DataFrame) -> DataFrame:
-    """Spread a small input that cannot be split (one row group, one archive) over the cores.
-
-    Meant for heavy work per row.  An input with enough splits, or more than
-    SMALL_INPUT_SPLITS, comes back as it is: large data are never shuffled here.
+    The identity holds size and time of change, so a file that is landed again under its old name
+    is another one.  Nothing found is an error.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    splits = df.rdd.getNumPartitions()
-    return df.repartition(cores) if splits < min(cores, SMALL_INPUT_SPLITS) else df
-
-
-def read_jsonl(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+    jvm = spark._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = {}
+    for top in fs.globStatus(root) or []:
+        pending = fs.listFiles(top.getPath(), True)
+        while pending.hasNext():
+            status = pending.next()
+            name, full = status.getPath().getName(), status.getPath().toString()
+            below = full[len(top.getPath().toString()):]
+            hidden = any(part[:1] in (".", "_") for part in f"{below or name}".split("/"))
+            if not hidden and (not pattern or fnmatch.fnmatchcase(name, pattern)):
+                found[full] = f"{full}|{status.getLen()}|{status.getModificationTime()}"
+    if not found:
+        raise FileNotFoundError(f"no file matches {path}" + (f" with a name like {pattern}" if pattern else ""))
+    return found
+
+
+def read_jsonl(spark: SparkSession, path: str | list[str], columns: list[str]) -> DataFrame:
     """JSON Lines as text columns; nested values keep their raw JSON text.
 
     A glob that matches nothing is an error (PATH_NOT_FOUND).
@@ -93,12 +104,13 @@ def read_layout_csv(
     encoding: str = "ISO-8859-1",
     multi_line: bool = False,
     na_tokens: list[str] | None = None,
+    files: list[str] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Headerless CSV files below ``root`` whose name matches ``pattern``.
+    """Headerless CSV files below ``root`` whose name matches ``pattern``, or just ``files``.
 
-    Returns (rows, rejects).  Short lines are padded with null, lines with too many
-    fields go to rejects with their raw text.  ``multi_line`` accepts line feeds
-    inside quotes at the price of unsplittable files.  ``na_tokens`` turns the given
+    Returns (rows, rejects); no matching file is an error.  Short lines are padded with
+    null; lines with too many fields or with an open quote go to rejects with their raw
+    text.  ``multi_line`` accepts line feeds inside quotes at the price of unsplittable files.  ``na_tokens`` turns the given
     tokens (``NA``, ``NULL`` ...) into null; by default raw text is kept.
     """
     columns = columns or layout_for(pattern)
@@ -108,14 +120,17 @@ def read_layout_csv(
         .option("sep", separator).option("encoding", encoding).option("escape", '"')
         .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", RAW)
         .option("multiLine", str(multi_line).lower()).option("columnPruning", "false")
-        .option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)
-        .csv(root)
+        .csv(files or sorted(list_files(spark, root, pattern)))
         .withColumn("_file", F.col("_metadata.file_name"))
     )
     # The raw text is set only for lines whose width differs, so counting fields is rare work.
     # (Spark wants a parsed column in every query on the raw text, hence the empty prefix.)
     line = F.coalesce(F.col(RAW), F.substring(columns[0], 1, 0), F.lit(""))
     too_long = F.when(F.col(RAW).isNull(), False).otherwise(field_count(line, separator) > len(columns))
+    if not multi_line:
+        # a quote that stays open takes in the rest of its line, the closing one begins a line of its own
+        odd = (F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))) % 2 == 1
+        too_long = too_long | F.when(F.col(RAW).isNull(), False).otherwise(odd)
     rows = lines.where(~too_long).select(
         *[_without_tokens(F.col(c), na_tokens).alias(c) for c in columns], "_file"
     )

@@ -1,23 +1,29 @@
 """Incremental file ingestion with Structured Streaming.
 
 The checkpoint is the offset: each run takes the files that arrived since the last one
-and stops.  A micro-batch that is repeated after a failure overwrites its own folder, so
-no row is loaded twice.
+and stops.  A micro-batch that is repeated after a failure writes a new folder unless it was
+published, so no row is loaded twice.  A lot that the audit refuses ends the run with
+``LotRejected`` and stays open: the offset moves only behind a publication.
 """
 
 from __future__ import annotations
 
 import hashlib
+import uuid
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ..plans.spec import PipelineSpec, audit, normalise
+from ..plans.spec import PipelineSpec, audit, normalise, published_as
 from ..plans.wap import Ledger
 from ..sources.schemas import strings
 
 
+class LotRejected(RuntimeError):
+    """The audit refused a micro-batch; its data stay staged, its files stay to be loaded."""
+
+
 def landed_stream(spark: SparkSession, spec: PipelineSpec, max_files: int | None = None,
                   archive_dir: str | None = None) -> DataFrame:
     """JSON Lines folder as a stream.
@@ -51,19 +57,20 @@ def stream_pipeline(
         # The query id belongs to the checkpoint: the batches of another checkpoint can
         # never be taken for these.
         query_id = rows.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        ingest = f"ingest_{spec.name}_{query_id or hashlib.sha256(checkpoint.encode()).hexdigest()}_{batch_id:08d}"
-        if ingest in ledger.ingest_ids(spec.table):
+        run = f"ingest_{spec.name}_{query_id or hashlib.sha256(checkpoint.encode()).hexdigest()}_{batch_id:08d}"
+        if published_as(ledger, spec.table, run):
             return  # repeated after a failure behind the publication
-        ledger.create_branch(ingest, spec.from_ref, at)
+        ingest = f"{run}_{uuid.uuid4().hex[:8]}"
+        ledger.create_branch(ingest, spec.from_ref)
         try:
             ledger.write(normalise(spec, rows, at), spec.table, ingest)
-            ledger.mark_staged(ingest, [(spec.table, ingest)], at)
-            if audit(spec, ledger, {spec.table: ingest}, at)["publish"]:
-                ledger.publish(ingest, at)
-            else:
-                ledger.reject(ingest, at)
+            ledger.mark_staged(ingest, [(spec.table, ingest)])
+            if not audit(spec, ledger, {spec.table: ingest}, at)["publish"]:
+                ledger.reject(ingest)
+                raise LotRejected(f"{spec.name}: the rules refuse {ingest}")
+            ledger.publish(ingest)
         finally:
-            ledger.delete_branch(ingest, at)
+            ledger.delete_branch(ingest)
 
     return (
         landed_stream(spark, spec, max_files, archive_dir)

@@ -4,7 +4,7 @@ import os
 
 import pytest
 
-import __spark_entry__ as entry_module
+from civiclake.catalogue import QUERIES
 
 DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test data")
@@ -13,7 +13,7 @@ PYTHON_BY_DESIGN = {"zip_csv_unpack", "xml_profile"}  # archives are opened in P
 
 
 def plan(spark, name):
-    df = entry_module.queries()[name](spark, DATA)
+    df = QUERIES[name](spark, DATA)
     return df._jdf.queryExecution().executedPlan().toString()
 
 
@@ -50,7 +50,7 @@ def test_profile_is_one_scan_per_table(spark):
 
 
 def test_no_python_outside_archives(spark):
-    for name, fn in entry_module.queries().items():
+    for name, fn in QUERIES.items():
         if name in PYTHON_BY_DESIGN:
             continue
         text = fn(spark, DATA)._jdf.queryExecution().executedPlan().toString()

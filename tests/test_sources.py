@@ -235,13 +235,6 @@ def test_table_contract(spark, tmp_path):
     spark.sql("DROP TABLE t_contract")
 
 
-def test_fill_cores_never_shuffles_larger_inputs(spark):
-    assert files.fill_cores(spark.range(0, 100, 1, 2)).rdd.getNumPartitions() == 4
-    for n in (4, 64):
-        df = spark.range(0, 100, 1, n)
-        assert files.fill_cores(df) is df
-
-
 def test_jsonl_per_unit(spark, tmp_path):
     df = spark.createDataFrame([(1, "a"), (2, None)], "unidade int, nome string")
     files.write_jsonl(df, f"{tmp_path}/u", partition_by=["unidade"])
