@@ -334,8 +334,8 @@ PUBLIC_WORK_HTML = """concat(
   '<div class="row-card"><div class="card-title">Prazo</div><div class="card-info">', id % 300, ' dias</div></div>',
   '<div class="row-card"><div class="card-title">Valor</div><div class="card-info">R$ ', {money}, '</div></div></div></div>',
   '<div class="row-group bigCard contratado"><div class="row-cards">',
-  '<div class="row-card"><div class="card-title">', id, '</div><div class="card-info">00.000.', lpad(id % 1000, 3, '0'), '/0001-00</div></div>',
-  CASE WHEN id % 2 = 0 THEN '' ELSE concat('<div class="row-card"><div class="card-title">01/01/2020</div><div class="card-info">EMPRESA ', id, '</div></div>') END, '</div></div>',
+  '<div class="row-card"><div class="card-title">CNPJ</div><div class="card-info">00.000.', lpad(id % 1000, 3, '0'), '/0001-00</div></div>',
+  CASE WHEN id % 2 = 0 THEN '' ELSE concat('<div class="row-card"><div class="card-title">Razão social</div><div class="card-info">EMPRESA ', id, '</div></div>') END, '</div></div>',
   '<div class="row-group bigCard valorPagoAcum"><div class="group-title">Pago</div><div class="card-info">',
   CASE WHEN id % 5 = 0 THEN '-' ELSE {money} END, '</div></div>',
   '<section class="description-obra allDocuments">', array_join(transform(sequence(1L, id % 3 + 1), i ->
@@ -364,7 +364,7 @@ SELECT {DUCK_WORK_ID} AS obra_id, 'TOMADA DE PREÇO' AS tipo_modalidade, 'Obra '
   CAST(NULL AS VARCHAR) AS etapa_obra, CAST(CAST(id % 100 AS DECIMAL(9,4)) + 0.5 AS DECIMAL(9,4)) AS percentual_concluido,
   CASE WHEN id % 100 < 25 THEN '0-25%' WHEN id % 100 < 50 THEN '25-50%' WHEN id % 100 < 75 THEN '50-75%'
     WHEN id % 100 < 100 THEN '75-100%' END AS faixa_conclusao,
-  id || '/2019' AS numero_contrato_principal, inicio AS data_inicio, id % 300 AS prazo_dias,
+  id || '/2019' AS numero_contrato_principal, id || '/2019' AS numero_contrato_referencia, inicio AS data_inicio, id % 300 AS prazo_dias,
   valor AS valor_contratado,
   '00.000.' || lpad(CAST(id % 1000 AS VARCHAR), 3, '0') || '/0001-00' AS cnpj_contratada,
   CASE WHEN id % 2 <> 0 THEN 'EMPRESA ' || id END AS razao_social_contratada,
@@ -373,7 +373,7 @@ FROM {DUCK_WORKS}""")
 def works_flatten(spark, d):
     return silver.flatten_works(_work_pages(spark, d)).select(
         "obra_id", "tipo_modalidade", "descricao_obra", "situacao", "etapa_obra", "percentual_concluido",
-        "faixa_conclusao", "numero_contrato_principal", "data_inicio", "prazo_dias", "valor_contratado",
+        "faixa_conclusao", "numero_contrato_principal", "numero_contrato_referencia", "data_inicio", "prazo_dias", "valor_contratado",
         "cnpj_contratada", "razao_social_contratada", "valor_pago_acumulado",
     )
 

@@ -16,62 +16,104 @@ from ..functions.text import clean_html_list
 from ..operators.normalize import explode_rows
 
 
+#: Elements of the same name that a selected element may hold inside each other.
+NESTING = 4
+NESTED_TAGS = {"article", "blockquote", "div", "ol", "section", "span", "table", "ul"}
+
+
 def tag_text(tag: str, css_class: str | None = None) -> str:
-    """Pattern for the inside of an element."""
-    return rf"(?s)<{tag}\b{_attribute('class', css_class)}[^>]*>(.*?)</{tag}>"
+    """Pattern for the inside of an element, other elements of its name in it included.
+
+    Elements that cannot hold their like (paragraphs, links) reach to the first closing tag.
+    """
+    if tag not in NESTED_TAGS:
+        return rf"{opening(tag, css_class)}(.*?)</{tag}\s*+>"
+    other = rf"[^<]++|<(?!/?{tag}\b)"
+    inside = rf"(?:{other})*+"
+    for _ in range(NESTING):
+        inside = rf"(?:{other}|<{tag}\b[^>]*+>{inside}</{tag}\s*+>)*+"
+    return rf"{opening(tag, css_class)}({inside})</{tag}\s*+>"
 
 
 def tag_attribute(tag: str, attribute: str, css_class: str | None = None) -> str:
-    """Pattern for an attribute value of an element."""
-    return rf'(?s)<{tag}\b{_attribute("class", css_class)}[^>]*?\b{attribute}="([^"]*)"'
+    """Pattern for an attribute value of an element, in either kind of quotes."""
+    value = r"""(?:"([^"]*)"|'([^']*)')"""
+    return rf"(?is)<{tag}\b{_classes(css_class)}[^>]*?\s{attribute}\s*=\s*{value}"
+
 
+def opening(tag: str, css_class: str | None = None) -> str:
+    """Pattern for the opening tag of an element that has all the classes, in any order."""
+    return rf"(?is)<{tag}\b{_classes(css_class)}[^>]*>"
 
-def _attribute(name: str, value: str | None) -> str:
-    return rf'(?=[^>]*\b{name}="{re.escape(value)}")' if value else ""
+
+def _classes(names: str | None) -> str:
+    return "".join(
+        rf"""(?=[^>]*\sclass\s*=\s*(?:"(?:[^"]*\s)?{re.escape(n)}(?:\s[^"]*)?"|'(?:[^']*\s)?{re.escape(n)}(?:\s[^']*)?'))"""
+        for n in (names or "").split())
+
+
+_TWO_QUOTES = r"""(?:"([^"]*)"|'([^']*)')"""
+_LAST_QUOTED = r"""(?s)("[^"]*|'[^']*)["']\z"""
 
 
 def find_all(html: Column, pattern: str) -> Column:
-    return F.regexp_extract_all(html, F.lit(pattern), F.lit(1))
+    """All first groups of a pattern; of an attribute pattern, the value in either kind of quotes."""
+    if not pattern.endswith(_TWO_QUOTES):
+        return F.regexp_extract_all(html, F.lit(pattern), F.lit(1))
+    whole = F.regexp_extract_all(html, F.lit(pattern), F.lit(0))
+    return F.transform(whole, lambda t: F.substring(F.regexp_extract(t, _LAST_QUOTED, 1), 2, 1 << 30))
 
 
 @dataclass(frozen=True)
 class Section:
     """Where a section's labels and values are found on a page.
 
-    ``scope`` narrows the page to the text from the first match of that pattern up to
-    the next match of ``scope_end`` (or the end).  Without ``categories`` the section
-    is a plain list of values.
+    ``scope`` narrows the page to the texts from each match of that pattern up to the next
+    match of ``scope_end`` (or of itself, or the end); labels may have a scope of their
+    own.  Without ``categories`` the section is a plain list of values.
     """
 
     values: str | None
     categories: str | None = None
     scope: str | None = None
     scope_end: str | None = None
+    category_scope: str | None = None
+    category_scope_end: str | None = None
 
     @property
     def usable(self) -> bool:
         return bool(self.values)
 
-    def area(self, html: Column) -> Column:
-        if not self.scope:
-            return html
-        rest = F.get(F.split(html, self.scope, 2), F.lit(1))
-        inside = F.get(F.split(rest, self.scope_end, 2), F.lit(0)) if self.scope_end else rest
-        return F.coalesce(inside, F.lit(""))
+    def scopes(self) -> tuple[tuple[str | None, str | None], tuple[str | None, str | None]]:
+        """Scope of the values and of the labels."""
+        own = (self.scope, self.scope_end)
+        return own, ((self.category_scope, self.category_scope_end) if self.category_scope else own)
+
+
+def area(html: Column, scope: str | None, scope_end: str | None) -> Column:
+    """The texts of all matches of a scope, joined."""
+    if not scope:
+        return html
+    parts = F.slice(F.split(html, scope, -1), 2, 1 << 30)
+    if scope_end:
+        parts = F.transform(parts, lambda part: F.get(F.split(part, scope_end, 2), F.lit(0)))
+    return F.coalesce(F.array_join(parts, "\n"), F.lit(""))
+
+
+_GROUP_END = rf"{opening('div', 'bigCard')}|(?is)<section\b"
+
+
+def _group(name: str) -> dict[str, str]:
+    return {"scope": opening("div", f"bigCard {name}"), "scope_end": _GROUP_END}
 
 
 def _card(group: str) -> Section:
-    return Section(
-        values=tag_text("div", "card-info"),
-        categories=tag_text("div", "card-title"),
-        scope=rf'<div class="row-group bigCard {group}">',
-        scope_end=r'<div class="row-group bigCard|<section',
-    )
+    return Section(values=tag_text("div", "card-info"), categories=tag_text("div", "card-title"), **_group(group))
 
 
 _ATTACHMENTS = {
-    "scope": r'<section class="description-obra allDocuments">',
-    "scope_end": "</section>",
+    "scope": opening("section", "allDocuments"),
+    "scope_end": r"(?i)</section\s*>",
 }
 
 # Section layout of a public-works detail page (class names are fixed values).
@@ -79,18 +121,24 @@ PUBLIC_WORK_SECTIONS = {
     "general_info": Section(
         values=tag_text("div", "card-info"),
         categories=tag_text("div", "group-title"),
-        scope=r'<div class="row-details introducao">',
-        scope_end=r'<div class="row-group bigCard|<section',
+        scope=opening("div", "row-details introducao"),
+        scope_end=_GROUP_END,
     ),
     "contract": _card("contrato"),
-    "contracted": _card("contratado"),
+    # its labels are the values of the contract group
+    "contracted": Section(
+        values=tag_text("div", "card-info"),
+        categories=tag_text("div", "card-info"),
+        category_scope=opening("div", "bigCard contrato"),
+        category_scope_end=_GROUP_END,
+        **_group("contratado"),
+    ),
     "fiscal_year_expenditures": _card("despesasExerc"),
     "contract_amendment": _card("aditivo"),
     "cumulative_amount_paid": Section(
         values=tag_text("div", "card-info"),
         categories=tag_text("div", "group-title"),
-        scope=r'<div class="row-group bigCard valorPagoAcum">',
-        scope_end=r'<div class="row-group bigCard|<section',
+        **_group("valorPagoAcum"),
     ),
     "all_documents": Section(
         values=tag_attribute("a", "href"), categories=tag_text("p", "cardTitle"), **_ATTACHMENTS
@@ -115,18 +163,17 @@ def extract_sections(pages: DataFrame, url: str, html: str, sections: dict[str,
     sections = {name: s for name, s in sections.items() if s.usable}
     areas: dict[tuple, str] = {}
     for section in sections.values():
-        areas.setdefault((section.scope, section.scope_end), f"_area{len(areas)}")
-    by_scope = {(s.scope, s.scope_end): s for s in sections.values()}
+        for scope in section.scopes():
+            areas.setdefault(scope, f"_area{len(areas)}")
     layer = pages.select(
         F.col(url).alias("source_url"),
-        *[by_scope[scope].area(F.col(html)).alias(name) for scope, name in areas.items()],
+        *[area(F.col(html), *scope).alias(name) for scope, name in areas.items()],
     )
     raw, cleaned = [], []
     for i, section in enumerate(sections.values()):
-        area = F.col(areas[(section.scope, section.scope_end)])
-        for kind, pattern in (("v", section.values), ("c", section.categories)):
+        for kind, pattern, scope in zip("vc", (section.values, section.categories), section.scopes()):
             if pattern:
-                raw.append(find_all(area, pattern).alias(f"_{kind}{i}"))
+                raw.append(find_all(F.col(areas[scope]), pattern).alias(f"_{kind}{i}"))
                 cleaned.append(clean_html_list(F.col(f"_{kind}{i}")).alias(f"_{kind}{i}"))
     if require_values:
         ok = sum((F.when(F.size(f"_v{i}") > 0, 1).otherwise(0) for i in range(len(sections))), F.lit(0))
@@ -143,9 +190,10 @@ def extract_sections(pages: DataFrame, url: str, html: str, sections: dict[str,
     )
 
 
-def links(pages: DataFrame, url: str, html: str, css_class: str | None = None) -> DataFrame:
-    """One row per link of a listing page, in page order."""
-    found = find_all(F.col(html), tag_attribute("a", "href", css_class))
+def links(pages: DataFrame, url: str, html: str, css_class: str | None = None,
+          container: str | None = None, container_end: str | None = None) -> DataFrame:
+    """One row per link of a listing page, in page order; with ``container``, of those scopes only."""
+    found = find_all(area(F.col(html), container, container_end), tag_attribute("a", "href", css_class))
     return explode_rows(pages, [F.col(url).alias("page_url")], found, "href", position="position")
 
 

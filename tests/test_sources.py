@@ -241,3 +241,21 @@ def test_jsonl_per_unit(spark, tmp_path):
     assert sorted(p.name for p in (tmp_path / "u").iterdir() if p.is_dir()) == ["unidade=1", "unidade=2"]
     back = spark.read.schema("nome string, unidade int").json(f"{tmp_path}/u")
     assert sorted((r["unidade"], r["nome"]) for r in back.collect()) == [(1, "a"), (2, None)]
+
+
+def test_selection_is_nested_quoted_and_repeated(spark):
+    page = """<main><DIV CLASS='a card-info b'>A <div>inner <div>deep</div></div> tail</DIV><div class="card-infos">no</div>
+      <section id=x class='group one'><p class="t">1</p><a href='u?"1"'>x</a></section><p class="t">out</p>
+      <section class="one group"><p class='t'>2</p><A class=z HREF="v">y</A></section>"""
+    df = spark.createDataFrame([("u", page)], "url string, html string")
+    pages = web.extract_sections(df, "url", "html", {
+        "info": web.Section(values=web.tag_text("div", "card-info")),
+        "group": web.Section(values=web.tag_attribute("a", "href"), categories=web.tag_text("p", "t"),
+                             scope=web.opening("section", "group"), scope_end=r"(?i)</section\s*>"),
+        "crossed": web.Section(values=web.tag_text("p", "t"), scope=web.opening("section", "one"), scope_end="</section>",
+                               categories=web.tag_text("div", "card-info"), category_scope=web.opening("main"))}).first()
+    assert pages["info"] == ["A inner deep tail"]
+    assert [(p["category"], p["value"]) for p in pages["group"]["paired_data"]] == [("1", 'u?"1"'), ("2", "v")]
+    assert pages["crossed"]["paired_data"][0]["category"] == "A inner deep tail"
+    inside = web.links(df, "url", "html", container=web.opening("section", "one"), container_end="</section>").collect()
+    assert [r["href"] for r in inside] == ['u?"1"', "v"]
