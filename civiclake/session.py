@@ -34,13 +34,16 @@ def build_session(app_name: str = "civiclake", master: str | None = None, **conf
 def shared_root(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only where the setting is absent (tests, a laptop) a temporary folder is
-    created and recorded, so that later calls and ``checkpoint()`` agree on it.
+    Only in local mode (tests, a laptop) a temporary folder is created and recorded where the
+    setting is absent, so that later calls and ``checkpoint()`` agree on it; a cluster without
+    the setting is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that every executor reaches")
         root = tempfile.mkdtemp(prefix="civiclake-")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(root)

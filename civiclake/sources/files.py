@@ -48,6 +48,8 @@ def read_jsonl(spark: SparkSession, path: str | list[str], columns: list[str]) -
 
 def write_jsonl(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     """JSON Lines; ``partition_by`` gives every value (a management unit, say) a folder of its own."""
+    if partition_by:
+        df = df.hint("rebalance", *[F.col(c) for c in partition_by])  # few files per value, large values split
     writer = df.write.mode("overwrite").option("ignoreNullFields", "false")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -151,6 +153,8 @@ def write_table(df: DataFrame, path: str, *, partition_by: list[str] | None = No
                 sort_by: list[str] | None = None, mode: str = "overwrite",
                 max_records_per_file: int | None = None) -> None:
     """Parquet with zstd; sorting is local to each task, so it needs no shuffle."""
+    if partition_by:
+        df = df.hint("rebalance", *[F.col(c) for c in partition_by])
     if sort_by:
         # rows of one output folder must stay together for the dynamic-partition writer
         df = df.sortWithinPartitions(*(partition_by or []), *sort_by)
