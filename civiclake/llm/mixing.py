@@ -125,7 +125,7 @@ def mixed_documents(documents: DataFrame) -> DataFrame:
     copies = with_copies(rows, *mixing_plan(rows)).filter("copies > 0")
     copies = written(copies.select("__rid", F.col("copies").alias("mix_copies")), "mix-copies")
     names = [c for c in documents.columns if c.lower() != "mix_copies"]
-    return numbered(documents.select(*[F.col(f"`{c}`") for c in names])).join(copies, "__rid").select(
+    return numbered(documents.select(*[F.col(f"`{c}`") for c in names])).join(copies.hint("merge"), "__rid").select(
         *[F.col(f"`{c}`") for c in names], "mix_copies")
 
 
