@@ -362,10 +362,11 @@ def top_severity(spark, d):
 
 
 @query("exec_summary", f"""
-SELECT total, mixed_fields, full_histories, n AS inconsistencies,
+SELECT total, mixed_fields, full_histories, missing, n AS inconsistencies,
   CAST(round(CAST(n * 100 AS DECIMAL(24,6)) / CAST(total AS DECIMAL(12,0)), 1) AS DECIMAL(5,1)) AS pct_inconsistent
 FROM (SELECT count(*) AS total, count(*) FILTER (o_orderkey % 8 IN (2, 3, 4, 5, 7)) AS mixed_fields,
-   count(*) FILTER (o_orderkey % 8 = 3) AS full_histories FROM orders), (SELECT count(*) AS n FROM ({DUCK_FLAGGED}))""")
+   count(*) FILTER (o_orderkey % 8 = 3) AS full_histories,
+   count(*) FILTER (coalesce(trim({DUCK_DATE_FIELD}), '-') IN ('', '-')) AS missing FROM orders), (SELECT count(*) AS n FROM ({DUCK_FLAGGED}))""")
 def exec_summary(spark, d):
     return profiling.executive_summary(_dated(spark, d), "data_conclusao", _flagged(spark, d))
 

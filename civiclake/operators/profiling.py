@@ -141,15 +141,16 @@ def status_flags(df: DataFrame, status: str, percent: str, contracted: str, paid
 
 
 def executive_summary(works: DataFrame, mixed_column: str, flagged: DataFrame) -> DataFrame:
-    """Headline figures: dated mixed fields, complete histories, contradictions and their share."""
+    """Headline figures: dated mixed fields, complete histories, missing dates, contradictions and their share."""
     zero = F.lit(0).cast("bigint")
     counts = works.agg(
         F.count("*").alias("total"),
         F.count_if(F.col(mixed_column).rlike(r"\d{2}/\d{2}/\d{4}")).alias("mixed_fields"),
         F.count_if(date_category(F.col(mixed_column)) == "HISTORICO_COMPLETO").alias("full_histories"),
+        F.count_if(date_category(F.col(mixed_column)) == "VAZIO_OU_HIFEN").alias("missing"),
     ).withColumn("inconsistencies", zero)
     hits = flagged.agg(F.count("*").alias("inconsistencies")).select(
-        zero.alias("total"), zero.alias("mixed_fields"), zero.alias("full_histories"), "inconsistencies"
+        zero.alias("total"), zero.alias("mixed_fields"), zero.alias("full_histories"), zero.alias("missing"), "inconsistencies"
     )
     share = F.try_divide(F.col("inconsistencies").cast("decimal(20,0)") * 100, F.col("total").cast("decimal(20,0)"))
     return counts.unionByName(hits).agg(*[F.sum(c).alias(c) for c in counts.columns]).select(
