@@ -30,6 +30,7 @@ from .tokens import list_array, map_texts, slices, with_text_columns, words_of
 
 #: Most words whose counts are broadcast.
 HEAD_WORDS = 1 << 18
+BUCKET_BITS = 20
 ROUNDS = 2
 END_HASH = np.uint64(1)
 END_WORD = net.WORDS - 1
@@ -45,12 +46,37 @@ class Vocabulary:
     """Hashes of frequent words in order, their counts and network ids; totals over all training tokens."""
 
     hashes: np.ndarray
+    buckets: np.ndarray  # where the hashes with each leading ``BUCKET_BITS`` begin
     counts: np.ndarray
     ids: np.ndarray
     ends: int
     tokens: int
     distinct: int
 
+    @classmethod
+    def of(cls, words: np.ndarray, counts: np.ndarray, ends: int, tokens: int, distinct: int) -> Vocabulary:
+        rank = np.empty(len(counts), np.int32)
+        rank[np.lexsort((words, -counts))] = np.arange(len(counts), dtype=np.int32)
+        order = np.argsort(words)
+        leading = np.arange((1 << BUCKET_BITS) + 1, dtype=np.int64)
+        buckets = np.searchsorted((words[order] >> np.uint64(64 - BUCKET_BITS)).astype(np.int64), leading).astype(np.int32)
+        ids = np.where(rank < END_WORD, rank, net.WORDS).astype(np.int32)
+        return cls(words[order], buckets, counts[order], ids[order], ends, tokens, distinct)
+
+    def find(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place of each word, and whether it is there; a bucket holds a few words at most."""
+        bucket = (words >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
+        at, end = self.buckets[bucket].astype(np.int64), self.buckets[bucket + 1]
+        found = np.zeros(len(words), bool)
+        left = np.flatnonzero(at < end)
+        while len(left):
+            hit = self.hashes[at[left]] == words[left]
+            found[left[hit]] = True
+            left = left[~hit]
+            at[left] += 1
+            left = left[at[left] < end[left]]
+        return at, found
+
     @property
     def mass(self) -> float:
         return self.tokens + 0.5 * (self.distinct + 1)
@@ -86,8 +112,7 @@ def encode(texts: list[bytes], vocabulary: Vocabulary) -> Encoded:
     for _, piece in slices(pa.array(texts, pa.large_binary())):
         words = words_of(piece)
         hashed, sizes = words.hashes(), words.counts()
-        at = np.minimum(np.searchsorted(vocabulary.hashes, hashed), max(len(vocabulary.hashes) - 1, 0))
-        head = vocabulary.hashes[at] == hashed if len(vocabulary.hashes) else np.zeros(len(hashed), bool)
+        at, head = vocabulary.find(hashed)
         target = np.full(len(hashed), net.WORDS, np.int32)
         target[head] = vocabulary.ids[at[head]]
         inputs = np.where(target < net.WORDS, target, net.WORDS + (hashed % np.uint64(net.OTHER_INPUTS)).astype(np.int32))
@@ -125,12 +150,8 @@ def vocabulary_of(counts: DataFrame) -> Vocabulary:
             break
         lowest = row["level"]
     head = words.filter(level >= lowest).toPandas() if lowest is not None else words.limit(0).toPandas()
-    hashed, n = head["word"].to_numpy(np.int64).view(np.uint64), head["n"].to_numpy(np.int64)
-    rank = np.empty(len(n), np.int32)
-    rank[np.lexsort((hashed, -n))] = np.arange(len(n), dtype=np.int32)
-    order = np.argsort(hashed)
-    ids = np.where(rank < END_WORD, rank, net.WORDS).astype(np.int32)
-    return Vocabulary(hashed[order], n[order], ids[order], int(totals[2] or 0), int(totals[0] or 0), totals[1])
+    return Vocabulary.of(head["word"].to_numpy(np.int64).view(np.uint64), head["n"].to_numpy(np.int64),
+                         int(totals[2] or 0), int(totals[0] or 0), totals[1])
 
 
 def _train_round(texts: DataFrame, vocabulary: Vocabulary, start: net.Parameters) -> net.Parameters:

@@ -70,8 +70,24 @@ class Window:
     after: np.ndarray
 
 
+#: Keeps exponentials finite; beyond it a gate is shut or open anyway.
+_FAR = np.float32(80)
+
+
+def _logistic(negative: np.ndarray) -> np.ndarray:
+    """1 / (1 + exp(x)) in place: the sigmoid of what was negated."""
+    np.minimum(negative, _FAR, out=negative)
+    np.exp(negative, out=negative)
+    negative += np.float32(1)
+    return np.reciprocal(negative, out=negative)
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return np.float32(0.5) * np.tanh(np.float32(0.5) * x) + np.float32(0.5)
+    return _logistic(-x)
+
+
+def _tanh(x: np.ndarray) -> np.ndarray:
+    return np.float32(2) * _logistic(np.float32(-2) * x) - np.float32(1)
 
 
 def forward(p: Parameters, state: np.ndarray, inputs: np.ndarray, begins: np.ndarray) -> Window:
@@ -84,45 +100,92 @@ def forward(p: Parameters, state: np.ndarray, inputs: np.ndarray, begins: np.nda
         x, u = p.input[inputs[t]], state @ p.state
         gates = _sigmoid(x[:, :2 * HIDDEN] + u[:, :2 * HIDDEN])
         update, reset, pulled = gates[:, :HIDDEN], gates[:, HIDDEN:], u[:, 2 * HIDDEN:]
-        candidate = np.tanh(x[:, 2 * HIDDEN:] + reset * pulled)
+        candidate = _tanh(x[:, 2 * HIDDEN:] + reset * pulled)
         out.before[t], out.update[t], out.reset[t], out.pulled[t], out.candidate[t] = state, update, reset, pulled, candidate
         state = candidate + update * (state - candidate)
         out.after[t] = state
     return out
 
 
+def states(p: Parameters, state: np.ndarray, inputs: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """The states of ``forward`` alone, for windows that nothing is learned from."""
+    steps, streams = inputs.shape
+    # negated, and doubled for the candidate, as the logistic function takes them
+    gate_input, gate_state = -p.input[:, :2 * HIDDEN], -p.state[:, :2 * HIDDEN]
+    own_input, own_state = (np.float32(-2) * a[:, 2 * HIDDEN:] for a in (p.input, p.state))
+    after = np.empty((steps, streams, HIDDEN), np.float32)
+    gates, add = np.empty((2, streams, 2 * HIDDEN), np.float32)
+    candidate, own = np.empty((2, streams, HIDDEN), np.float32)
+    starting = begins.any(axis=1)
+    for t in range(steps):
+        if starting[t]:
+            state = np.where(begins[t][:, None], np.float32(0), state)
+        np.take(gate_input, inputs[t], axis=0, out=gates, mode="clip")
+        gates += np.matmul(state, gate_state, out=add)
+        _logistic(gates)
+        np.matmul(state, own_state, out=candidate)
+        candidate *= gates[:, HIDDEN:]
+        candidate += np.take(own_input, inputs[t], axis=0, out=own, mode="clip")
+        _logistic(candidate)
+        candidate *= np.float32(2)
+        candidate -= np.float32(1)
+        new = np.subtract(state, candidate, out=after[t])
+        new *= gates[:, :HIDDEN]
+        new += candidate
+        state = new
+    return after
+
+
+def _log_share(logits: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """Log of the softmax of one chosen row in each column."""
+    top = logits.max(axis=0)
+    picked = logits[chosen, np.arange(logits.shape[1])] - top
+    logits -= top
+    return picked - np.log(np.exp(logits, out=logits).sum(axis=0))
+
+
+def log_probability(p: Parameters, hidden: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """Natural log-probability of each target (``WORDS``: another word)."""
+    group = np.minimum(target // CLASS_WORDS, CLASSES)
+    order = np.argsort(group, kind="stable")
+    group, target = group[order], target[order]
+    across = np.ascontiguousarray(hidden[order].T)
+    log = _log_share(p.class_weight.T @ across + p.class_bias[:, None], group)
+    ends = np.searchsorted(group, np.arange(CLASSES + 1))
+    for c in range(CLASSES):
+        a, b = ends[c], ends[c + 1]
+        if a < b:
+            log[a:b] += _log_share(p.word_weight[c].T @ across[:, a:b] + p.word_bias[c][:, None], target[a:b] - c * CLASS_WORDS)
+    out = np.empty_like(log)
+    out[order] = log
+    return out
+
+
 def _softmax(logits: np.ndarray) -> np.ndarray:
     e = np.exp(logits - logits.max(axis=1, keepdims=True))
     return e / e.sum(axis=1, keepdims=True)
 
 
-def output(p: Parameters, hidden: np.ndarray, target: np.ndarray, learn: bool = False):
-    """Natural log-probability of each target (``WORDS``: another word); with ``learn``, the gradients of the loss too."""
+def output_gradients(p: Parameters, hidden: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, tuple[np.ndarray, ...]]:
+    """Gradients of the summed loss: those of the states, and those of both softmax layers."""
     n = len(target)
     group = np.minimum(target // CLASS_WORDS, CLASSES)
-    classes = _softmax(hidden @ p.class_weight + p.class_bias)
-    log = np.log(classes[np.arange(n), group])
     order = np.argsort(group, kind="stable")
     ends = np.searchsorted(group[order], np.arange(CLASSES + 1))
     d_word, d_word_bias = np.zeros_like(p.word_weight), np.zeros_like(p.word_bias)
-    d_hidden = np.zeros_like(hidden)
+    classes = _softmax(hidden @ p.class_weight + p.class_bias)
+    classes[np.arange(n), group] -= 1
+    d_hidden = classes @ p.class_weight.T
     for c in range(CLASSES):
         rows = order[ends[c]:ends[c + 1]]
         if not len(rows):
             continue
         h = hidden[rows]
         words = _softmax(h @ p.word_weight[c] + p.word_bias[c])
-        inner = target[rows] - c * CLASS_WORDS
-        log[rows] += np.log(words[np.arange(len(rows)), inner])
-        if learn:
-            words[np.arange(len(rows)), inner] -= 1
-            d_word[c], d_word_bias[c] = h.T @ words, words.sum(axis=0)
-            d_hidden[rows] = words @ p.word_weight[c].T
-    if not learn:
-        return log
-    classes[np.arange(n), group] -= 1
-    d_hidden += classes @ p.class_weight.T
-    return log, d_hidden, (hidden.T @ classes, classes.sum(axis=0), d_word, d_word_bias)
+        words[np.arange(len(rows)), target[rows] - c * CLASS_WORDS] -= 1
+        d_word[c], d_word_bias[c] = h.T @ words, words.sum(axis=0)
+        d_hidden[rows] += words @ p.word_weight[c].T
+    return d_hidden, (hidden.T @ classes, classes.sum(axis=0), d_word, d_word_bias)
 
 
 def backward(p: Parameters, w: Window, inputs: np.ndarray, begins: np.ndarray, d_after: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -144,7 +207,9 @@ def backward(p: Parameters, w: Window, inputs: np.ndarray, begins: np.ndarray, d
         if begins[t].any():
             carried[begins[t]] = 0
     d_input = np.zeros_like(p.input)
-    np.add.at(d_input, inputs.ravel(), d_x.reshape(-1, 3 * HIDDEN))
+    order = np.argsort(inputs.ravel(), kind="stable")
+    word, first = np.unique(inputs.ravel()[order], return_index=True)
+    d_input[word] = np.add.reduceat(d_x.reshape(-1, 3 * HIDDEN)[order], first, axis=0)
     return d_input, d_state
 
 
@@ -200,11 +265,11 @@ def log_likelihood(p: Parameters, packed: Streams, documents: int) -> np.ndarray
     total = np.zeros(documents)
     state = np.zeros((packed.inputs.shape[1], HIDDEN), np.float32)
     for part in windows(packed):
-        run = forward(p, state[part[1]], packed.inputs[part], packed.begins[part])
-        state = run.after[-1]
+        after = states(p, state[part[1]], packed.inputs[part], packed.begins[part])
+        state = after[-1]
         document = packed.document[part].ravel()
         there = np.flatnonzero(document >= 0)
-        log = output(p, run.after.reshape(-1, HIDDEN)[there], packed.targets[part].ravel()[there])
+        log = log_probability(p, after.reshape(-1, HIDDEN)[there], packed.targets[part].ravel()[there])
         total += np.bincount(document[there], weights=log, minlength=documents)
     return total
 
@@ -231,14 +296,16 @@ class Learner:
                 state = nothing
                 continue
             inputs, begins = packed.inputs[part], packed.begins[part]
+            if place:
+                state = states(self.p, state[part[1]], inputs, begins)[-1]
+                continue
             run = forward(self.p, state[part[1]], inputs, begins)
             state = run.after[-1]
-            if place == 0:
-                self._step(run, inputs, begins, packed.targets[part], packed.document[part] >= 0)
+            self._step(run, inputs, begins, packed.targets[part], packed.document[part] >= 0)
 
     def _step(self, run: Window, inputs: np.ndarray, begins: np.ndarray, targets: np.ndarray, valid: np.ndarray) -> None:
         there = np.flatnonzero(valid.ravel())
-        _, d_hidden, softmax = output(self.p, run.after.reshape(-1, HIDDEN)[there], targets.ravel()[there], learn=True)
+        d_hidden, softmax = output_gradients(self.p, run.after.reshape(-1, HIDDEN)[there], targets.ravel()[there])
         d_after = np.zeros((valid.size, HIDDEN), np.float32)
         d_after[there] = d_hidden
         d_input, d_state = backward(self.p, run, inputs, begins, d_after.reshape(*valid.shape, HIDDEN))
