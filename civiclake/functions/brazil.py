@@ -151,7 +151,7 @@ def split_amendment_code(c: Column) -> Column:
 
 
 def document_type(c: Column) -> Column:
-    """Two-letter type inside a document code such as ``2026OB456110``."""
+    """Two-letter type inside a document code such as ``2025OB271828``."""
     kind = F.regexp_extract(c, r"\A[0-9]{4}([A-Z]{2})", 1)
     return F.when(kind != "", kind)
 

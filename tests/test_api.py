@@ -8,9 +8,9 @@ from civiclake.api import AMENDMENT_DOCUMENTS, BRONZE_RULES, Ledger, PipelineSpe
 def test_amendments_from_file_to_silver(spark, tmp_path):
     """The whole path: landed lots of two months, audit, publication, typed table."""
     base = {c: "" for c in AMENDMENT_DOCUMENTS}
-    row = {**base, "codigo_emenda": "202639000008", "codigo_documento": "2026OB456110", "fase_documento": "Pagamento",
-           "data_documento": "13/04/2026", "favorecido": "04.786.328/0001-36 - FUNDO MUNICIPAL DE SAUDE",
-           "valor_documento": "500.000,00", "ano": 2026, "sk_tipo_emenda": 2, "numero_emenda": "0008"}
+    row = {**base, "codigo_emenda": "202571000042", "codigo_documento": "2025OB271828", "fase_documento": "Pagamento",
+           "data_documento": "13/04/2026", "favorecido": "12.345.678/0001-95 - FUNDO DE TESTE",
+           "valor_documento": "500.000,00", "ano": 2026, "sk_tipo_emenda": 2, "numero_emenda": "0042"}
     landing = tmp_path / "landing"
     landing.mkdir()
     spec = PipelineSpec(name="cgu", source=f"{landing}/lote_*.jsonl", table="cgu_emendas_parlamentares", columns=AMENDMENT_DOCUMENTS,
@@ -24,5 +24,5 @@ def test_amendments_from_file_to_silver(spark, tmp_path):
     raw = ledger.read_ref("cgu_emendas_parlamentares", bronze(AMENDMENT_DOCUMENTS))
     assert raw.count() == 4
     typed = silver_amendments(raw.drop("_ingest_id")).collect()
-    assert len(typed) == 1 and str(typed[0]["valor_documento"]) == "600000.00" and typed[0]["numero_emenda"] == "0008"
-    assert (typed[0]["sk_tipo_emenda"], typed[0]["favorecido_id"]) == (2, "04786328000136")
+    assert len(typed) == 1 and str(typed[0]["valor_documento"]) == "600000.00" and typed[0]["numero_emenda"] == "0042"
+    assert (typed[0]["sk_tipo_emenda"], typed[0]["favorecido_id"]) == (2, "12345678000195")

@@ -38,24 +38,24 @@ def test_modality(apply):
 
 
 def test_document_kind(apply):
-    got = apply(fx.doc_kind, ["123.456.789-00", "04.786.328/0001-36", "x", "", None])
+    got = apply(fx.doc_kind, ["123.456.789-00", "12.345.678/0001-95", "x", "", None])
     assert got == ["CPF", "CNPJ", "IRRGULAR", None, None]
 
 
 def test_payee(apply):
     got = apply(fx.split_payee, [
-        "04.786.328/0001-36 - FUNDO MUNICIPAL - SAUDE", "123.456.789-00 - MARIA", "***.456.789-** - JOSE",
-        "MULTIPLOS FAVORECIDOS", None, "04786328000136",
+        "12.345.678/0001-95 - FUNDO MUNICIPAL - SAUDE", "123.456.789-00 - MARIA", "***.456.789-** - JOSE",
+        "MULTIPLOS FAVORECIDOS", None, "12345678000195",
     ])
     assert [tuple(r) for r in got] == [
-        ("04786328000136", "FUNDO MUNICIPAL - SAUDE", "CNPJ"), ("12345678900", "MARIA", "CPF"),
+        ("12345678000195", "FUNDO MUNICIPAL - SAUDE", "CNPJ"), ("12345678900", "MARIA", "CPF"),
         ("456789", "JOSE", "CPF"), (None, "MULTIPLOS FAVORECIDOS", "outro"), (None, None, None),
-        ("04786328000136", None, "CNPJ"),
+        ("12345678000195", None, "CNPJ"),
     ]
 
 
 def test_payee_cnpj_agrees_with_split(apply):
-    texts = ["04.786.328/0001-36 - A", "04786328000136", "123.456.789-00 - M", "texto", None, " 04786328000136 - B"]
+    texts = ["12.345.678/0001-95 - A", "12345678000195", "123.456.789-00 - M", "texto", None, " 12345678000195 - B"]
     split = [r["id"] if r["kind"] == "CNPJ" else None for r in apply(fx.split_payee, texts)]
     from civiclake.functions.brazil import payee_cnpj
 
@@ -75,14 +75,14 @@ def test_compact_date(apply):
 
 
 def test_valid_code(apply):
-    got = apply(fx.is_valid_code, ["202639000008", "2026390000", "S/I", "REL. GERAL", "", None, "123456789", "1" * 15, "2026390000\n"])
+    got = apply(fx.is_valid_code, ["202571000042", "2026390000", "S/I", "REL. GERAL", "", None, "123456789", "1" * 15, "2026390000\n"])
     assert got == [True, True, False, False, False, False, False, False, False]
 
 
 def test_code_parts(apply):
-    assert tuple(apply(fx.split_amendment_code, ["202639000008"])[0]) == ("2026", "39000", "008")
+    assert tuple(apply(fx.split_amendment_code, ["202571000042"])[0]) == ("2025", "71000", "042")
     assert [tuple(r) for r in apply(fx.code_name, ["3900 - ADRIANO - BALDY", "S/I"])] == [("3900", "ADRIANO - BALDY"), ("S/I", None)]
-    assert apply(fx.document_type, ["2026OB456110", "x"]) == ["OB", None]
+    assert apply(fx.document_type, ["2025OB271828", "x"]) == ["OB", None]
     assert apply(fx.document_phase, ["2026NE1", "2026NS1", "2026OB1", "2026XX1", None]) == ["Empenho", "Liquidação", "Pagamento", None, None]
 
 

@@ -79,15 +79,15 @@ def test_skew_join_spreads_the_hot_key(spark):
 
 
 def test_amend_documents(spark):
-    a1 = spark.createDataFrame([("202639000008", "A"), ("202639000009", "B"), ("S/I", "C")], "codigo_emenda string, autor string")
-    a2 = spark.createDataFrame([("202639000008", 1), ("202639000008", 2), ("S/I", 3)], "codigo_emenda string, doc int")
-    assert rows_of(joins.amend_documents(a1, a2)) == [("202639000008", 1, "A"), ("202639000008", 2, "A")]
+    a1 = spark.createDataFrame([("202571000042", "A"), ("202571000043", "B"), ("S/I", "C")], "codigo_emenda string, autor string")
+    a2 = spark.createDataFrame([("202571000042", 1), ("202571000042", 2), ("S/I", 3)], "codigo_emenda string, doc int")
+    assert rows_of(joins.amend_documents(a1, a2)) == [("202571000042", 1, "A"), ("202571000042", 2, "A")]
 
 
 def test_company_match_and_network(spark):
     est = spark.createDataFrame([("04786328", "0001", "36", "PE"), ("04786328", "0002", "17", "BA")],
                                 "cnpj_basico string, cnpj_ordem string, cnpj_dv string, uf string")
-    pay = spark.createDataFrame([("04.786.328/0001-36 - FUNDO", 1), ("123.456.789-00 - M", 2), ("texto", 3), (None, 4)], "favorecido string, n int")
+    pay = spark.createDataFrame([("12.345.678/0001-95 - FUNDO", 1), ("123.456.789-00 - M", 2), ("texto", 3), (None, 4)], "favorecido string, n int")
     got = joins.company_match(pay, est).collect()
     assert [(r["n"], r["uf"]) for r in got] == [(1, "PE")]
     companies = spark.createDataFrame([("04786328", "FUNDO"), ("1", "SEM")], "cnpj_basico string, razao_social string")
@@ -181,7 +181,7 @@ def test_flatten_and_documents(spark):
     row = (
         ([(str(i), v) for i, v in enumerate(general)],),
         ([("", "12"), ("", "01/01/2020"), ("", "120 dias"), ("", "R$ 1.000,00"), ("", "10/10/2020 RESCISÃO")],),
-        ([("34/2019", "04.786.328/0001-36")],), ([("Valor médio acumulado", "1,00")],), ([],), ([("Pago", "900,00")],),
+        ([("34/2019", "12.345.678/0001-95")],), ([("Valor médio acumulado", "1,00")],), ([],), ([("Pago", "900,00")],),
         ([("Edital", " http://a "), ("", "ftp://b"), ("vazio", ""), ("nulo", None)],), "u",
     )
     df = spark.createDataFrame([row, (None,) * 7 + ("v",)], ddl)
@@ -189,7 +189,7 @@ def test_flatten_and_documents(spark):
     assert (got["tipo_modalidade"], got["descricao_obra"], got["situacao"], got["etapa_obra"], got["faixa_conclusao"]) == (
         "PREGÃO", "obra x", "RESCINDIDA", None, "25-50%")
     assert (got["prazo_dias"], got["valor_contratado"], got["cnpj_contratada"], got["razao_social_contratada"]) == (
-        120, Decimal("1000.00"), "04.786.328/0001-36", None)
+        120, Decimal("1000.00"), "12.345.678/0001-95", None)
     assert (got["valor_medio_acumulado"], got["valor_pago_periodo"], got["valor_pago_acumulado"]) == (Decimal("1.00"), None, Decimal("900.00"))
     assert silver.flatten_works(df).count() == 2
     docs = silver.work_documents(df)
@@ -201,11 +201,11 @@ def test_silver_amendments(spark):
     cols = "data_extracao timestamp, codigo_emenda string, codigo_documento string, ano string, valor_documento string, data_documento string, favorecido string"
     t1, t2 = datetime(2024, 1, 1), datetime(2024, 2, 1)
     df = spark.createDataFrame([
-        (t1, "202639000008", "2026OB1", "2026", "1,00", "13/04/2026", "x"),
-        (t2, "202639000008", "2026OB1", "2026", "500.000,00", "13/04/2026", "04.786.328/0001-36 - FUNDO"),
+        (t1, "202571000042", "2026OB1", "2026", "1,00", "13/04/2026", "x"),
+        (t2, "202571000042", "2026OB1", "2026", "500.000,00", "13/04/2026", "12.345.678/0001-95 - FUNDO"),
         (t2, "S/I", "2026OB1", "2026", "1,00", "13/04/2026", "x")], cols)
     got = silver.silver_amendments(df).collect()
     assert len(got) == 1
     r = got[0]
     assert (r["ano"], r["valor_documento"], str(r["data_documento"]), r["favorecido_id"], r["favorecido_nome"], r["favorecido_tipo"]) == (
-        2026, Decimal("500000.00"), "2026-04-13", "04786328000136", "FUNDO", "CNPJ")
+        2026, Decimal("500000.00"), "2026-04-13", "12345678000195", "FUNDO", "CNPJ")

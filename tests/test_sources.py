@@ -73,8 +73,8 @@ def test_zstd_parquet(spark, tmp_path):
 
 A1 = {
     "draw": 1, "recordsTotal": 1200, "data": [
-        {"autor": "3900 - ADRIANO", "codigoEmenda": "202639000008", "skTipoEmenda": 2, "ano": 2026, "numeroEmenda": "0008",
-         "valorPago": "1.653.375,00", "funcao": None},
+        {"autor": "7100 - AUTORA FICTICIA", "codigoEmenda": "202571000042", "skTipoEmenda": 2, "ano": 2025, "numeroEmenda": "0042",
+         "valorPago": "2.718.281,82", "funcao": None},
         {"codigoEmenda": "S/I"}, {"codigoEmenda": "REL. GERAL"},
     ],
 }
@@ -85,8 +85,8 @@ def test_amendment_page(spark):
     rows = payload.explode_payload(pages, "body")
     assert rows.count() == 3
     flat = rows.select("page", "records_total", *payload.map_fields(F.col("record"), schemas.AMENDMENT_FIELDS, schemas.NULL_WHEN_MISSING))
-    row = flat.where("codigo_emenda = '202639000008'").first()
-    assert (row["records_total"], row["sk_tipo_emenda"], row["numero_emenda"], row["valor_total_a1"]) == (1200, "2", "0008", "1.653.375,00")
+    row = flat.where("codigo_emenda = '202571000042'").first()
+    assert (row["records_total"], row["sk_tipo_emenda"], row["numero_emenda"], row["valor_total_a1"]) == (1200, "2", "0042", "2.718.281,82")
     assert row["programa"] == "" and row["subfuncao"] is None and row["funcao"] is None
     from civiclake.operators.joins import valid_amendments
 
@@ -94,7 +94,7 @@ def test_amendment_page(spark):
     assert (valid.count(), rejected.count()) == (1, 2)
     plan = payload.document_request(payload.page_plan(valid, "records_total"))
     offsets = sorted((r["page_offset"], r["params"]["offset"], r["params"]["codigo"]) for r in plan.collect())
-    assert offsets == [(0, "0", "202639000008"), (1000, "1000", "202639000008")]
+    assert offsets == [(0, "0", "202571000042"), (1000, "1000", "202571000042")]
 
 
 def test_page_plan_empty(spark):
