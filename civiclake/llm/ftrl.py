@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .storage import written
-from .tokens import list_array, segment_sums, with_text_columns
+from .tokens import segment_sums, slices, with_text_columns
 
 #: Distinct hashed features of some texts: flat bucket numbers and how many each text has.
 Features = Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]
@@ -90,24 +90,18 @@ def labelled_sample(
 def fit(sample: DataFrame, features: Features, model: Ftrl) -> np.ndarray:
     """Weights by bucket (float32).  An empty sample gives all zeros, a score of one half."""
     buckets = 1 << model.bits
-
-    def featured(texts: list[bytes]) -> list[pa.Array]:
-        flat, counts = features(texts)
-        return [list_array(flat, counts)]
-
-    rows = with_text_columns(
-        sample, "__text", T.StructType().add("__active", T.ArrayType(T.IntegerType(), False)), featured
-    ).select("__row.__label", "__row.__order", "__active")
-    rows = written(rows, "features")
+    # texts are kept and dealt, their features are several times as large
+    rows = written(sample, "sample")
     shards = max(1, -(-rows.count() // model.shard_rows))
     z, n = np.zeros(buckets), np.zeros(buckets)
     for _ in range(model.rounds):
-        dz, dn = _round(rows, model, z, n, shards)
+        dz, dn = _round(rows, features, model, z, n, shards)
         z, n = z + dz / shards, n + dn / shards
     return model.weights(z, n).astype(np.float32)
 
 
-def _round(rows: DataFrame, model: Ftrl, z0: np.ndarray, n0: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray]:
+def _round(rows: DataFrame, features: Features, model: Ftrl, z0: np.ndarray, n0: np.ndarray,
+           shards: int) -> tuple[np.ndarray, np.ndarray]:
     """Summed changes of both state vectors after each shard has gone through its rows once."""
     shared = rows.sparkSession.sparkContext.broadcast((z0, n0))
 
@@ -115,10 +109,12 @@ def _round(rows: DataFrame, model: Ftrl, z0: np.ndarray, n0: np.ndarray, shards:
         start_z, start_n = shared.value
         z, n = start_z.copy(), start_n.copy()
         for batch in batches:
-            offsets = batch.column("__active").offsets.to_numpy()
-            active = batch.column("__active").values.to_numpy()
-            for i, label in enumerate(batch.column("__label").to_numpy()):
-                model.learn(z, n, active[offsets[i]:offsets[i + 1]], label)
+            labels = batch.column("__label").to_numpy()
+            for at, texts in slices(batch.column("__text")):
+                active, counts = features(texts)
+                ends = np.cumsum(counts)
+                for i, end in enumerate(ends):
+                    model.learn(z, n, active[end - counts[i]:end], labels[at + i])
         changed = np.flatnonzero(n != start_n).astype(np.int32)
         for at in range(0, len(changed), 10_000):
             part = changed[at:at + 10_000]
