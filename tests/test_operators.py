@@ -85,13 +85,13 @@ def test_amend_documents(spark):
 
 
 def test_company_match_and_network(spark):
-    est = spark.createDataFrame([("04786328", "0001", "36", "PE"), ("04786328", "0002", "17", "BA")],
+    est = spark.createDataFrame([("12345678", "0001", "95", "PE"), ("12345678", "0002", "17", "BA")],
                                 "cnpj_basico string, cnpj_ordem string, cnpj_dv string, uf string")
     pay = spark.createDataFrame([("12.345.678/0001-95 - FUNDO", 1), ("123.456.789-00 - M", 2), ("texto", 3), (None, 4)], "favorecido string, n int")
     got = joins.company_match(pay, est).collect()
     assert [(r["n"], r["uf"]) for r in got] == [(1, "PE")]
-    companies = spark.createDataFrame([("04786328", "FUNDO"), ("1", "SEM")], "cnpj_basico string, razao_social string")
-    partners = spark.createDataFrame([("04786328", "p1"), ("04786328", "p2"), ("1", "p3"), ("9", "p4")], "cnpj_basico string, socio string")
+    companies = spark.createDataFrame([("12345678", "FUNDO"), ("1", "SEM")], "cnpj_basico string, razao_social string")
+    partners = spark.createDataFrame([("12345678", "p1"), ("12345678", "p2"), ("1", "p3"), ("9", "p4")], "cnpj_basico string, socio string")
     got = {r["socio"]: (r["razao_social"], r["establishments"], r["states"]) for r in joins.partner_network(companies, est, partners).collect()}
     assert got == {"p1": ("FUNDO", 2, 2), "p2": ("FUNDO", 2, 2), "p3": ("SEM", 0, 0)}
     assert rows_of(joins.orphans(partners, "cnpj_basico", companies, "cnpj_basico")) == [("9", 1)]
