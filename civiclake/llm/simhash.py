@@ -141,7 +141,12 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
 
 def drop_near_duplicates(documents: DataFrame) -> DataFrame:
     """One row of each component stays: that of the smallest id (null last), the first of repeated rows."""
-    rows = written(near_duplicates(documents).select("__rid", "doc_id", "root"), "grouped")
+    return drop_others(documents, near_duplicates(documents).select("__rid", "doc_id", "root"))
+
+
+def drop_others(documents: DataFrame, groups: DataFrame) -> DataFrame:
+    """The first row of each root of ``groups (__rid, doc_id, root)``."""
+    rows = written(groups, "grouped")
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "__rid")
     first = rows.groupBy("root").agg(F.min(order)["__rid"].alias("stays"))
     others = written(rows.join(first, "root").filter("__rid <> stays").select("__rid"), "others")
