@@ -7,9 +7,12 @@ runs of ``RUN`` lines around them; a run that has occurred before, in an earlier
 one, is a later repeat, and all lines that later repeats cover are deleted.  Groups are reduced to their first occurrence
 before they are joined, so nothing grows with the square of a group.
 
+With ``long_words`` a later repeat of one or two lines counts too if it has more words than that: such lines and pairs of lines join
+the same first-occurrence aggregation.  ``line_report`` follows its SQL, which knows runs of ``RUN`` lines only.
+
 Documents count in the order of their ids (null first), repeated rows in the order of the table.
-Defined results: blank lines are never deleted; texts of fewer than ``RUN`` lines, null and empty texts stay as they
-are; a text may become empty; all columns are kept, extra ones too, and ``n_chars`` follows the text.
+Defined results: blank lines are never deleted; texts of fewer than ``RUN`` lines (without ``long_words``), null and
+empty texts stay as they are; a text may become empty; all columns are kept, extra ones too, and ``n_chars`` follows the text.
 """
 
 from __future__ import annotations
@@ -50,7 +53,27 @@ def fingerprint_rows(documents: DataFrame) -> DataFrame:
                        F.slice("i", first + 1, length).alias("lines"), F.slice("h", first + 1, length).alias("around"))
 
 
-def later_repeats(documents: DataFrame) -> DataFrame:
+def long_runs(documents: DataFrame, words: int) -> DataFrame:
+    """``(__rid, doc_id, lines, run)``: runs of fewer than ``RUN`` lines that are not blank, with more than ``words`` words."""
+    rows = documents.select("__rid", "doc_id", _lines(F.col("text")).alias("l"))
+    rows = rows.select("__rid", "doc_id", "l", _filled(F.col("l")).alias("i")).filter(F.size("i") > 0)
+    rows = rows.select("__rid", "doc_id", "i", F.transform("i", lambda i: F.xxhash64(F.col("l")[i])).alias("h"),
+                       F.transform("i", lambda i: F.regexp_count(F.col("l")[i], F.lit(r"[^\x20\x09-\x0D]+"))).alias("n"))
+
+    def runs(size: int) -> Column:
+        def total(s: Column) -> Column:  # null where the run would end beyond the text
+            return sum((F.get("n", s + k) for k in range(1, size)), F.get("n", s))
+
+        starts = F.filter(F.sequence(F.lit(0), F.size("i") - 1), lambda s: total(s) > words)
+        return F.transform(starts, lambda s: F.struct(s.alias("s"), F.lit(size).alias("size")))
+
+    rows = rows.select("__rid", "doc_id", "i", "h", F.explode_outer(F.concat(*[runs(k) for k in range(1, RUN)])).alias("r"))
+    return rows.filter("r IS NOT NULL").select(
+        "__rid", "doc_id", F.slice("i", F.col("r.s") + 1, F.col("r.size")).alias("lines"),
+        F.xxhash64(F.slice("h", F.col("r.s") + 1, F.col("r.size"))).alias("run"))
+
+
+def later_repeats(documents: DataFrame, long_words: int | None = None) -> DataFrame:
     """``(__rid, gone)``: the lines of each document that runs cover which have occurred before."""
     rows = written(fingerprint_rows(documents), "line-fingerprints")
     several = rows.groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1").select("hash")
@@ -59,6 +82,8 @@ def later_repeats(documents: DataFrame) -> DataFrame:
     runs = found.select("__rid", "doc_id", "lines", "around", F.explode(starts).alias("s")).select(
         "__rid", "doc_id", F.slice("lines", F.col("s") + 1, RUN).alias("lines"),
         F.xxhash64(F.slice("around", F.col("s") + 1, RUN)).alias("run")).distinct()
+    if long_words is not None:
+        runs = runs.union(long_runs(documents, long_words))
     runs = written(runs, "line-runs")
     place = F.struct("doc_id", "__rid", F.col("lines")[0])
     origin = runs.groupBy("run").agg(F.min(place).alias("origin"), F.count("*").alias("n")).filter("n > 1")
@@ -67,10 +92,10 @@ def later_repeats(documents: DataFrame) -> DataFrame:
         F.array_distinct(F.flatten(F.collect_list("lines"))).alias("gone")), "line-repeats")
 
 
-def dedup_lines(documents: DataFrame) -> DataFrame:
+def dedup_lines(documents: DataFrame, long_words: int | None = None) -> DataFrame:
     """``(__row, __text, __lines, __deleted)``: the documents, each text without its later repeated runs, line counts."""
     frame = numbered(documents)
-    repeats = later_repeats(frame.select("__rid", "doc_id", "text"))
+    repeats = later_repeats(frame.select("__rid", "doc_id", "text"), long_words)
     packed = frame.select("__rid", "text", F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("__row"))
     # the lines are a layer of their own, so that a text is split once and not for each of its lines
     # always a merge join, so that the plan (and what it moves) is the same at every size
@@ -83,9 +108,9 @@ def dedup_lines(documents: DataFrame) -> DataFrame:
         F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).cast("long").alias("__deleted"))
 
 
-def without_repeated_lines(documents: DataFrame) -> DataFrame:
+def without_repeated_lines(documents: DataFrame, long_words: int | None = None) -> DataFrame:
     """The documents with the columns they had, ``text`` (and ``n_chars``) after line dedup."""
-    out = dedup_lines(documents)
+    out = dedup_lines(documents, long_words)
 
     def column(name: str) -> Column:
         if name.lower() == "text":
