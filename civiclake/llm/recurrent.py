@@ -108,7 +108,7 @@ def forward(p: Parameters, state: np.ndarray, inputs: np.ndarray, begins: np.nda
 
 
 def states(p: Parameters, state: np.ndarray, inputs: np.ndarray, begins: np.ndarray) -> np.ndarray:
-    """The states of ``forward`` alone, for windows that nothing is learned from."""
+    """The states of ``forward`` alone, for scoring."""
     steps, streams = inputs.shape
     # negated, and doubled for the candidate, as the logistic function takes them
     gate_input, gate_state = -p.input[:, :2 * HIDDEN], -p.state[:, :2 * HIDDEN]
@@ -277,28 +277,19 @@ def log_likelihood(p: Parameters, packed: Streams, documents: int) -> np.ndarray
 class Learner:
     """Truncated backpropagation with adaptive moments.
 
-    Every ``every``-th window of the streams is learned from, with the state that the window before it leaves.
+    Every window of the streams is learned from, with the state that the window before it leaves; only gradients stop there.
     """
 
-    def __init__(self, p: Parameters, rate: float = 0.01, every: int = 4):
-        self.p, self.rate, self.every = p, rate, every
+    def __init__(self, p: Parameters, rate: float = 0.01):
+        self.p, self.rate = p, rate
         self.means = [np.zeros_like(a) for a in p.arrays()]
         self.squares = [np.zeros_like(a) for a in p.arrays()]
-        self.seen = self.steps = self.learned = 0
+        self.steps = self.learned = 0
 
     def learn(self, packed: Streams) -> None:
-        nothing = np.zeros((packed.inputs.shape[1], HIDDEN), np.float32)
-        state = nothing
+        state = np.zeros((packed.inputs.shape[1], HIDDEN), np.float32)
         for part in windows(packed):
-            self.seen += 1
-            place = self.seen % self.every
-            if place not in (0, self.every - 1):
-                state = nothing
-                continue
             inputs, begins = packed.inputs[part], packed.begins[part]
-            if place:
-                state = states(self.p, state[part[1]], inputs, begins)[-1]
-                continue
             run = forward(self.p, state[part[1]], inputs, begins)
             state = run.after[-1]
             self._step(run, inputs, begins, packed.targets[part], packed.document[part] >= 0)
