@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, fingerprint, language, lines, mixing, perplexity, quality, simhash, suffixes, toxicity
+from . import decontaminate, fingerprint, language, lines, merkle, mixing, perplexity, quality, simhash, suffixes, toxicity, trie
 
 QUALITY_THRESHOLD = 0.3
 TOXICITY_THRESHOLD = 0.5
@@ -76,6 +76,14 @@ def op10_suffixes(spark: SparkSession, data_dir: str) -> DataFrame:
     return suffixes.removal_report(_read(spark, data_dir, "documents"))
 
 
+def op11_trie(spark: SparkSession, data_dir: str) -> DataFrame:
+    return trie.trie_report(_read(spark, data_dir, "conversations"))
+
+
+def op13_merkle(spark: SparkSession, data_dir: str) -> DataFrame:
+    return merkle.tamper_report(_read(spark, data_dir, "documents"))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_decontaminate": op2_decontaminate,
@@ -87,6 +95,8 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_lines": op9_lines,
     "op10_suffixes": op10_suffixes,
+    "op11_trie": op11_trie,
+    "op13_merkle": op13_merkle,
 }
 
-ORACLES = {"op5_mixing": mixing.ORACLE, "op9_lines": lines.ORACLE}
+ORACLES = {"op5_mixing": mixing.ORACLE, "op9_lines": lines.ORACLE, "op11_trie": trie.ORACLE, "op13_merkle": merkle.ORACLE}
