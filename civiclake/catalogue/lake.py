@@ -5,6 +5,7 @@ The events are staged by every query, one ingest per day, with a ledger next to
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -256,3 +257,43 @@ def incremental_ingest(spark, d):
         write_jsonl(landed.where(condition).drop("ts"), f"{root}/landing/{lot}")
         stream_pipeline(spark, spec, ledger, f"{root}/checkpoint", load_ts=_utc(3, 1)).awaitTermination()
     return ledger.read_ref(EVENTS, bronze(spec.columns)).select(*spec.columns)
+
+
+ORDERS = "SELECT CAST(o_orderkey AS VARCHAR) AS codigo, o_orderpriority AS nome FROM orders"
+
+
+def _orders_spec(root: str, **changes) -> PipelineSpec:
+    return PipelineSpec(name="pedidos", source=f"{root}/landing/*", table="pedidos", columns=["codigo", "nome"],
+                        rules=[Rule("pedidos", "codigo", "not_null")], **changes)
+
+
+def _land_orders(spark: SparkSession, d: str, root: str, lot: str, condition: str) -> None:
+    orders = table(spark, d, "orders").select(F.col("o_orderkey").alias("codigo"), F.col("o_orderpriority").alias("nome"))
+    write_jsonl(orders.where(condition), f"{root}/landing/{lot}")
+
+
+@query("concurrent_loads", ORDERS)
+def concurrent_loads(spark, d):
+    """Four batch runs at a time over one folder, then one more for what the losers left: every row is there once."""
+    root = scratch_path(spark, "concurrent")
+    spec, ledger = _orders_spec(root), Ledger(spark, f"{root}/lake")
+    for rest in (0, 1):
+        _land_orders(spark, d, root, f"lote_{rest}", f"codigo % 2 = {rest}")
+        with ThreadPoolExecutor(4) as pool:
+            list(pool.map(lambda _: run_pipeline(spark, spec, Ledger(spark, f"{root}/lake")), range(4)))
+    run_pipeline(spark, spec, ledger)
+    return ledger.read_ref("pedidos", bronze(spec.columns)).select(*spec.columns)
+
+
+@query("stream_then_batch", ORDERS)
+def stream_then_batch(spark, d):
+    """A stream and batch runs in turn over one folder, with one record of what is loaded; published files are archived."""
+    root = scratch_path(spark, "in-turn")
+    spec, ledger = _orders_spec(root), Ledger(spark, f"{root}/lake")
+    for rest in range(4):
+        _land_orders(spark, d, root, f"lote_{rest}", f"codigo % 4 = {rest}")
+        if rest % 2 == 0:
+            stream_pipeline(spark, spec, ledger, f"{root}/checkpoint").awaitTermination()
+        run_pipeline(spark, spec, ledger, archive_dir=f"{root}/processed" if rest == 3 else None)
+    stream_pipeline(spark, spec, ledger, f"{root}/other").awaitTermination()  # a stream that begins anew finds nothing to load
+    return ledger.read_ref("pedidos", bronze(spec.columns)).select(*spec.columns)

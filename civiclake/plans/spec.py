@@ -5,15 +5,16 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.normalize import conform, drop_all_null, rename_coerce, stamp
 from ..operators.quality import Rule, gate, run_rules
-from ..sources.files import list_files, read_jsonl, read_layout_csv
+from ..sources.files import FILE_ID, archive_files, landed_files, read_jsonl, read_layout_csv
 from ..sources.schemas import bronze, layout_for
-from .wap import MAIN, Ledger
+from .wap import MAIN, FilesTaken, Ledger
 
 #: What the table of a CSV table's rejected lines is called.
 DEAD_LETTERS = "_dead_letters"
@@ -93,14 +94,17 @@ def normalise(spec: PipelineSpec, raw: DataFrame, load_ts: datetime) -> DataFram
     return stamp(named, load_ts)
 
 
-def landed(spark: SparkSession, spec: PipelineSpec) -> dict[str, dict[str, str]]:
-    """Target table -> its landed files (location -> identity); a source without files is an error."""
-    out = {}
-    if spec.source:
-        out[spec.table] = list_files(spark, spec.source)
-    for target in spec.csv_tables:
-        out[target.table] = list_files(spark, spec.csv_root, target.pattern)
-    return out
+def landed(spark: SparkSession, spec: PipelineSpec) -> DataFrame:
+    """``(target, path, *FILE_ID)`` of every landed file; a source without files is an error."""
+    sources = [(spec.table, spec.source, None)] if spec.source else []
+    sources += [(t.table, spec.csv_root, t.pattern) for t in spec.csv_tables]
+    files = reduce(DataFrame.union, [landed_files(spark, path, pattern).select(F.lit(table).alias("target"), "path", *FILE_ID)
+                                     for table, path, pattern in sources])
+    found = {r[0] for r in files.select("target").distinct().collect()}
+    for table, path, pattern in sources:
+        if table not in found:
+            raise FileNotFoundError(f"{spec.name}: no file matches {path}" + (f" with a name like {pattern}" if pattern else ""))
+    return files
 
 
 def load(spark: SparkSession, spec: PipelineSpec, load_ts: datetime,
@@ -141,43 +145,53 @@ def published_as(ledger: Ledger, table: str, run: str) -> str | None:
     return next((i for i in ledger.ingest_ids(table) if i == run or i.startswith(f"{run}_")), None)
 
 
-def run_pipeline(spark: SparkSession, spec: PipelineSpec, ledger: Ledger, at: datetime | None = None) -> dict:
+def run_pipeline(spark: SparkSession, spec: PipelineSpec, ledger: Ledger, at: datetime | None = None,
+                 archive_dir: str | None = None) -> dict:
     """One load: staged on its own branch, audited, then published or rejected.
 
-    ``at`` names the run and stamps its rows.  A run that is published already is not
+    ``at`` names the run and stamps its rows.  A run that was given its name and is published already is not
     repeated, and every attempt writes folders of its own, so nothing that a ref shows
-    can change.  Only landed files that no published ingest holds are read; those of a
-    rejected load stay open.  The branch is closed in any case.  Without branching the
-    rows go straight to main.
+    can change.  Only landed files that no published ingest holds are read, whether a batch or a stream has loaded them; those of a
+    rejected load stay open.  If another run publishes one of the files meanwhile, this one is rejected as a whole
+    (``taken``) and leaves the others to the next.  The branch is closed in any case.  Without branching the
+    rows go straight to main.  ``archive_dir`` takes the files of a published load.
     """
     spec.check()
-    at = at or datetime.now(timezone.utc)
+    named, at = at is not None, at or datetime.now(timezone.utc)
     run = run_id(spec, at)
-    for table in spec.targets():
+    for table in spec.targets() if named else ():
         if earlier := published_as(ledger, table, run):
-            return {"ingest_id": earlier, "published": True, "repeated": True, "verdict": {"publish": True},
+            return {"ingest_id": earlier, "published": True, "repeated": True, "taken": False, "verdict": {"publish": True},
                     "dead_letters": {}, "tables": sorted(spec.targets())}
-    consumed = ledger.consumed()
-    new = {t: {f: i for f, i in files.items() if i not in consumed} for t, files in landed(spark, spec).items()}
+    consumed, since = ledger.consumed()
+    new = landed(spark, spec).join(consumed, FILE_ID, "left_anti").collect()  # the files of this load
     ingest = f"{run}_{uuid.uuid4().hex[:8]}"
-    if not any(new.values()):
-        return {"ingest_id": ingest, "published": False, "repeated": False, "verdict": {"publish": False},
-                "dead_letters": {}, "tables": []}
+    result = {"ingest_id": ingest, "published": False, "repeated": False, "taken": False, "verdict": {"publish": False},
+              "dead_letters": {}, "tables": []}
+    if not new:
+        return result
     branch = ingest if spec.branching else f"direct_{ingest}"
     ledger.create_branch(branch, spec.from_ref)
     try:
-        frames, dead = load(spark, spec, at, {t: sorted(files) for t, files in new.items()})
+        claim = ledger.claim(ingest, spark.createDataFrame(new))
+        frames, dead = load(spark, spec, at, {t: sorted(r.path for r in new if r.target == t) for t in spec.targets()})
         for table, frame in {**frames, **dead}.items():
             ledger.write(frame, table, ingest)
         counts = {t: spark.read.parquet(ledger.location(t, ingest)).count() for t in dead}
         ledger.mark_staged(branch, [(t, ingest) for t in [*frames, *(t for t, n in counts.items() if n)]])
         ids = {t: ingest for t in frames}
         verdict = audit(spec, ledger, ids, at) if spec.branching else {"publish": True}
+        result |= {"verdict": verdict, "dead_letters": counts, "tables": sorted(frames)}
         if verdict["publish"]:
-            ledger.publish(branch, [i for files in new.values() for i in files.values()])
-        else:
+            try:
+                ledger.publish(branch, claim, since)
+                result["published"] = True
+            except FilesTaken:
+                result["taken"] = True
+        if not result["published"]:
             ledger.reject(branch)
-        return {"ingest_id": ingest, "published": verdict["publish"], "repeated": False, "verdict": verdict,
-                "dead_letters": counts, "tables": sorted(frames)}
+        elif archive_dir:
+            archive_files(spark, [r.path for r in new], archive_dir)
+        return result
     finally:
         ledger.delete_branch(branch)

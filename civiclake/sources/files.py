@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-import fnmatch
+import uuid
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,30 +15,47 @@ from .schemas import layout_for, strings
 RAW = "_raw"
 
 
-def list_files(spark: SparkSession, path: str, pattern: str | None = None) -> dict[str, str]:
-    """Landed files below a path or glob whose name matches ``pattern``: location -> identity.
+#: What tells one landed file from another: a file that is landed again under its old name is another one.
+FILE_ID = ["file_path", "file_size", "file_modification_time"]
 
-    The identity holds size and time of change, so a file that is landed again under its old name
-    is another one.  Nothing found is an error.
+
+def landed_files(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
+    """``(path, *FILE_ID)`` of the files below a path or glob whose name matches the glob ``pattern``.
+
+    Spark lists the folders, in parallel where there are many; no content is read.  A path without match is an error.
     """
-    jvm = spark._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    found = {}
-    for top in fs.globStatus(root) or []:
-        pending = fs.listFiles(top.getPath(), True)
-        while pending.hasNext():
-            status = pending.next()
-            name, full = status.getPath().getName(), status.getPath().toString()
-            below = full[len(top.getPath().toString()):]
-            hidden = any(part[:1] in (".", "_") for part in f"{below or name}".split("/"))
-            if not hidden and (not pattern or fnmatch.fnmatchcase(name, pattern)):
-                found[full] = f"{full}|{status.getLen()}|{status.getModificationTime()}"
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    if pattern:
+        reader = reader.option("pathGlobFilter", pattern)
+    try:
+        files = reader.load(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            raise FileNotFoundError(f"no file matches {path}") from error
+        raise
+    return files.select("path", *[f"_metadata.{c}" for c in FILE_ID])
+
+
+def list_files(spark: SparkSession, path: str, pattern: str | None = None) -> list[str]:
+    """Paths of landed files; nothing found is an error."""
+    found = sorted(r[0] for r in landed_files(spark, path, pattern).select("path").collect())
     if not found:
         raise FileNotFoundError(f"no file matches {path}" + (f" with a name like {pattern}" if pattern else ""))
     return found
 
 
+def archive_files(spark: SparkSession, paths: list[str], archive_dir: str) -> None:
+    """Move files below ``archive_dir``, where each keeps its whole path; a file that is gone already is passed over."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    for path in paths:
+        source = hadoop.Path(path)
+        fs = source.getFileSystem(spark._jsc.hadoopConfiguration())
+        target = hadoop.Path(f"{archive_dir.rstrip('/')}{source.toUri().getPath()}")
+        fs.mkdirs(target.getParent())
+        if fs.exists(source) and not fs.rename(source, target):
+            fs.rename(source, hadoop.Path(f"{target}.{uuid.uuid4().hex}"))
+
+
 def read_jsonl(spark: SparkSession, path: str | list[str], columns: list[str]) -> DataFrame:
     """JSON Lines as text columns; nested values keep their raw JSON text.
 
@@ -122,7 +140,7 @@ def read_layout_csv(
         .option("sep", separator).option("encoding", encoding).option("escape", '"')
         .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", RAW)
         .option("multiLine", str(multi_line).lower()).option("columnPruning", "false")
-        .csv(files or sorted(list_files(spark, root, pattern)))
+        .csv(files or list_files(spark, root, pattern))
         .withColumn("_file", F.col("_metadata.file_name"))
     )
     # The raw text is set only for lines whose width differs, so counting fields is rare work.

@@ -2,7 +2,8 @@
 
 The checkpoint is the offset: each run takes the files that arrived since the last one
 and stops.  A micro-batch that is repeated after a failure writes a new folder unless it was
-published, so no row is loaded twice.  A lot that the audit refuses ends the run with
+published, so no row is loaded twice.  Files that a batch run has published are left out, and those of a
+micro-batch count as consumed for batch runs: both keep one record, checked again by the commit that publishes.  A lot that the audit refuses ends the run with
 ``LotRejected`` and stays open: the offset moves only behind a publication.
 """
 
@@ -13,10 +14,12 @@ import uuid
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.spec import PipelineSpec, audit, normalise, published_as
-from ..plans.wap import Ledger
+from ..plans.wap import FilesTaken, Ledger
+from ..sources.files import FILE_ID
 from ..sources.schemas import strings
 
 
@@ -36,7 +39,7 @@ def landed_stream(spark: SparkSession, spec: PipelineSpec, max_files: int | None
         reader = reader.option("maxFilesPerTrigger", max_files)
     if archive_dir:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
-    return reader.json(spec.source)
+    return reader.json(spec.source).select("*", *[F.col(f"_metadata.{c}").alias(f"_{c}") for c in FILE_ID])
 
 
 def stream_pipeline(
@@ -60,15 +63,36 @@ def stream_pipeline(
         run = f"ingest_{spec.name}_{query_id or hashlib.sha256(checkpoint.encode()).hexdigest()}_{batch_id:08d}"
         if published_as(ledger, spec.table, run):
             return  # repeated after a failure behind the publication
+        held = rows.select(*[F.col(f"_{c}").alias(c) for c in FILE_ID]).distinct().collect()  # the files of this lot
+        while not publish_lot(rows, held, run, at):
+            pass  # another run has published one of the files meanwhile
+
+    def publish_lot(rows: DataFrame, held: list, run: str, at: datetime) -> bool:
+        """Load the files of a lot that nobody holds; False if that has changed before the commit."""
+        session = rows.sparkSession
+        consumed, since = ledger.consumed()
+        files = session.createDataFrame(held, consumed.schema)
+        taken = files.join(consumed, FILE_ID, "left_semi").collect()
+        if len(taken) == len(held):
+            return True
+        if taken:
+            gone = session.createDataFrame(taken, consumed.schema).withColumnsRenamed({c: f"_{c}" for c in FILE_ID})
+            rows = rows.join(gone, gone.columns, "left_anti")
+            files = session.createDataFrame([f for f in held if f not in set(taken)], consumed.schema)
         ingest = f"{run}_{uuid.uuid4().hex[:8]}"
         ledger.create_branch(ingest, spec.from_ref)
         try:
+            claim = ledger.claim(ingest, files)
             ledger.write(normalise(spec, rows, at), spec.table, ingest)
             ledger.mark_staged(ingest, [(spec.table, ingest)])
             if not audit(spec, ledger, {spec.table: ingest}, at)["publish"]:
                 ledger.reject(ingest)
                 raise LotRejected(f"{spec.name}: the rules refuse {ingest}")
-            ledger.publish(ingest)
+            ledger.publish(ingest, claim, since)
+            return True
+        except FilesTaken:
+            ledger.reject(ingest)
+            return False
         finally:
             ledger.delete_branch(ingest)
 
