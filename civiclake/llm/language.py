@@ -7,8 +7,12 @@ and that of the address suffix.  The counts behind the last two and the priors a
 by the language that the text alone points to.  Trigrams of a text depend on each other, so a text counts as at most
 ``EVIDENCE`` of them.
 
+Beside the languages stands the unknown, under which every trigram is as likely as any other.  It takes part in the same fusion, counts of
+hosts and values included, so a text that no language explains better than that is rejected, whatever it declares.
+
 Defined results: missing evidence (null) counts for nothing; a text without letters has no language, probability zero,
-and is rejected; ties go to the first language by code point; repeated rows are judged alike but count once each
+and is rejected; a text of the unknown has none either and the probability of its best language; beyond the ``MOST_LANGUAGES`` with the
+most text, languages are one, ``POOLED``; documents without a column ``lang`` or ``source`` have no such evidence; ties go to the first language by code point; repeated rows are judged alike but count once each
 in the aggregations; with no labelled training text everything is rejected; an empty table gives no rows.
 """
 
@@ -22,11 +26,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .storage import numbered, written
+from .storage import kept_rows, numbered, unpacked, written
 from .tokens import LOWER, NOT_ALNUM, joined, list_array, slices, with_text_columns
 
 BUCKET_BITS = 14
-MOST_LANGUAGES = 256
+#: Languages with a model of their own, and the name of all others together.
+MOST_LANGUAGES, POOLED = 256, "mis"
+#: Share of texts that are taken to be of no language before anything is counted.
+UNKNOWN = 0.001
 EVIDENCE = 40
 #: A text with fewer trigrams does not count in the aggregations.
 LEAST_TRIGRAMS = 20
@@ -58,7 +65,7 @@ def trigrams(texts: list[bytes], markup: bool = False) -> tuple[np.ndarray, np.n
 @dataclass
 class LanguageModel:
     languages: list[str]
-    log_probability: np.ndarray  # language, bucket
+    log_probability: np.ndarray  # language (and, last, the unknown), bucket
 
 
 def fit_text_model(documents: DataFrame, language: str = "lang", text: str = "text") -> LanguageModel:
@@ -84,17 +91,19 @@ def fit_text_model(documents: DataFrame, language: str = "lang", text: str = "te
     known = documents.filter(F.col(language).isNotNull()).select(F.col(language).cast("string"), text)
     counts = known.mapInArrow(count, "language string, bucket int, n long").groupBy("language", "bucket").agg(F.sum("n").alias("n"))
     counts = written(counts, "language-counts")
-    languages = [r[0] for r in counts.select("language").distinct().orderBy("language").limit(MOST_LANGUAGES + 1).collect()]
-    if len(languages) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
-    table = np.full((len(languages), 1 << BUCKET_BITS), 0.1)
-    rows = counts.toPandas()  # at most a number per language and bucket
+    by_size = counts.groupBy("language").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "language")
+    largest = [r[0] for r in by_size.limit(MOST_LANGUAGES).collect()]
+    pooled = counts.groupBy(F.when(F.col("language").isin(largest), F.col("language")).otherwise(POOLED).alias("language"), "bucket").agg(
+        F.sum("n").alias("n"))
+    rows = pooled.toPandas()  # at most a number per bucket and language that is kept
+    languages = sorted(set(rows["language"]))
+    table = np.full((len(languages) + 1, 1 << BUCKET_BITS), 0.1)
     table[[languages.index(x) for x in rows["language"]], rows["bucket"].to_numpy()] += rows["n"].to_numpy()
     return LanguageModel(languages, np.log(table / table.sum(axis=1, keepdims=True)).astype(np.float32))
 
 
 def with_text_evidence(frame: DataFrame, text: str, model: LanguageModel, markup: bool = False) -> DataFrame:
-    """``(__row, __trigrams, __evidence)``: log-likelihood of every whole text by language."""
+    """``(__row, __trigrams, __evidence)``: log-likelihood of every whole text by language and under the unknown."""
     shared = frame.sparkSession.sparkContext.broadcast(model.log_probability)
 
     def score(texts: list[bytes]) -> list[pa.Array]:
@@ -139,8 +148,8 @@ def identify(evidence: DataFrame, languages: list[str]) -> DataFrame:
 
     Gives ``(__rid, language, probability, text_language, accepted)``.
     """
-    k = len(languages)
-    if not k:
+    k = len(languages) + 1
+    if k == 1:
         return evidence.select("__rid", F.lit(None).cast("string").alias("language"), F.lit(0.0).alias("probability"),
                                F.lit(None).cast("string").alias("text_language"), F.lit(False).alias("accepted"))
     best = F.array_position(F.col("evidence"), F.array_max("evidence")).cast("int") - 1
@@ -149,7 +158,8 @@ def identify(evidence: DataFrame, languages: list[str]) -> DataFrame:
 
     by_host = written(sure.groupBy("host", "domain").agg(_tally(F.col("guess"), k).alias("n")), "language-hosts")
     counted = by_host.agg(*[F.coalesce(F.sum(F.col("n")[i]), F.lit(0.0)) for i in range(k)]).first()
-    overall = F.array(*[F.lit((n + PRIOR_ROWS / k) / (sum(counted) + PRIOR_ROWS)) for n in counted])
+    expected = [(1 - UNKNOWN) / (k - 1)] * (k - 1) + [UNKNOWN]
+    overall = F.array(*[F.lit((n + PRIOR_ROWS * p) / (sum(counted) + PRIOR_ROWS)) for n, p in zip(counted, expected)])
     domains = by_host.groupBy("domain").agg(F.array(*[F.sum(F.col("n")[i]) for i in range(k)]).alias("m"))
     domains = domains.select(F.col("domain").alias("d"), F.when(F.col("domain").isNull(), overall).otherwise(
         _blend(F.col("m"), overall)).alias("above"))
@@ -167,16 +177,16 @@ def identify(evidence: DataFrame, languages: list[str]) -> DataFrame:
     for c in values:
         score = _plus(score, F.coalesce(f"{c}_log", nothing))
     fused = fused.select("__rid", "guess", "trigrams", score.alias("score"))
-    top = F.array_max("score")
-    fused = fused.withColumn("probability", F.lit(1.0) / F.aggregate(
+    top, best = F.array_max("score"), F.array_max(F.slice("score", 1, k - 1))
+    fused = fused.withColumn("probability", F.exp(best - top) / F.aggregate(
         F.transform("score", lambda s: F.exp(s - top)), F.lit(0.0), lambda a, x: a + x))
-    names = F.array(*[F.lit(x) for x in languages])
+    names = F.array(*[F.lit(x) for x in languages], F.lit(None).cast("string"))
     found = F.col("trigrams") > 0
     return fused.select(
         "__rid", F.when(found, names[(F.array_position("score", top) - 1).cast("int")]).alias("language"),
         F.when(found, F.col("probability")).otherwise(0.0).alias("probability"),
         F.when(found, names[F.col("guess")]).alias("text_language"),
-        (found & (F.col("probability") >= LEAST_PROBABILITY)).alias("accepted"))
+        (found & (best == top) & (F.col("probability") >= LEAST_PROBABILITY)).alias("accepted"))
 
 
 def _host(url: Column) -> Column:
@@ -202,12 +212,16 @@ def page_languages(pages: DataFrame, model: LanguageModel) -> DataFrame:
 
 def accepted_documents(documents: DataFrame, model: LanguageModel) -> DataFrame:
     """The documents with an accepted language; ``lang`` counts as declared, ``source`` as the host."""
-    frame = numbered(documents)
+    frame = kept_rows(documents, "language-documents")
     none = F.lit(None).cast("string")
-    narrow = frame.select("__rid", "text", F.col("source").cast("string").alias("host"), none.alias("domain"),
-                          none.alias("suffix"), F.lower(F.col("lang").cast("string")).alias("declared"))
+
+    def said(name: str) -> Column:
+        return F.col("__row")[name].cast("string") if name in documents.columns else none
+
+    narrow = frame.select("__rid", "__row.text", said("source").alias("host"), none.alias("domain"),
+                          none.alias("suffix"), F.lower(said("lang")).alias("declared"))
     evidence = with_text_evidence(narrow, "text", model).select(
         *[F.col("__row")[c].alias(c) for c in ("__rid", "host", "domain", "suffix", "declared")],
         F.col("__trigrams").alias("trigrams"), F.col("__evidence").alias("evidence"))
     rejected = written(identify(evidence, model.languages).filter(~F.col("accepted")).select("__rid"), "rejected")
-    return frame.join(rejected, "__rid", "left_anti").select(*[F.col(f"`{c}`") for c in documents.columns])
+    return frame.join(rejected, "__rid", "left_anti").select(*unpacked(documents))

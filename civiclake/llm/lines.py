@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .storage import numbered, written
+from .storage import kept_rows, written
 
 RUN = 3
 
@@ -94,9 +94,9 @@ def later_repeats(documents: DataFrame, long_words: int | None = None) -> DataFr
 
 def dedup_lines(documents: DataFrame, long_words: int | None = None) -> DataFrame:
     """``(__row, __text, __lines, __deleted)``: the documents, each text without its later repeated runs, line counts."""
-    frame = numbered(documents)
-    repeats = later_repeats(frame.select("__rid", "doc_id", "text"), long_words)
-    packed = frame.select("__rid", "text", F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("__row"))
+    frame = kept_rows(documents, "line-documents")
+    repeats = later_repeats(frame.select("__rid", "__row.doc_id", "__row.text"), long_words)
+    packed = frame.select("__rid", "__row.text", "__row")
     # the lines are a layer of their own, so that a text is split once and not for each of its lines
     # always a merge join, so that the plan (and what it moves) is the same at every size
     rows = packed.join(repeats.hint("merge"), "__rid", "left").select("__row", "text", "gone", _lines(F.col("text")).alias("l"))

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .storage import numbered, written
+from .storage import kept_rows, numbered, unpacked, written
 
 EPOCHS = 3
 BINS_PER_DOUBLING = 1024
@@ -45,9 +45,9 @@ def sampling_key(doc_id: Column, weight: Column) -> Column:
     return -F.log(uniform) / weight
 
 
-def keyed(documents: DataFrame) -> DataFrame:
-    """``documents`` with row number, size, sampling key and bin of the key."""
-    out = numbered(documents).withColumns(
+def keyed(rows: DataFrame) -> DataFrame:
+    """``rows (__rid, doc_id, source, text)`` with size, sampling key and bin of the key."""
+    out = rows.withColumns(
         {"__size": word_count(F.col("text")), "__key": sampling_key(F.col("doc_id"), quality_weight(F.col("text")))})
     return out.withColumn("__bin", F.floor(F.log2("__key") * BINS_PER_DOUBLING).cast("long"))
 
@@ -112,7 +112,7 @@ def with_copies(rows: DataFrame, plan: DataFrame, chosen: DataFrame) -> DataFram
 
 def mix(documents: DataFrame) -> DataFrame:
     """One row per document: ``doc_id, size, source_size, target, taken``."""
-    rows = written(keyed(documents).select("__rid", "doc_id", "source", "__size", "__key", "__bin"), "mix-rows")
+    rows = written(keyed(numbered(documents.select("doc_id", "source", "text"))).drop("text"), "mix-rows")
     out = with_copies(rows, *mixing_plan(rows))
     return out.select(
         "doc_id", F.col("__size").alias("size"), "source_size", "target",
@@ -121,12 +121,12 @@ def mix(documents: DataFrame) -> DataFrame:
 
 def mixed_documents(documents: DataFrame) -> DataFrame:
     """The documents that the mix takes, each with ``mix_copies``, the number of its copies."""
-    rows = written(keyed(documents).select("__rid", "doc_id", "source", "__size", "__key", "__bin"), "mix-rows")
+    documents = documents.select(*[F.col(f"`{c}`") for c in documents.columns if c.lower() != "mix_copies"])
+    frame = kept_rows(documents, "mix-documents")
+    rows = written(keyed(frame.select("__rid", "__row.doc_id", "__row.source", "__row.text")).drop("text"), "mix-rows")
     copies = with_copies(rows, *mixing_plan(rows)).filter("copies > 0")
     copies = written(copies.select("__rid", F.col("copies").alias("mix_copies")), "mix-copies")
-    names = [c for c in documents.columns if c.lower() != "mix_copies"]
-    return numbered(documents.select(*[F.col(f"`{c}`") for c in names])).join(copies.hint("merge"), "__rid").select(
-        *[F.col(f"`{c}`") for c in names], "mix_copies")
+    return frame.join(copies.hint("merge"), "__rid").select(*unpacked(documents), "mix_copies")
 
 
 ORACLE = f"""

@@ -3,8 +3,8 @@
 A text is the set of its runs of ``words`` words, lower-cased (a shorter one: of the whole).  Texts with equal sets are one point.
 ``BANDS`` keys of ``BAND_ROWS`` minima each make two points of similarity 0.8 candidates in all but three of a million cases;
 every candidate is verified on both whole sets.  Points of one key are first compared with its smallest one, so that a group of
-any size gives as many pairs as it has members.  Where that leaves a key with points of several components, all pairs between
-components are compared too, so no pair that shares a key is left out.
+any size gives as many pairs as it has members.  Where that leaves a key with points of several components, the exact prefix filter
+of ``crowded`` finds what is left, so no pair that shares a key is left out and no key gives all its pairs.
 
 Defined results: texts without words are alike; repeated rows each get a row; extra columns are ignored.
 """
@@ -18,8 +18,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .components import components
+from .crowded import hubs, open_points, rare_pairs
 from .simhash import drop_others
-from .storage import numbered, written
+from .storage import kept_rows, unpacked, written
 from .tokens import list_array, scramble, with_text_columns, words_of
 
 WORDS, LEAST = 5, 0.8
@@ -97,41 +98,28 @@ def similar(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     return both.filter(F.col("shared") >= (F.col("held") - F.col("shared")) * least - 1e-9).select("a", "b")
 
 
-def near_duplicates(documents: DataFrame, words: int = WORDS, least: float = LEAST) -> DataFrame:
-    """``(__rid, doc_id, root)`` per row of documents: ``root`` names the component."""
-    frame = numbered(documents)
+def near_duplicates(frame: DataFrame, words: int = WORDS, least: float = LEAST) -> DataFrame:
+    """``(__rid, doc_id, root)`` per row of ``frame (__rid, doc_id, text)``: ``root`` names the component."""
     rows = written(with_sketch(frame, words), "sketches")
     points = written(rows.groupBy("digest").agg(
         F.min("__rid").alias("__rid"), F.first("size").alias("size"), F.first("bands").alias("bands")), "points")
     grid = points.select("digest", "size", F.explode("bands").alias("at"))
-    hubs = grid.groupBy("at").agg(F.min("digest").alias("hub"), F.max("digest").alias("last")).filter("hub < last")
+    grid = grid.withColumnRenamed("digest", "point")
     # always merge joins, so that the plan (and what it moves) is the same at every size
-    places = written(grid.join(hubs.select("at", "hub").hint("merge"), "at"), "places")
-    met = points.join(places.select("digest").distinct().hint("merge"), "digest", "left_semi").select("digest", "__rid")
+    places = written(grid.join(hubs(grid).hint("merge"), "at"), "places")
+    met = points.join(places.select(F.col("point").alias("digest")).distinct().hint("merge"), "digest", "left_semi").select("digest", "__rid")
     sets = written(with_shingles(frame.select("__rid", "text").join(met.hint("merge"), "__rid").select("digest", "text"), words), "shingles")
-    star = places.filter("digest <> hub").select(F.col("digest").alias("a"), F.col("hub").alias("b")).distinct()
+    star = places.filter("point <> hub").select(F.col("point").alias("a"), F.col("hub").alias("b")).distinct()
     links = written(similar(star, sets, least), "links")
-    roots = written(components(links), "roots")
-    apart = written(_apart(places, roots, least), "apart")
-    more = written(similar(apart, sets, least), "more-links")
-    if more.head(1):
-        roots = written(components(links.union(more)), "roots")
+    crowd = written(open_points(places, components(links)), "open-points")
+    more = written(similar(rare_pairs(crowd, sets.withColumnRenamed("digest", "point"), least), sets, least), "more-links")
+    roots = written(components(links.union(more)), "roots")
     named = roots.withColumnRenamed("node", "digest")
     return rows.join(named.hint("merge"), "digest", "left").select("__rid", "doc_id", F.coalesce("root", "digest").alias("root"))
 
 
-def _apart(places: DataFrame, roots: DataFrame, least: float) -> DataFrame:
-    """Pairs ``(a, b)`` of one key but of two components, of sizes that allow the similarity; the hubs are compared already."""
-    named = places.filter("digest <> hub").join(roots.withColumnRenamed("node", "digest").hint("merge"), "digest", "left")
-    named = named.select("at", "digest", "size", F.coalesce("root", "digest").alias("root"))
-    several = named.groupBy("at").agg(F.min("root").alias("m"), F.max("root").alias("n")).filter("m < n").select("at")
-    named = written(named.join(several.hint("merge"), "at", "left_semi"), "open-keys")
-    other = named.select("at", F.col("digest").alias("b"), F.col("size").alias("b_size"), F.col("root").alias("b_root"))
-    pairs = named.join(other.hint("merge"), "at").filter("digest < b AND root <> b_root").filter(
-        F.least("size", "b_size") >= F.greatest("size", "b_size") * least - 1e-9)
-    return pairs.select(F.col("digest").alias("a"), "b").distinct()
-
-
 def drop_near_duplicates(documents: DataFrame, words: int = WORDS, least: float = LEAST) -> DataFrame:
     """One row of each component stays: that of the smallest id (null last), the first of repeated rows."""
-    return drop_others(documents, near_duplicates(documents, words, least))
+    frame = kept_rows(documents, "near-documents")
+    groups = near_duplicates(frame.select("__rid", "__row.doc_id", "__row.text"), words, least)
+    return drop_others(frame, groups).select(*unpacked(documents))

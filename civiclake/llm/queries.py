@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, fingerprint, language, lines, merkle, mixing, perplexity, quality, simhash, suffixes, toxicity, trie
+from . import decontaminate, fingerprint, language, lines, merkle, mixing, oddsketch, perplexity, quality, simhash, suffixes, toxicity, trie
 
 QUALITY_THRESHOLD = 0.3
 TOXICITY_THRESHOLD = 0.5
@@ -80,6 +80,10 @@ def op11_trie(spark: SparkSession, data_dir: str) -> DataFrame:
     return trie.trie_report(_read(spark, data_dir, "conversations"))
 
 
+def op12_minhash(spark: SparkSession, data_dir: str) -> DataFrame:
+    return oddsketch.near_report(_read(spark, data_dir, "documents"))
+
+
 def op13_merkle(spark: SparkSession, data_dir: str) -> DataFrame:
     return merkle.tamper_report(_read(spark, data_dir, "documents"))
 
@@ -96,7 +100,9 @@ QUERIES = {
     "op9_lines": op9_lines,
     "op10_suffixes": op10_suffixes,
     "op11_trie": op11_trie,
+    "op12_minhash": op12_minhash,
     "op13_merkle": op13_merkle,
 }
 
-ORACLES = {"op5_mixing": mixing.ORACLE, "op9_lines": lines.ORACLE, "op11_trie": trie.ORACLE, "op13_merkle": merkle.ORACLE}
+ORACLES = {"op5_mixing": mixing.ORACLE, "op9_lines": lines.ORACLE, "op11_trie": trie.ORACLE,
+           "op12_minhash": oddsketch.ORACLE, "op13_merkle": merkle.ORACLE}

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .components import components
-from .storage import discard, numbered, written
+from .storage import discard, kept_rows, numbered, unpacked, written
 from .tokens import with_text_columns
 
 SHINGLE = 3
@@ -126,8 +126,13 @@ def near_links(distinct: DataFrame) -> DataFrame:
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
     """``(__rid, doc_id, fp, component_id)`` per row of documents; only these narrow rows are shuffled."""
+    return near_rows(numbered(documents.select("doc_id", "text")))
+
+
+def near_rows(frame: DataFrame) -> DataFrame:
+    """``near_duplicates`` of rows ``(__rid, doc_id, text)`` that have their numbers."""
     rows = written(
-        with_fingerprint(numbered(documents).select("__rid", "doc_id", "text")).select(
+        with_fingerprint(frame).select(
             "__row.__rid", "__row.doc_id", F.col("__fp").alias("fp")), "fingerprints")
     first = written(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
     roots = written(components(near_links(first.select("fp"))), "roots")
@@ -141,13 +146,15 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
 
 def drop_near_duplicates(documents: DataFrame) -> DataFrame:
     """One row of each component stays: that of the smallest id (null last), the first of repeated rows."""
-    return drop_others(documents, near_duplicates(documents).select("__rid", "doc_id", "root"))
+    frame = kept_rows(documents, "simhash-documents")
+    groups = near_rows(frame.select("__rid", "__row.doc_id", "__row.text")).select("__rid", "doc_id", "root")
+    return drop_others(frame, groups).select(*unpacked(documents))
 
 
-def drop_others(documents: DataFrame, groups: DataFrame) -> DataFrame:
-    """The first row of each root of ``groups (__rid, doc_id, root)``."""
+def drop_others(frame: DataFrame, groups: DataFrame) -> DataFrame:
+    """The rows ``(__rid, ...)`` of ``frame`` that are the first of their root in ``groups (__rid, doc_id, root)``."""
     rows = written(groups, "grouped")
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "__rid")
     first = rows.groupBy("root").agg(F.min(order)["__rid"].alias("stays"))
     others = written(rows.join(first, "root").filter("__rid <> stays").select("__rid"), "others")
-    return numbered(documents).join(others.hint("merge"), "__rid", "left_anti").select(*[F.col(f"`{c}`") for c in documents.columns])
+    return frame.join(others.hint("merge"), "__rid", "left_anti")

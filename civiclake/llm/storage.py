@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
@@ -31,7 +31,22 @@ def discard(table: DataFrame) -> None:
 def numbered(documents: DataFrame) -> DataFrame:
     """``documents`` with ``__rid``, a number that tells repeated rows apart.
 
-    The frame must give its rows in the same order each time it runs, as files and tables do; write
-    anything else first.
+    For frames that are scanned once: how files are packed into tasks, and so the numbers, depends on the
+    cores that a session has when it plans.  Whoever needs the numbers twice takes ``kept_rows``.
     """
     return documents.withColumn("__rid", F.monotonically_increasing_id())
+
+
+def kept_rows(documents: DataFrame, name: str) -> DataFrame:
+    """``(__rid, __row)``: every row as one struct, with a number; written once, so that all later scans see the same numbers.
+
+    As a struct the columns keep clear of those that operators add, whatever their names.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("__row")
+    return written(documents.select(F.monotonically_increasing_id().alias("__rid"), row), name)
+
+
+
+def unpacked(documents: DataFrame) -> list[Column]:
+    """The columns of ``documents`` out of the rows of ``kept_rows``."""
+    return [F.col("__row")[c].alias(c) for c in documents.columns]

@@ -347,7 +347,7 @@ def removals(documents: DataFrame) -> DataFrame:
 
 def removal_report(documents: DataFrame) -> DataFrame:
     """Per document: ``doc_id, n_bytes, n_removed, n_spans, kept_sha256``."""
-    rows = numbered(documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text")))
+    rows = written(numbered(documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))), "suffix-documents")
     whole = rows.select("__rid", "doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("sha"))
     return whole.join(removals(rows), F.col("__rid") == F.col("rid"), "left").select(
         "doc_id", "n_bytes", F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),
