@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .storage import written
+from .storage import discard, written
 
 
 def hubs(grid: DataFrame) -> DataFrame:
@@ -44,6 +44,7 @@ def rare_pairs(points: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     heads = ordered.select("point", "root", "size", alone.alias("alone"), F.posexplode(
         F.slice("parts", F.lit(1), F.greatest(length - alone, F.lit(0)).cast("int"))).alias("k", "part"))
     heads = written(heads.select("point", "root", "size", (F.col("alone") + F.col("k")).alias("at"), F.col("part.s").alias("s")), "open-heads")
+    discard(held)
     # what both hold from their first common part on must suffice
     ahead = 1 + F.least(F.col("a.size") - F.col("a.at") - 1, F.col("b.size") - F.col("b.at") - 1)
     enough = ahead >= F.ceil((F.col("a.size") + F.col("b.size")) * (least / (1 + least)) - 1e-9)

@@ -223,5 +223,5 @@ def accepted_documents(documents: DataFrame, model: LanguageModel) -> DataFrame:
     evidence = with_text_evidence(narrow, "text", model).select(
         *[F.col("__row")[c].alias(c) for c in ("__rid", "host", "domain", "suffix", "declared")],
         F.col("__trigrams").alias("trigrams"), F.col("__evidence").alias("evidence"))
-    rejected = written(identify(evidence, model.languages).filter(~F.col("accepted")).select("__rid"), "rejected")
+    rejected = written(identify(evidence, model.languages).filter(~F.col("accepted")).select("__rid"), "language-rejected")
     return frame.join(rejected, "__rid", "left_anti").select(*unpacked(documents))

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .storage import kept_rows, written
+from .storage import discard, kept_rows, written
 
 RUN = 3
 
@@ -85,11 +85,14 @@ def later_repeats(documents: DataFrame, long_words: int | None = None) -> DataFr
     if long_words is not None:
         runs = runs.union(long_runs(documents, long_words))
     runs = written(runs, "line-runs")
+    discard(rows)
     place = F.struct("doc_id", "__rid", F.col("lines")[0])
     origin = runs.groupBy("run").agg(F.min(place).alias("origin"), F.count("*").alias("n")).filter("n > 1")
     later = runs.join(origin.select("run", "origin"), "run").filter(place > F.col("origin"))
-    return written(later.groupBy("__rid").agg(
+    repeats = written(later.groupBy("__rid").agg(
         F.array_distinct(F.flatten(F.collect_list("lines"))).alias("gone")), "line-repeats")
+    discard(runs)
+    return repeats
 
 
 def dedup_lines(documents: DataFrame, long_words: int | None = None) -> DataFrame:

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .storage import kept_rows, numbered, unpacked, written
+from .storage import discard, kept_rows, numbered, unpacked, written
 
 EPOCHS = 3
 BINS_PER_DOUBLING = 1024
@@ -126,6 +126,7 @@ def mixed_documents(documents: DataFrame) -> DataFrame:
     rows = written(keyed(frame.select("__rid", "__row.doc_id", "__row.source", "__row.text")).drop("text"), "mix-rows")
     copies = with_copies(rows, *mixing_plan(rows)).filter("copies > 0")
     copies = written(copies.select("__rid", F.col("copies").alias("mix_copies")), "mix-copies")
+    discard(rows)
     return frame.join(copies.hint("merge"), "__rid").select(*unpacked(documents), "mix_copies")
 
 

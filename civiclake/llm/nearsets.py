@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from .components import components
 from .crowded import hubs, open_points, rare_pairs
 from .simhash import drop_others
-from .storage import kept_rows, unpacked, written
+from .storage import discard, kept_rows, unpacked, written
 from .tokens import list_array, scramble, with_text_columns, words_of
 
 WORDS, LEAST = 5, 0.8
@@ -109,11 +109,14 @@ def near_duplicates(frame: DataFrame, words: int = WORDS, least: float = LEAST)
     places = written(grid.join(hubs(grid).hint("merge"), "at"), "places")
     met = points.join(places.select(F.col("point").alias("digest")).distinct().hint("merge"), "digest", "left_semi").select("digest", "__rid")
     sets = written(with_shingles(frame.select("__rid", "text").join(met.hint("merge"), "__rid").select("digest", "text"), words), "shingles")
+    discard(points)
     star = places.filter("point <> hub").select(F.col("point").alias("a"), F.col("hub").alias("b")).distinct()
     links = written(similar(star, sets, least), "links")
     crowd = written(open_points(places, components(links)), "open-points")
     more = written(similar(rare_pairs(crowd, sets.withColumnRenamed("digest", "point"), least), sets, least), "more-links")
+    discard(places, sets, crowd)
     roots = written(components(links.union(more)), "roots")
+    discard(links, more)
     named = roots.withColumnRenamed("node", "digest")
     return rows.join(named.hint("merge"), "digest", "left").select("__rid", "doc_id", F.coalesce("root", "digest").alias("root"))
 

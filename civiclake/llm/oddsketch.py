@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 from .components import components
 from .crowded import hubs, open_points, rare_pairs
 from .nearsets import shingle_sets, with_shingles
-from .storage import numbered, written
+from .storage import discard, numbered, written
 from .tokens import list_array, scramble, with_text_columns
 
 WORDS, PERCENT = 5, 85
@@ -132,7 +132,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def near_components(documents: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` per row of documents."""
-    frame = written(numbered(documents.select("doc_id", "text")), "odd-texts")
+    frame = written(numbered(documents.select("doc_id", "text")), "odd-texts", "zstd")
     rows = written(with_sketch(frame, words), "odd-sketches")
     points = written(rows.filter("size > 0").groupBy("d1", "d2", "size").agg(
         F.min("__rid").alias("point"), F.min("doc_id").alias("first"), F.first("bands").alias("bands"), F.first("odd").alias("odd")), "odd-points")
@@ -143,14 +143,18 @@ def near_components(documents: DataFrame, words: int = WORDS, percent: int = PER
     met = places.select("point").distinct()
     sets = written(with_shingles(frame.join(met.hint("merge"), F.col("__rid") == F.col("point"), "left_semi").select(
         F.col("__rid").alias("digest"), "text"), words).withColumnRenamed("digest", "point"), "odd-sets")
+    discard(frame)
     links = written(confirmed(likely(star, points, percent), sets, percent), "odd-links")
     crowd = written(open_points(places, components(links)), "odd-open")
     more = confirmed(likely(rare_pairs(crowd, sets, percent / 100), points, percent), sets, percent)
-    roots = components(links.union(written(more, "odd-more")))
+    more = written(more, "odd-more")
+    discard(places, sets, crowd)
+    roots = components(links.union(more))
     named = points.join(roots.withColumnRenamed("node", "point").hint("merge"), "point", "left").select(
         "d1", "d2", "size", "first", F.coalesce("root", "point").alias("root"))
     smallest = named.groupBy("root").agg(F.min("first").alias("component_id"))
     groups = written(named.join(smallest.hint("merge"), "root").select("d1", "d2", "size", "component_id"), "odd-groups")
+    discard(points, links, more)
     out = rows.select("doc_id", "d1", "d2", "size").join(groups.hint("merge"), ["d1", "d2", "size"], "left")
     own = F.when(F.col("size") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", F.col("size").alias("n_shingles"), own.alias("component_id"))

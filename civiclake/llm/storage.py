@@ -2,32 +2,59 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import threading
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
 
 
-def written(frame: DataFrame, name: str) -> DataFrame:
+_stages = threading.local()  # of the thread: tables of the stage at work, and of the one before
+
+
+def written(frame: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """Write ``frame`` below ``spark.checkpoint.dir`` and read it back.
 
     Cuts the lineage at a table that survives lost executors, and gives the planner its true size.
     """
     spark = frame.sparkSession
     path = scratch_path(spark, f"llm-{name}")
-    frame.write.parquet(path)
+    if hasattr(_stages, "now"):
+        _stages.now.append(path)
+    writer = frame.write.option("compression", codec) if codec else frame.write
+    writer.parquet(path)
     table = spark.read.schema(frame.schema).parquet(path)
     table._llm_path = path
     return table
 
 
-def discard(table: DataFrame) -> None:
-    """Delete a table made by ``written`` that nothing reads any more."""
-    spark = table.sparkSession
-    path = spark._jvm.org.apache.hadoop.fs.Path(table._llm_path)
+def discard(*tables: DataFrame) -> None:
+    """Delete tables made by ``written`` that nothing reads any more: those that only tables written since were made from."""
+    for table in tables:
+        _delete(table.sparkSession, table._llm_path)
+
+
+def _delete(spark: SparkSession, name: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+@contextmanager
+def stage(spark: SparkSession) -> Iterator[None]:
+    """One stage of several whose results are written before the next begins: the tables of the stage before are deleted."""
+    for path in getattr(_stages, "before", ()):
+        _delete(spark, path)
+    _stages.before, _stages.now = [], []
+    try:
+        yield
+    finally:
+        _stages.before = _stages.now
+        del _stages.now
+
+
 def numbered(documents: DataFrame) -> DataFrame:
     """``documents`` with ``__rid``, a number that tells repeated rows apart.
 
@@ -43,7 +70,7 @@ def kept_rows(documents: DataFrame, name: str) -> DataFrame:
     As a struct the columns keep clear of those that operators add, whatever their names.
     """
     row = F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("__row")
-    return written(documents.select(F.monotonically_increasing_id().alias("__rid"), row), name)
+    return written(documents.select(F.monotonically_increasing_id().alias("__rid"), row), name, "zstd")
 
 
 
