@@ -5,15 +5,21 @@ The events are staged by every query, one ingest per day, with a ledger next to
 
 from __future__ import annotations
 
+import hashlib
+import io
+import zipfile
 from concurrent.futures import ThreadPoolExecutor
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
+from functools import reduce
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.dedupe import same_rows
 from ..operators.dedupe import snapshot_diff as diff_snapshots
 from ..operators.quality import Rule
+from ..plans.compact import compact
 from ..plans.spec import CsvTable, PipelineSpec, run_pipeline
 from ..plans.wap import INGEST, Ledger
 from ..session import scratch_path
@@ -126,6 +132,30 @@ def ref_compare(spark, d):
     return ledger.compare("main", "revisao")
 
 
+def _compacted(spark, d, tag: str) -> Ledger:
+    """Five days published at a time and compacted as soon as three folders of a level are there; a tag after the tenth."""
+    ledger, days = _lake(spark, d, tag)
+    for n in range(0, len(days), 5):
+        then = ledger.at(_utc(1, 1) + timedelta(days=n))
+        _publish(ledger, days[n:n + 5], f"carga_{n}", then.clock())
+        compact(then, EVENTS, SCHEMA, 3)
+        if n == 5:
+            then.tag("dez_dias")
+    return ledger
+
+
+@query("compacted_read", f"""
+SELECT 'agora' AS estado, 'd' || strftime(ts, '%Y%m%d') AS ingest_id, count(*) AS linhas FROM events GROUP BY ALL
+UNION ALL SELECT e.*, 'd' || strftime(ts, '%Y%m%d'), count(*) FROM events, (VALUES ('tag'), ('antes')) e WHERE ts < TIMESTAMP '2024-01-11' GROUP BY ALL""")
+def compacted_read(spark, d):
+    """Main, a tag and an earlier point in time of a table that is compacted while it grows."""
+    ledger = _compacted(spark, d, "compacted")
+    states = {"agora": ledger.read_ref(EVENTS, SCHEMA), "tag": ledger.read_ref(EVENTS, SCHEMA, "dez_dias"),
+              "antes": ledger.read_as_of(EVENTS, SCHEMA, _utc(1, 6))}
+    return reduce(DataFrame.union, [rows.groupBy(F.lit(name).alias("estado"), F.col(INGEST).alias("ingest_id")).agg(F.count("*").alias("linhas"))
+                                    for name, rows in states.items()])
+
+
 @query("tag_read", f"{ROWS} WHERE ts < TIMESTAMP '2024-01-11'")
 def tag_read(spark, d):
     ledger, days = _lake(spark, d, "tag")
@@ -297,3 +327,45 @@ def stream_then_batch(spark, d):
         run_pipeline(spark, spec, ledger, archive_dir=f"{root}/processed" if rest == 3 else None)
     stream_pipeline(spark, spec, ledger, f"{root}/other").awaitTermination()  # a stream that begins anew finds nothing to load
     return ledger.read_ref("pedidos", bronze(spec.columns)).select(*spec.columns)
+
+
+def _land_archives(rows: DataFrame, folder: str, members: int) -> None:
+    """Text lines to archives in the shared folder, each of several members."""
+
+    def pack(batches):
+        from pyarrow import fs
+
+        system, inner = fs.FileSystem.from_uri(folder if ":" in folder else f"file://{folder}")
+        system.create_dir(inner, recursive=True)
+        for batch in batches:
+            buffer = io.BytesIO()
+            with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
+                for k in range(members):
+                    archive.writestr(f"K{k}.EMPRECSV", "\n".join(batch["line"][k::members]).encode("latin-1"))
+            name = hashlib.sha256(buffer.getvalue()).hexdigest()[:16]  # the same if a task is repeated
+            with system.open_output_stream(f"{inner}/Empresas_{name}.zip") as out:
+                out.write(buffer.getvalue())
+            yield pd.DataFrame({"archive": [name]})
+
+    rows.mapInPandas(pack, "archive string").count()
+
+
+@query("zip_member_load", """
+SELECT 'linhas' AS parte, lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS cnpj_basico, c_name || '; "Ação"' AS texto FROM customer WHERE c_custkey % 7 <> 1
+UNION ALL SELECT 'rejeitos', NULL, lpad(CAST(c_custkey AS VARCHAR), 8, '0') || ';a;b;c;d;e;f;g;h' FROM customer WHERE c_custkey % 7 = 1""")
+def zip_member_load(spark, d):
+    """A load of archives, member by member, with its dead letters; a second run finds them loaded."""
+    root = scratch_path(spark, "zip-load")
+    key = F.lpad(F.col("c_custkey").cast("string"), 8, "0")
+    good = F.concat(key, F.lit(';"'), "c_name", F.lit('; ""Ação""'), F.lit('";;;;;'))
+    line = F.when(F.col("c_custkey") % 7 == 1, F.concat(key, F.lit(";a;b;c;d;e;f;g;h"))).otherwise(good)
+    _land_archives(table(spark, d, "customer").select(line.alias("line")), f"{root}/landing", 4)
+    archives = CsvTable("Empresas*.zip", "empresas_zip", layout="*.EMPRECSV", zipped=True)
+    spec = PipelineSpec(name="rfb", csv_root=f"{root}/landing", csv_tables=[archives], rules=[Rule("empresas_zip", "cnpj_basico", "not_null")])
+    ledger = Ledger(spark, f"{root}/lake")
+    for month in (2, 3):
+        run_pipeline(spark, spec, ledger, _utc(month, 1))
+    rows = ledger.read_ref("empresas_zip", bronze(archives.columns)).select(
+        F.lit("linhas").alias("parte"), "cnpj_basico", F.col("razao_social").alias("texto"))
+    rejects = ledger.read_ref("empresas_zip_dead_letters", "raw string").select(F.lit("rejeitos"), F.lit(None).cast("string"), "raw")
+    return rows.union(rejects)

@@ -193,6 +193,22 @@ def xml_profile(spark, d):
     )
 
 
+@query("xml_profile_json", """
+SELECT lpad(CAST(c_custkey AS VARCHAR), 16, '0') AS id_lattes,
+  '{"NOME":"' || c_name || '","FILHO":{"B":"2"},"VAZIO":{}}' AS general_data,
+  '[' || CASE c_custkey % 3 WHEN 0 THEN '' WHEN 1 THEN '{"I":"Ação"}' ELSE '{"I":"Ação"},{"VINCULO":{"A":"' || c_nationkey || '"}}' END || ']' AS professional_performances
+FROM customer""")
+def xml_profile_json(spark, d):
+    """Nodes as the raw table holds them: attributes and children in one object, the last child of a name instead of all before."""
+    body = F.expr("""concat('<C><DADOS-GERAIS NOME="', c_name, '" FILHO="a"><FILHO A="1"/><FILHO B="2"/><VAZIO><X UF="PE"/></VAZIO></DADOS-GERAIS>',
+      '<ENDERECO-PROFISSIONAL UF="PE"/><MESTRADO STATUS-DO-CURSO="CONCLUIDO"/>',
+      CASE WHEN c_custkey % 3 > 0 THEN '<ATUACAO-PROFISSIONAL I="AÃ§Ã£o"/>' ELSE '' END,
+      CASE WHEN c_custkey % 3 = 2 THEN concat('<ATUACAO-PROFISSIONAL><VINCULO A="', c_nationkey, '"/></ATUACAO-PROFISSIONAL>') ELSE '' END, '</C>')""")
+    source = table(spark, d, "customer").select(F.lpad(F.col("c_custkey").cast("string"), 16, "0").alias("name"), body.alias("body"))
+    profiles, _ = archives.parse_profiles(_zip_batches(source, ".xml", "name", "body"))
+    return archives.profile_json(profiles).select("id_lattes", "general_data", "professional_performances")
+
+
 @query("paged_payload_explode", """
 SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN 0 ELSE o_orderkey % 4 + 1 END AS records_total,
   o_orderkey || '-' || g AS codigo, CASE WHEN g = 2 THEN NULL ELSE o_orderstatus END AS fase

@@ -231,6 +231,23 @@ def pair_quality(spark, d):
     return table(spark, d, "pages").select("page_id", raw.alias("raw")).select("page_id", graded.alias("q")).select("page_id", "q.*")
 
 
+DEEP = {"card": web.Section(values=web.tag_text("div", "card-info"), categories=web.tag_text("div", "card-title"))}
+
+
+@query("nested_elements", """
+SELECT CAST(o_orderkey AS VARCHAR) AS source_url, unnest(['Nível', 'Outro']) AS category,
+  unnest([o_orderstatus || ' fim ' || CAST(o_custkey AS VARCHAR), o_orderpriority || CASE WHEN o_orderkey % 5 = 0 THEN 'aberto' ELSE '' END]) AS value
+FROM orders""")
+def nested_elements(spark, d):
+    """Pages with up to eleven levels of one element in a selected one, comments, void, stray and unclosed tags."""
+    html = """concat('<main><div class="card-title">Nível</div><div class="card-info"><!-- <div> -->', repeat('<div class="x">', o_orderkey % 12),
+      o_orderstatus, repeat('</div>', o_orderkey % 12), '<br> fim ', o_custkey, '</div>', if(o_orderkey % 3 = 0, '</div>', ''),
+      '<DIV CLASS="b card-title">Outro</DIV><div class="card-info b"><div/> ', o_orderpriority, if(o_orderkey % 5 = 0, '<div>aberto', '</div>'), '</main>')"""
+    pages = table(spark, d, "orders").select(F.col("o_orderkey").cast("string").alias("url"), F.expr(html).alias("html"))
+    found = web.extract_sections(pages, "url", "html", DEEP)
+    return normalize.explode_rows(found, ["source_url"], F.col("card.paired_data"), "p").select("source_url", "p.category", "p.value")
+
+
 SUMMARY_SECTIONS = {
     "nav": NAV["nav"],
     "body": BODY["body"],

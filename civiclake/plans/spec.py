@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from ..operators.normalize import conform, drop_all_null, rename_coerce, stamp
 from ..operators.quality import Rule, gate, run_rules
-from ..sources.files import FILE_ID, archive_files, landed_files, read_jsonl, read_layout_csv
+from ..sources.archives import read_zip_csv
+from ..sources.files import FILE_ID, archive_files, landed_files, read_jsonl, read_layout_csv, without_tokens
 from ..sources.schemas import bronze, layout_for
 from .wap import MAIN, FilesTaken, Ledger
 
@@ -31,6 +32,7 @@ class CsvTable:
     multi_line: bool = False
     na_tokens: tuple[str, ...] = ()
     layout: str | None = None  # file pattern whose published layout applies, if not ``pattern``
+    zipped: bool = False  # ``pattern`` names archives whose members are the CSV files
 
     @property
     def columns(self) -> list[str]:
@@ -116,15 +118,24 @@ def load(spark: SparkSession, spec: PipelineSpec, load_ts: datetime,
     for target in spec.csv_tables:
         if not files.get(target.table):
             continue
-        rows, rejects = read_layout_csv(
-            spark, spec.csv_root, target.pattern, columns=target.columns, separator=target.separator, encoding=target.encoding,
-            multi_line=target.multi_line, na_tokens=list(target.na_tokens) or None, files=files[target.table])
+        rows, rejects = read_csv_table(spark, spec, target, files[target.table])
         business = rows.select(*target.columns)
         out[target.table] = stamp(drop_all_null(business, target.columns), load_ts)
         dead[f"{target.table}{DEAD_LETTERS}"] = stamp(rejects, load_ts)
     return out, dead
 
 
+def read_csv_table(spark: SparkSession, spec: PipelineSpec, target: CsvTable, files: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Rows of a CSV target, and what is no row: ``(raw, _file)``."""
+    common = {"columns": target.columns, "separator": target.separator, "encoding": target.encoding, "multi_line": target.multi_line}
+    tokens = list(target.na_tokens) or None
+    if not target.zipped:
+        return read_layout_csv(spark, spec.csv_root, target.pattern, na_tokens=tokens, files=files, **common)
+    rows, rejects = read_zip_csv(spark, spec.csv_root, files=files, **common)
+    return (rows.select(*[without_tokens(F.col(c), tokens).alias(c) for c in target.columns]),
+            rejects.select(F.coalesce("line", "error").alias("raw"), F.concat_ws("/", "archive", "member").alias("_file")))
+
+
 def audit(spec: PipelineSpec, ledger: Ledger, ids: dict[str, str], now: datetime) -> dict:
     """Run the rules over the staged ingests only: passed / warned / failed counts and ``publish``."""
     rules = [r for r in spec.rules if r.table in ids]
@@ -142,7 +153,7 @@ def audit(spec: PipelineSpec, ledger: Ledger, ids: dict[str, str], now: datetime
 
 def published_as(ledger: Ledger, table: str, run: str) -> str | None:
     """The ingest under which a run has been published, if it has."""
-    return next((i for i in ledger.ingest_ids(table) if i == run or i.startswith(f"{run}_")), None)
+    return next((i for i in ledger.published_ids(table) if i == run or i.startswith(f"{run}_")), None)
 
 
 def run_pipeline(spark: SparkSession, spec: PipelineSpec, ledger: Ledger, at: datetime | None = None,

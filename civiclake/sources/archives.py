@@ -1,7 +1,7 @@
 """ZIP archives: one curriculum XML per archive, or a bundle of CSV members.
 
-Archives arrive as ``binaryFile`` rows, so Spark spreads them over the cluster; Python
-only opens each archive, batch by batch.
+Archives of one member arrive as ``binaryFile`` rows, so Spark spreads them over the cluster; Python
+only opens each archive, batch by batch.  Those of many members are read member by member (``zipfiles``).
 """
 
 from __future__ import annotations
@@ -12,12 +12,14 @@ from collections.abc import Iterator
 from xml.etree import ElementTree
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.brazil import DEGREE_STATUSES, NORTHEAST_STATES, compact_date
 from ..functions.text import fix_mojibake
-from .files import field_count
+from .files import field_count, list_files
+from .zipfiles import LINES_PER_BATCH, member_lines, records
+from .zipfiles import SCHEMA as MEMBER_LINES
 
 NODE = "struct<attributes: map<string,string>, children: map<string,map<string,string>>>"
 PROFILE_SCHEMA = (
@@ -29,7 +31,6 @@ PROFILE_COLUMNS = [
     "id_lattes", "raw_date", "hora_atualizacao", "uf_atuacao", "general_data",
     "professional_performances", "research_projects", "bibliographic_productions", "error",
 ]
-LINES_PER_BATCH = 20_000
 
 
 def list_archives(spark: SparkSession, path: str) -> DataFrame:
@@ -118,6 +119,21 @@ def _clean_node(node):
     )
 
 
+def node_json(node: Column) -> Column:
+    """A node as one JSON object: its attributes, and under its name each child's; a child takes the place of an attribute of its name."""
+    attributes = F.map_filter(node["attributes"], lambda name, _: ~F.map_contains_key(node["children"], name))
+    parts = F.array(*[F.regexp_replace(F.to_json(m), r"^\{|\}$", "") for m in (attributes, node["children"])])
+    text = F.concat(F.lit("{"), F.array_join(F.filter(parts, lambda p: p != ""), ","), F.lit("}"))
+    return F.when(node.isNotNull(), text)
+
+
+def profile_json(profiles: DataFrame) -> DataFrame:
+    """Profiles with their nodes as JSON text, the shape of the raw table."""
+    lists = ("professional_performances", "research_projects", "bibliographic_productions")
+    joined = {c: F.concat(F.lit("["), F.array_join(F.transform(F.col(c), node_json), ","), F.lit("]")) for c in lists}
+    return profiles.withColumns({"general_data": node_json(F.col("general_data")), **joined})
+
+
 def read_zip_profiles(spark: SparkSession, path: str, **options) -> tuple[DataFrame, DataFrame]:
     return parse_profiles(list_archives(spark, path), **options)
 
@@ -125,23 +141,9 @@ def read_zip_profiles(spark: SparkSession, path: str, **options) -> tuple[DataFr
 def unpack_lines(archives: DataFrame, encoding: str = "latin-1", multi_line: bool = False) -> DataFrame:
     """``binaryFile`` rows to (archive, member, line_no, line, error).
 
-    Members are decompressed as a stream and handed on in bounded batches, so a large
-    member never sits in memory as a whole.  ``multi_line`` keeps line feeds inside
-    quotes in their record.
+    For archives that are rows already, or lie where only Spark can read them: one task opens a whole archive.  Members are decompressed
+    as a stream and handed on in bounded batches.  ``multi_line`` keeps line feeds inside quotes in their record.
     """
-    schema = "archive string, member string, line_no bigint, line string, error string"
-
-    def records(stream) -> Iterator[str]:
-        parts, open_quote = [], False
-        for line in io.TextIOWrapper(stream, encoding=encoding, newline=""):
-            parts.append(line)
-            if multi_line and line.count('"') % 2:
-                open_quote = not open_quote
-            if not open_quote:
-                yield "".join(parts).rstrip("\r\n")
-                parts = []
-        if parts:
-            yield "".join(parts).rstrip("\r\n")
 
     def rows(path: str, content: bytes) -> Iterator[tuple]:
         name = path.rsplit("/", 1)[-1]
@@ -151,7 +153,7 @@ def unpack_lines(archives: DataFrame, encoding: str = "latin-1", multi_line: boo
                     if member.is_dir():
                         continue
                     with archive.open(member) as stream:
-                        for n, line in enumerate(records(stream)):
+                        for n, line in enumerate(records(stream, encoding, multi_line)):
                             if line:
                                 yield name, member.filename, n, line, None
         except Exception as exc:  # noqa: BLE001 - any broken archive is a reject row
@@ -169,13 +171,11 @@ def unpack_lines(archives: DataFrame, encoding: str = "latin-1", multi_line: boo
                         chunk = []
             yield pd.DataFrame(chunk, columns=names)
 
-    return archives.select("path", "content").mapInPandas(unpack, schema)
+    return archives.select("path", "content").mapInPandas(unpack, MEMBER_LINES)
 
 
-def parse_zip_csv(archives: DataFrame, columns: list[str], separator: str = ";",
-                  encoding: str = "latin-1", multi_line: bool = False) -> tuple[DataFrame, DataFrame]:
-    """CSV members of archives to (rows, rejects); fields are split on the JVM side."""
-    lines = unpack_lines(archives, encoding, multi_line)
+def parse_lines(lines: DataFrame, columns: list[str], separator: str = ";") -> tuple[DataFrame, DataFrame]:
+    """Lines of CSV members to (rows, rejects); fields are split on the JVM side."""
     long_line = field_count(F.col("line"), separator) > len(columns)
     bad = F.col("error").isNotNull() | long_line
     options = {"sep": separator, "escape": '"', "multiLine": "true"}
@@ -188,5 +188,14 @@ def parse_zip_csv(archives: DataFrame, columns: list[str], separator: str = ";",
     return rows, rejects
 
 
-def read_zip_csv(spark: SparkSession, path: str, columns: list[str], **options) -> tuple[DataFrame, DataFrame]:
-    return parse_zip_csv(list_archives(spark, path), columns, **options)
+def parse_zip_csv(archives: DataFrame, columns: list[str], separator: str = ";",
+                  encoding: str = "latin-1", multi_line: bool = False) -> tuple[DataFrame, DataFrame]:
+    """CSV members of ``binaryFile`` rows to (rows, rejects)."""
+    return parse_lines(unpack_lines(archives, encoding, multi_line), columns, separator)
+
+
+def read_zip_csv(spark: SparkSession, path: str, columns: list[str], separator: str = ";", encoding: str = "latin-1",
+                 multi_line: bool = False, pattern: str = "*.zip", files: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """CSV members of the archives below ``path`` (or of just ``files``) to (rows, rejects), one task per member."""
+    lines = member_lines(spark, files or list_files(spark, path, pattern), encoding, multi_line)
+    return parse_lines(lines, columns, separator)

@@ -152,13 +152,14 @@ def read_layout_csv(
         odd = (F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))) % 2 == 1
         too_long = too_long | F.when(F.col(RAW).isNull(), False).otherwise(odd)
     rows = lines.where(~too_long).select(
-        *[_without_tokens(F.col(c), na_tokens).alias(c) for c in columns], "_file"
+        *[without_tokens(F.col(c), na_tokens).alias(c) for c in columns], "_file"
     )
     rejects = lines.where(too_long).select(line.alias("raw"), "_file")
     return rows, rejects
 
 
-def _without_tokens(c: Column, tokens: list[str] | None) -> Column:
+def without_tokens(c: Column, tokens: list[str] | None) -> Column:
+    """Null for the tokens that stand for it."""
     return F.when(~c.isin(tokens), c) if tokens else c
 
 

@@ -1,11 +1,12 @@
 """Landed HTML pages: links, section pairs, file manifests.
 
-Selection is done with JVM regular expressions, so pages never leave the JVM.
+Selection is done with JVM regular expressions and array functions, so pages never leave the JVM.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -16,23 +17,29 @@ from ..functions.text import clean_html_list
 from ..operators.normalize import explode_rows
 
 
-#: Elements of the same name that a selected element may hold inside each other.
-NESTING = 4
+#: Elements that may hold others of their name.
 NESTED_TAGS = {"article", "blockquote", "div", "ol", "section", "span", "table", "ul"}
+#: Elements without an inside.
+VOID_TAGS = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 
 
-def tag_text(tag: str, css_class: str | None = None) -> str:
-    """Pattern for the inside of an element, other elements of its name in it included.
+@dataclass(frozen=True)
+class Element:
+    """Selects elements of a name (with all the classes), each from its opening tag to the closing one of the same depth."""
+
+    tag: str
+    css_class: str | None = None
+
 
-    Elements that cannot hold their like (paragraphs, links) reach to the first closing tag.
+def tag_text(tag: str, css_class: str | None = None) -> str | Element:
+    """Selects the inside of elements.
+
+    Elements that cannot hold their like (paragraphs, links) reach to the first closing tag, and those that are always empty give empty
+    texts: both are patterns.  All others are matched by depth, so any number of elements of their name may be inside.
     """
-    if tag not in NESTED_TAGS:
-        return rf"{opening(tag, css_class)}(.*?)</{tag}\s*+>"
-    other = rf"[^<]++|<(?!/?{tag}\b)"
-    inside = rf"(?:{other})*+"
-    for _ in range(NESTING):
-        inside = rf"(?:{other}|<{tag}\b[^>]*+>{inside}</{tag}\s*+>)*+"
-    return rf"{opening(tag, css_class)}({inside})</{tag}\s*+>"
+    if tag in NESTED_TAGS:
+        return Element(tag, css_class)
+    return rf"{opening(tag, css_class)}()" if tag in VOID_TAGS else rf"{opening(tag, css_class)}(.*?)</{tag}\s*+>"
 
 
 def tag_attribute(tag: str, attribute: str, css_class: str | None = None) -> str:
@@ -56,14 +63,88 @@ _TWO_QUOTES = r"""(?:"([^"]*)"|'([^']*)')"""
 _LAST_QUOTED = r"""(?s)("[^"]*|'[^']*)["']\z"""
 
 
-def find_all(html: Column, pattern: str) -> Column:
-    """All first groups of a pattern; of an attribute pattern, the value in either kind of quotes."""
+def find_all(html: Column, pattern: str | Element) -> Column:
+    """All first groups of a pattern; of an attribute pattern, the value in either kind of quotes; the insides of elements."""
+    if isinstance(pattern, Element):
+        return _bound(elements_only(html), lambda page: insides(page, pattern))
     if not pattern.endswith(_TWO_QUOTES):
         return F.regexp_extract_all(html, F.lit(pattern), F.lit(1))
     whole = F.regexp_extract_all(html, F.lit(pattern), F.lit(0))
     return F.transform(whole, lambda t: F.substring(F.regexp_extract(t, _LAST_QUOTED, 1), 2, 1 << 30))
 
 
+#: Text that holds no elements, whatever it looks like.
+_NO_ELEMENTS = r"(?is)<!--.*?(?:-->|\z)|<(script|style)\b.*?(?:</\1\s*+>|\z)"
+#: Levels of elements of a name inside a selected one that one pattern matches.
+SHALLOW = 4
+_OPENS, _SELECTED, _CLOSES, _EMPTY, _NOTHING = range(5)
+
+
+def elements_only(html: Column) -> Column:
+    """A page without comments, scripts and styles."""
+    return F.regexp_replace(html, _NO_ELEMENTS, "")
+
+
+def insides(page: Column, element: Element) -> Column:
+    """The insides of all selected elements of a page of ``elements_only`` in page order, an outer one before those in it.
+
+    A closing tag without opening one counts for nothing, an element that is never closed reaches to the end, a tag that closes itself
+    is empty.  One pattern matches elements of a few levels.  Where it has not matched every selected opening tag, the page is
+    matched by depth instead, with the same result for what the pattern can match.
+    """
+    opened = F.regexp_count(page, F.lit(opening(element.tag, element.css_class)))
+    return _bound(F.regexp_extract_all(page, F.lit(_shallow(element)), F.lit(1)), lambda found: F.when(
+        F.size(found) == opened, found).otherwise(_by_depth(page, element)))
+
+
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, with a lambda variable for the value, so that it is computed once and not wherever it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _shallow(element: Element) -> str:
+    tag = element.tag
+    other = rf"[^<]++|<(?!/?{tag}\b)|<{tag}\b[^>]*+(?<=/)>"
+    inside = rf"(?:{other})*+"
+    for _ in range(SHALLOW):
+        inside = rf"(?:{other}|<{tag}\b[^>]*+(?<!/)>{inside}</{tag}\s*+>)*+"
+    return rf"(?is)<{tag}\b{_classes(element.css_class)}[^>]*+(?<!/)>({inside})</{tag}\s*+>"
+
+
+def _by_depth(page: Column, element: Element) -> Column:
+    """The page is cut before every tag of the element's name, and one pass over the pieces keeps the depth and the selected
+    elements that are open, by numbers of pieces only, so it is linear in the page."""
+    tag = element.tag
+    selected, itself = rf"\A{opening(tag, element.css_class)}", r"\A<[^>]*/>"
+    pieces = F.split(F.concat(F.lit(" "), page), rf"(?i)(?=</?{tag}\b)", -1)  # the first one is no tag
+    start = F.struct(F.lit(0).alias("i"), F.lit(0).alias("depth"), F.array().cast("array<struct<at: int, depth: int>>").alias("open"),
+                     F.array().cast("array<struct<at: int, until: int>>").alias("found"))
+
+    def kind(piece: Column) -> Column:
+        return F.when(piece.startswith("</"), _CLOSES).when(~piece.startswith("<"), _NOTHING).when(piece.rlike(selected), F.when(
+            piece.rlike(itself), _EMPTY).otherwise(_SELECTED)).when(piece.rlike(itself), _NOTHING).otherwise(_OPENS)
+
+    def step(state: Column, k: Column) -> Column:
+        i, depth, stack, found = (state[c] for c in ("i", "depth", "open", "found"))
+        top = F.try_element_at(stack, F.lit(-1))
+        ends = (k == _CLOSES) & (F.coalesce(top["depth"], F.lit(-1)) == depth)
+        span = F.struct(F.when(k == _EMPTY, i).otherwise(top["at"]).alias("at"), i.alias("until"))
+        return F.struct(
+            (i + 1).alias("i"),
+            F.when(k <= _SELECTED, depth + 1).when((k == _CLOSES) & (depth > 0), depth - 1).otherwise(depth).alias("depth"),
+            F.when(k == _SELECTED, F.array_append(stack, F.struct(i.alias("at"), (depth + 1).alias("depth")))).when(
+                ends, F.slice(stack, F.lit(1), F.size(stack) - 1)).otherwise(stack).alias("open"),
+            F.when(ends | (k == _EMPTY), F.array_append(found, span)).otherwise(found).alias("found"))
+
+    def texts(p: Column) -> Column:
+        spans = _bound(F.aggregate(F.transform(p, kind), start, step), lambda s: F.array_sort(F.concat(s["found"], F.transform(
+            s["open"], lambda o: F.struct(o["at"].alias("at"), s["i"].alias("until"))))))
+        return F.transform(spans, lambda s: F.regexp_replace(
+            F.array_join(F.slice(p, s["at"] + 1, s["until"] - s["at"]), ""), r"\A<[^>]*>", ""))
+
+    return _bound(pieces, texts)
+
+
 @dataclass(frozen=True)
 class Section:
     """Where a section's labels and values are found on a page.
@@ -73,8 +154,8 @@ class Section:
     own.  Without ``categories`` the section is a plain list of values.
     """
 
-    values: str | None
-    categories: str | None = None
+    values: str | Element | None
+    categories: str | Element | None = None
     scope: str | None = None
     scope_end: str | None = None
     category_scope: str | None = None
@@ -169,11 +250,15 @@ def extract_sections(pages: DataFrame, url: str, html: str, sections: dict[str,
         F.col(url).alias("source_url"),
         *[area(F.col(html), *scope).alias(name) for scope, name in areas.items()],
     )
+    wanted = {areas[scope] for s in sections.values() for pattern, scope in zip((s.values, s.categories), s.scopes()) if isinstance(pattern, Element)}
+    layer = layer.select("*", *[elements_only(F.col(name)).alias(f"{name}_only") for name in sorted(wanted)])
     raw, cleaned = [], []
     for i, section in enumerate(sections.values()):
         for kind, pattern, scope in zip("vc", (section.values, section.categories), section.scopes()):
             if pattern:
-                raw.append(find_all(F.col(areas[scope]), pattern).alias(f"_{kind}{i}"))
+                at = areas[scope]
+                found = insides(F.col(f"{at}_only"), pattern) if isinstance(pattern, Element) else find_all(F.col(at), pattern)
+                raw.append(found.alias(f"_{kind}{i}"))
                 cleaned.append(clean_html_list(F.col(f"_{kind}{i}")).alias(f"_{kind}{i}"))
     if require_values:
         ok = sum((F.when(F.size(f"_v{i}") > 0, 1).otherwise(0) for i in range(len(sections))), F.lit(0))

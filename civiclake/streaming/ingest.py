@@ -17,10 +17,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..plans.compact import compact, compact_claims
 from ..plans.spec import PipelineSpec, audit, normalise, published_as
 from ..plans.wap import FilesTaken, Ledger
 from ..sources.files import FILE_ID
-from ..sources.schemas import strings
+from ..sources.schemas import bronze, strings
 
 
 class LotRejected(RuntimeError):
@@ -51,8 +52,12 @@ def stream_pipeline(
     max_files: int | None = None,
     archive_dir: str | None = None,
     load_ts: datetime | None = None,
+    compact_at: int | None = None,
 ) -> StreamingQuery:
-    """Load everything that is waiting: one staged, audited ingest per micro-batch."""
+    """Load everything that is waiting: one staged, audited ingest per micro-batch.
+
+    ``compact_at`` merges the folders of a level once there are as many, so that a table of many small lots stays cheap to read.
+    """
     spec.check()
 
     def load_batch(rows: DataFrame, batch_id: int) -> None:
@@ -66,6 +71,9 @@ def stream_pipeline(
         held = rows.select(*[F.col(f"_{c}").alias(c) for c in FILE_ID]).distinct().collect()  # the files of this lot
         while not publish_lot(rows, held, run, at):
             pass  # another run has published one of the files meanwhile
+        if compact_at:
+            compact(ledger, spec.table, bronze(spec.columns), compact_at)
+            compact_claims(ledger, compact_at)
 
     def publish_lot(rows: DataFrame, held: list, run: str, at: datetime) -> bool:
         """Load the files of a lot that nobody holds; False if that has changed before the commit."""

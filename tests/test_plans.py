@@ -9,7 +9,7 @@ from civiclake.catalogue import QUERIES
 DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test data")
 
-PYTHON_BY_DESIGN = {"zip_csv_unpack", "xml_profile"}  # archives are opened in Python
+PYTHON_BY_DESIGN = {"zip_csv_unpack", "xml_profile", "xml_profile_json"}  # archives are opened in Python
 
 
 def plan(spark, name):

@@ -259,3 +259,28 @@ def test_selection_is_nested_quoted_and_repeated(spark):
     assert pages["crossed"]["paired_data"][0]["category"] == "A inner deep tail"
     inside = web.links(df, "url", "html", container=web.opening("section", "one"), container_end="</section>").collect()
     assert [r["href"] for r in inside] == ['u?"1"', "v"]
+
+
+@pytest.mark.parametrize("page, want", [
+    ('<div class="c">a' + "<div>x" * 40 + "</div>" * 40 + 'b</div><p>no</p><div class="c">2</div>', ["ax" + "x" * 39 + "b", "2"]),
+    ('<DIV CLASS="b c">1<div class=\'c\'>in</div></DIV>', ["1in", "in"]),  # an outer element before those in it
+    ('</div><div class="c">a</div></div>b<div class="c">d</div>', ["a", "d"]),  # closing tags without an opening one
+    ('<div class="c">open <div>never', ["open never"]),
+    ('<div class="c"><br>a<img src="x"><div/>b</div>c', ["ab"]),  # empty elements do not count
+    ('<div class="c"/>t<div class="c">u</div>', ["", "u"]),
+    ('<!-- <div class="c">no</div> --><div class="c"><!-- <div> -->yes</div>', ["yes"]),
+    ('<script>"<div>"</script><div class="c">a</div><style>div </style>', ["a"]),
+    ('<div class="c">a<divider>b</divider></div>c', ["ab"]),
+    ('<div class="cc">a</div><section class="c">b</section>', []),
+    ("", []), ("no tags < at > all", []),
+])
+def test_elements_by_depth(spark, page, want):
+    found = web.find_all(F.col("html"), web.tag_text("div", "c"))
+    bare = F.transform(found, lambda x: F.regexp_replace(x, "<[^>]*>|<!--.*?-->", ""))
+    assert spark.createDataFrame([(page,)], "html string").select(bare).first()[0] == want
+
+
+def test_void_elements_and_missing_pages(spark):
+    df = spark.createDataFrame([("<br><hr class='c'>",), (None,)], "html string").coalesce(1)
+    got = df.select(web.find_all(F.col("html"), web.tag_text("hr", "c")), web.find_all(F.col("html"), web.tag_text("div"))).collect()
+    assert [tuple(r) for r in got] == [([""], []), (None, None)]
