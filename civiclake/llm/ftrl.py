@@ -1,8 +1,8 @@
 """Logistic regression over hashed features, trained with follow-the-regularised-leader updates.
 
-Each shard of a bounded sample is one Spark task that goes through its rows once per round from
-the shared state; the state (two numbers per bucket) is the mean over shards.  The number of
-buckets is a parameter, so state and weights have a fixed size whatever the corpus.
+The updates depend on each other, so a sample of at most ``max_rows`` labelled rows is gone through in one order, ``rounds`` times, by one
+task: what a row teaches does not depend on the size of the corpus.  Everything before (finding the sample) and after (scoring) is spread
+over the cluster.  State and weights have one or two numbers per bucket, a fixed size whatever the corpus.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .storage import written
+from .storage import discard, written
 from .tokens import segment_sums, slices, with_text_columns
 
 #: Distinct hashed features of some texts: flat bucket numbers and how many each text has.
@@ -27,17 +27,16 @@ Features = Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]
 class Ftrl:
     """Step size ``alpha``, smoothing ``beta``, penalties ``l1`` and ``l2``; buckets are ``2 ** bits``.
 
-    ``max_rows`` bounds the labelled sample, about ``shard_rows`` of which make a shard.
+    ``max_rows`` bounds the labelled sample.
     """
 
-    bits: int = 18
+    bits: int = 20
     alpha: float = 0.05
     beta: float = 1.0
     l1: float = 1.0
     l2: float = 1.0
     rounds: int = 2
     max_rows: int = 40_000
-    shard_rows: int = 8_192
 
     def weights(self, z: np.ndarray, n: np.ndarray) -> np.ndarray:
         pull = -(z - np.sign(z) * self.l1) / ((self.beta + np.sqrt(n)) / self.alpha + self.l2)
@@ -71,7 +70,7 @@ def labelled_sample(
 ) -> DataFrame:
     """``(text, label, order)`` of about ``max_rows`` labelled training rows at most, drawn by id hash.
 
-    A document with several label rows gets their majority (ties: 1); null ids and labels count for none.
+    A document with several label rows gets their majority (ties: 1); null ids and labels count for none; rows of one id and text count once.
     """
     known = (
         labels.filter(training & F.col("doc_id").isNotNull() & F.col(label).isNotNull())
@@ -82,32 +81,36 @@ def labelled_sample(
     if total > max_rows:
         known = known.filter(F.pmod(order, F.lit(1_000_000)) < F.lit(max_rows * 1_000_000 // total))
     # at most about max_rows rows of two numbers
-    return documents.select("doc_id", F.col("text").alias("__text")).join(F.broadcast(known), "doc_id").select(
+    return documents.select("doc_id", F.coalesce("text", F.lit("")).alias("__text")).join(F.broadcast(known), "doc_id").select(
         "__text", "__label", order.alias("__order")
-    )
+    ).dropDuplicates(["__order", "__text"])
+
+
+#: Buckets whose state travels as one row.
+PART = 1 << 16
 
 
 def fit(sample: DataFrame, features: Features, model: Ftrl) -> np.ndarray:
     """Weights by bucket (float32).  An empty sample gives all zeros, a score of one half."""
-    buckets = 1 << model.bits
-    # texts are kept and dealt, their features are several times as large
-    rows = written(sample, "sample")
-    shards = max(1, -(-rows.count() // model.shard_rows))
-    z, n = np.zeros(buckets), np.zeros(buckets)
+    # texts are kept, their features are several times as large
+    table = rows = written(sample, "sample", "zstd")
+    total = table.count()
+    if total > model.max_rows:  # ids with several texts
+        share = F.pmod(F.xxhash64("__text", "__order"), F.lit(1_000_000))
+        rows = rows.filter(share < F.lit(model.max_rows * 1_000_000 // total))
+    z, n = np.zeros(1 << model.bits), np.zeros(1 << model.bits)
     for _ in range(model.rounds):
-        dz, dn = _round(rows, features, model, z, n, shards)
-        z, n = z + dz / shards, n + dn / shards
+        z, n = _round(rows, features, model, z, n)
+    discard(table)
     return model.weights(z, n).astype(np.float32)
 
 
-def _round(rows: DataFrame, features: Features, model: Ftrl, z0: np.ndarray, n0: np.ndarray,
-           shards: int) -> tuple[np.ndarray, np.ndarray]:
-    """Summed changes of both state vectors after each shard has gone through its rows once."""
+def _round(rows: DataFrame, features: Features, model: Ftrl, z0: np.ndarray, n0: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The state after all rows, each seen once."""
     shared = rows.sparkSession.sparkContext.broadcast((z0, n0))
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        start_z, start_n = shared.value
-        z, n = start_z.copy(), start_n.copy()
+        z, n = (x.copy() for x in shared.value)
         for batch in batches:
             labels = batch.column("__label").to_numpy()
             for at, texts in slices(batch.column("__text")):
@@ -115,23 +118,17 @@ def _round(rows: DataFrame, features: Features, model: Ftrl, z0: np.ndarray, n0:
                 ends = np.cumsum(counts)
                 for i, end in enumerate(ends):
                     model.learn(z, n, active[end - counts[i]:end], labels[at + i])
-        changed = np.flatnonzero(n != start_n).astype(np.int32)
-        for at in range(0, len(changed), 10_000):
-            part = changed[at:at + 10_000]
+        for at in range(0, len(z), PART):
             yield pa.RecordBatch.from_arrays(
-                [pa.array(part), pa.array(z[part] - start_z[part]), pa.array(n[part] - start_n[part])],
-                names=["bucket", "dz", "dn"],
-            )
-
-    dealt = rows.repartition(shards, F.pmod("__order", F.lit(shards))).sortWithinPartitions("__order")
-    change = (
-        dealt.mapInArrow(train, "bucket int, dz double, dn double")
-        .groupBy("bucket").agg(F.sum("dz").alias("dz"), F.sum("dn").alias("dn"))
-    ).toPandas()  # at most one row per bucket, a number fixed by the model
+                [pa.array([at], pa.int32()), pa.array([z[at:at + PART].tobytes()]), pa.array([n[at:at + PART].tobytes()])], names=["at", "z", "n"])
+
+    ordered = rows.repartition(1).sortWithinPartitions("__order", F.xxhash64("__text"))
+    z, n = z0.copy(), n0.copy()
+    for part in ordered.mapInArrow(train, "at int, z binary, n binary").collect():  # 16 bytes a bucket
+        for state, data in ((z, part.z), (n, part.n)):
+            state[part.at:part.at + PART] = np.frombuffer(data)
     shared.unpersist()
-    dz, dn = np.zeros(len(z0)), np.zeros(len(z0))
-    dz[change["bucket"]], dn[change["bucket"]] = change["dz"], change["dn"]
-    return dz, dn
+    return z, n
 
 
 def scored(documents: DataFrame, weights: np.ndarray, features: Features) -> DataFrame:
