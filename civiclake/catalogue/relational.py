@@ -10,10 +10,13 @@ from pyspark.sql import functions as F
 from ..operators import joins, profiling, quality, ranking, rollups
 from ..operators.quality import Rule
 from ..plans.silver import silver_amendments
-from ..sources import payload
+from ..plans.upsert import read_silver, update_silver
+from ..plans.wap import Ledger
+from ..session import scratch_path
+from ..sources import files, payload
 from ..sources.schemas import REVENUE_LEVELS, revenue_file
 from .parsing import DUCK_DATE_FIELD, MONEY_TEXT, SPARK_DATE_FIELD
-from .registry import query, table
+from .registry import ORACLES, query, table
 
 # Amendment side = orders, document side = lineitem; both derive the code from the order key.
 VALID = "{k} % 7 <> 0 AND {k} % 11 <> 0"
@@ -101,6 +104,43 @@ def partner_network(spark, d):
     return joins.partner_network(companies, sites, partners)
 
 
+def _two_loads(old: DataFrame, new: DataFrame) -> DataFrame:
+    """A registry that was loaded twice."""
+    load = lambda df, day: df.withColumn("data_extracao", F.lit(day).cast("timestamp"))
+    return load(old, "2024-01-01").unionByName(load(new, "2024-02-01"))
+
+
+@query("company_match_repeats", f"""
+SELECT l_orderkey, l_linenumber, CASE WHEN s_suppkey % 3 = 0 THEN s_name ELSE s_name || ' (novo)' END AS nome_fantasia
+FROM lineitem JOIN supplier ON l_suppkey = s_suppkey""")
+def company_match_repeats(spark, d):
+    """Establishments of two monthly loads: the newer row of an id counts, one that was not loaded again stays."""
+    payments = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.expr(f"{PAYEE_BASE} || '000100'").alias("favorecido"))
+    sites = _establishments(spark, d)
+    again = sites.where("CAST(cnpj_basico AS INT) % 3 <> 0").withColumn("nome_fantasia", F.concat("nome_fantasia", F.lit(" (novo)")))
+    matched = joins.company_match(payments, _two_loads(sites, again))
+    return matched.select("l_orderkey", "l_linenumber", "nome_fantasia")
+
+
+@query("partner_network_repeats", """
+WITH sites AS (SELECT l_suppkey, count(*) AS establishments, count(DISTINCT l_returnflag) AS states FROM lineitem GROUP BY l_suppkey)
+SELECT lpad(CAST(o_custkey AS VARCHAR), 8, '0') AS cnpj_basico, 'Pedido ' || o_orderkey AS nome_socio, s_name || ' (novo)' AS razao_social,
+  coalesce(establishments, 0) AS establishments, coalesce(states, 0) AS states
+FROM orders JOIN supplier ON o_custkey = s_suppkey LEFT JOIN sites ON l_suppkey = s_suppkey""")
+def partner_network_repeats(spark, d):
+    """All three registries loaded twice, co-located on the company: nothing counts twice and nothing is shuffled but the result of the load."""
+    key = "lpad(CAST({0} AS STRING), 8, '0') AS cnpj_basico"
+    companies = table(spark, d, "supplier").selectExpr(key.format("s_suppkey"), "s_name AS razao_social")
+    sites = table(spark, d, "lineitem").selectExpr(key.format("l_suppkey"), "l_returnflag AS uf")
+    partners = table(spark, d, "orders").selectExpr(key.format("o_custkey"), "'Pedido ' || o_orderkey AS nome_socio")
+    renamed = companies.withColumn("razao_social", F.concat("razao_social", F.lit(" (novo)")))
+    root = scratch_path(spark, "registry-tables")
+    loaded = {"empresas": _two_loads(companies, renamed), "estabelecimentos": _two_loads(sites, sites), "socios": _two_loads(partners, partners)}
+    name = root.rsplit("-", 1)[1]
+    tables = [files.write_colocated(df, f"{t}_{name}", "cnpj_basico", 8, f"{root}/{t}") for t, df in loaded.items()]
+    return joins.partner_network(*tables).select("cnpj_basico", "nome_socio", "razao_social", "establishments", "states")
+
+
 SECTOR = "9491000"
 
 
@@ -444,6 +484,24 @@ FROM raw QUALIFY row_number() OVER (PARTITION BY codigo_emenda, codigo_documento
   CASE WHEN l_orderkey % 10 <> 3 THEN CAST(l_partkey AS VARCHAR) END,
   translate(format('{{:,.2f}}', CAST({PRICE} AS DOUBLE)), ',.', '.,')) = 1""")
 def silver_emendas(spark, d):
+    return silver_amendments(_raw_documents(spark, d))
+
+
+@query("silver_incremental", ORACLES["silver_emendas"])
+def silver_incremental(spark, d):
+    """The same table from three loads, the newest first, each brought in by itself."""
+    raw, root = _raw_documents(spark, d), scratch_path(spark, "silver")
+    ledger, schema = Ledger(spark, f"{root}/lake"), raw.schema
+    lots = ("data_extracao >= '2024-02-01' AND sk_tipo_emenda <> '4'", "data_extracao < '2024-02-01'", "sk_tipo_emenda = '4'")
+    for n, lot in enumerate(lots):
+        ledger.create_branch(f"carga_{n}")
+        ledger.stage(raw.where(lot), "documentos", f"i{n}", f"carga_{n}")
+        ledger.publish(f"carga_{n}")
+        update_silver(ledger, "documentos", schema, f"{root}/silver")
+    return read_silver(spark, f"{root}/silver")
+
+
+def _raw_documents(spark, d) -> DataFrame:
     price = MONEY_TEXT.replace("o_totalprice", "l_extendedprice")
     raw = table(spark, d, "lineitem").select(
         F.expr("CAST(CASE WHEN l_linenumber % 2 = 0 THEN '2024-02-01 06:00:00' ELSE '2024-01-01 06:00:00' END AS TIMESTAMP)").alias("data_extracao"),
@@ -455,4 +513,4 @@ def silver_emendas(spark, d):
         F.expr(f"""CASE WHEN l_orderkey % 10 = 3 THEN 'FAVORECIDO COLETIVO' ELSE substr({PAYEE_BASE},1,2) || '.' || substr({PAYEE_BASE},3,3)
           || '.' || substr({PAYEE_BASE},6,3) || '/0001-00 - FORNECEDOR ' || l_partkey END""").alias("favorecido"),
     )
-    return silver_amendments(raw)
+    return raw

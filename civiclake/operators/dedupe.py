@@ -11,6 +11,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.schemas import LOAD_COLUMN
+
 
 def dedupe_latest(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """First row per key under ``order``.
@@ -22,6 +24,24 @@ def dedupe_latest(df: DataFrame, keys: list[str], order: list[Column]) -> DataFr
     return df.withColumn("_rn", rank).where("_rn = 1").drop("_rn")
 
 
+def one_per_key(df: DataFrame, keys: list[str], load: str = LOAD_COLUMN) -> DataFrame:
+    """One row per key: of the newest load if ``load`` is a column, of equal ones the first by all other columns."""
+    newest = [F.col(load).desc_nulls_last()] if load in df.columns else []
+    return dedupe_latest(df, keys, [*newest, *[F.col(f"`{c}`").asc_nulls_first() for c, kind in df.dtypes
+                                         if c not in (*keys, load) and "map<" not in kind]])
+
+
+def newest_load(df: DataFrame, key: str, load: str = LOAD_COLUMN) -> DataFrame:
+    """All rows of each key's newest load; without a column ``load`` all rows.
+
+    Registries are published whole, so what a key had in an earlier load and has no more is gone.
+    """
+    if load not in df.columns:
+        return df
+    rank = F.rank().over(Window.partitionBy(key).orderBy(F.col(load).desc_nulls_last()))
+    return df.withColumn("_rk", rank).where("_rk = 1").drop("_rk")
+
+
 def dedupe_exact(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.brazil import full_cnpj, is_valid_code, payee_cnpj
+from .dedupe import newest_load, one_per_key
 from .skew import skew_join
 
 
@@ -25,9 +26,10 @@ def amend_documents(amendments: DataFrame, documents: DataFrame, code: str = "co
     """One row per execution document of a valid amendment.
 
     Codes are checked on both sides before the shuffle; amendments without documents
-    vanish.  ``amendments`` must be unique per code (see ``dedupe_latest``).
+    vanish.  Of several rows of an amendment, as repeated loads leave them, the newest counts.
     """
     left, _ = valid_amendments(amendments, code)
+    left = one_per_key(left, [code])
     right, _ = valid_amendments(documents, code)
     return skew_join(right, left, code, "inner", min_share=min_share)
 
@@ -42,13 +44,13 @@ def company_match(payments: DataFrame, establishments: DataFrame, payee: str = "
                   min_share: float | None = None) -> DataFrame:
     """Payments matched to the establishment with the payee's full 14-digit id.
 
-    ``establishments`` needs cnpj_basico, cnpj_ordem and cnpj_dv and one row per id.
+    ``establishments`` needs cnpj_basico, cnpj_ordem and cnpj_dv; of several rows of an id the newest counts.
     """
     with_id = payments.withColumn("cnpj", payee_cnpj(F.col(payee)))
     keyed = establishments.withColumn(
         "cnpj", full_cnpj(F.col("cnpj_basico"), F.col("cnpj_ordem"), F.col("cnpj_dv"))
     )
-    return skew_join(with_id, keyed, "cnpj", "inner", min_share=min_share)
+    return skew_join(with_id, one_per_key(keyed, ["cnpj"]), "cnpj", "inner", min_share=min_share)
 
 
 def partner_network(companies: DataFrame, establishments: DataFrame, partners: DataFrame,
@@ -56,8 +58,11 @@ def partner_network(companies: DataFrame, establishments: DataFrame, partners: D
     """Partners of every company with a summary of its establishments.
 
     Establishments are counted per company before the join: joining the two many-sides
-    directly would emit partners x establishments rows per company.
+    directly would emit partners x establishments rows per company.  Of repeated loads a company's newest rows count.  Tables
+    of ``write_colocated`` are joined where they lie.
     """
+    companies = one_per_key(companies, [key])
+    establishments, partners = newest_load(establishments, key), newest_load(partners, key)
     sites = establishments.groupBy(key).agg(
         F.count("*").alias("establishments"), F.count_distinct("uf").alias("states")
     )

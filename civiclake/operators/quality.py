@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -61,25 +62,49 @@ def relationships(df: DataFrame, rule: Rule, parent: DataFrame) -> DataFrame:
 
 def freshness(df: DataFrame, rule: Rule, now: datetime) -> DataFrame:
     """1 if the newest load is older than allowed (or there is none)."""
+    return df.agg(_stale(rule, now).alias("failures")).select(F.lit(rule.name).alias("rule"), "failures")
+
+
+def _stale(rule: Rule, now: datetime) -> Column:
     # a naive ``now`` is UTC; the oldest load allowed is an instant, not a calendar day
     now = now if now.tzinfo else now.replace(tzinfo=timezone.utc)
     oldest = F.timestamp_seconds(F.lit((now - timedelta(days=rule.max_age_days)).timestamp()))
     fresh = F.coalesce(F.max(F.col(rule.column).cast("timestamp")) >= oldest, F.lit(False))
-    return df.agg((~fresh).cast("bigint").alias("failures")).select(F.lit(rule.name).alias("rule"), "failures")
+    return (~fresh).cast("bigint")
+
+
+def observed(df: DataFrame, rules: list[Rule], now: datetime) -> tuple[DataFrame, Callable[[], dict[str, int]]]:
+    """``df`` that counts the failures of its not-null and freshness rules while it is written.
+
+    The second value gives them by rule after the write; a rule that it lacks has to be run.
+    """
+    metrics = [F.count_if(F.col(r.column).isNull()).alias(r.name) for r in rules if r.kind == "not_null"]
+    metrics += [_stale(r, now).alias(r.name) for r in rules if r.kind == "freshness"]
+    if not metrics:
+        return df, dict
+    observation = Observation()
+    return df.observe(observation, *metrics), lambda: {k: v for k, v in observation.get.items() if v is not None}
 
 
-def run_rules(tables: dict[str, DataFrame], rules: list[Rule], now: datetime | None = None) -> DataFrame:
+def run_rules(tables: dict[str, DataFrame], rules: list[Rule], now: datetime | None = None,
+              known: dict[str, int] | None = None) -> DataFrame:
     """(table_name, column_name, kind, severity, failures, status) per rule.
 
-    A failing rule has status FAIL if its severity is error, WARN otherwise.
+    A failing rule has status FAIL if its severity is error, WARN otherwise.  ``known`` has the failures of rules that
+    were counted already (``observed``); the tables of such rules are not read for them.
     """
+    known = {r.name: known[r.name] for r in rules if r.name in (known or {})}
     names = [r.name for r in rules]
     if twice := sorted({n for n in names if names.count(n) > 1}):
         raise ValueError(f"rules named twice: {', '.join(twice)}")
     by_table: dict[str, list[Rule]] = {}
     for rule in rules:
-        by_table.setdefault(rule.table, []).append(rule)
-    parts = []
+        if rule.kind not in ("not_null", "unique", "relationships", "freshness"):
+            raise ValueError(f"unknown rule kind {rule.kind!r}")
+        if rule.name not in known:
+            by_table.setdefault(rule.table, []).append(rule)
+    spark = SparkSession.active()
+    parts = [spark.createDataFrame(list(known.items()), "rule string, failures bigint")] if known else []
     for table, own in by_table.items():
         df = tables[table]
         plain = [r for r in own if r.kind == "not_null"]
@@ -92,8 +117,6 @@ def run_rules(tables: dict[str, DataFrame], rules: list[Rule], now: datetime | N
                 parts.append(relationships(df, rule, tables[rule.parent[0]]))
             elif rule.kind == "freshness":
                 parts.append(freshness(df, rule, now or datetime.now(timezone.utc)))
-            elif rule.kind != "not_null":
-                raise ValueError(f"unknown rule kind {rule.kind!r}")
     results = union_all(parts)
     facts = results.sparkSession.createDataFrame(
         [(r.name, r.table, r.column, r.kind, r.severity) for r in rules],

@@ -49,7 +49,11 @@ def silver_amendments(raw: DataFrame) -> DataFrame:
     survive deduplication are parsed.
     """
     valid, _ = valid_amendments(raw)
-    latest = latest_documents(valid)
+    return typed_documents(latest_documents(valid))
+
+
+def typed_documents(latest: DataFrame) -> DataFrame:
+    """Typed money, dates and payee of raw amendment documents."""
     out = []
     for name in latest.columns:
         c = F.col(name)

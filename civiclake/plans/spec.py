@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.normalize import conform, drop_all_null, rename_coerce, stamp
-from ..operators.quality import Rule, gate, run_rules
+from ..operators.quality import Rule, gate, observed, run_rules
 from ..sources.archives import read_zip_csv
 from ..sources.files import FILE_ID, archive_files, landed_files, read_jsonl, read_layout_csv, without_tokens
 from ..sources.schemas import bronze, layout_for
@@ -136,19 +136,31 @@ def read_csv_table(spark: SparkSession, spec: PipelineSpec, target: CsvTable, fi
             rejects.select(F.coalesce("line", "error").alias("raw"), F.concat_ws("/", "archive", "member").alias("_file")))
 
 
-def audit(spec: PipelineSpec, ledger: Ledger, ids: dict[str, str], now: datetime) -> dict:
-    """Run the rules over the staged ingests only: passed / warned / failed counts and ``publish``."""
+def write_observed(spec: PipelineSpec, ledger: Ledger, frame: DataFrame, table: str, ingest: str, now: datetime) -> dict[str, int]:
+    """Write an ingest and count the failures of the rules that need no second look at it."""
+    watched, seen = observed(frame, [r for r in spec.rules if r.table == table], now)
+    ledger.write(watched, table, ingest)
+    return seen()
+
+
+def audit(spec: PipelineSpec, ledger: Ledger, ids: dict[str, str], now: datetime, known: dict[str, int] | None = None) -> dict:
+    """Run the rules over the staged ingests only: passed / warned / failed counts and ``publish``.
+
+    Failures that ``write_observed`` has counted are taken as they are, so only uniqueness and relationships read the ingest.
+    """
     rules = [r for r in spec.rules if r.table in ids]
     if not rules:
         return {"passed": 0, "warned": 0, "failed": 0, "publish": True}
-    columns = spec.targets()
+    columns, known = spec.targets(), known or {}
+    open_rules = [r for r in rules if r.name not in known]
+    needed = {r.table for r in open_rules} | {r.parent[0] for r in open_rules if r.parent}
     tables = {
-        t: ledger.spark.read.schema(bronze(columns[t])).parquet(ledger.location(t, i)) for t, i in ids.items()
+        t: ledger.spark.read.schema(bronze(columns[t])).parquet(ledger.location(t, i)) for t, i in ids.items() if t in needed
     }
-    for rule in rules:
+    for rule in open_rules:
         if rule.parent and rule.parent[0] not in tables:
             tables[rule.parent[0]] = ledger.read_ref(rule.parent[0], bronze([rule.parent[1]]))
-    return gate(run_rules(tables, rules, now)).first().asDict()
+    return gate(run_rules(tables, rules, now, known)).first().asDict()
 
 
 def published_as(ledger: Ledger, table: str, run: str) -> str | None:
@@ -186,12 +198,13 @@ def run_pipeline(spark: SparkSession, spec: PipelineSpec, ledger: Ledger, at: da
     try:
         claim = ledger.claim(ingest, spark.createDataFrame(new))
         frames, dead = load(spark, spec, at, {t: sorted(r.path for r in new if r.target == t) for t in spec.targets()})
+        known = {}
         for table, frame in {**frames, **dead}.items():
-            ledger.write(frame, table, ingest)
+            known |= write_observed(spec, ledger, frame, table, ingest, at)
         counts = {t: spark.read.parquet(ledger.location(t, ingest)).count() for t in dead}
         ledger.mark_staged(branch, [(t, ingest) for t in [*frames, *(t for t, n in counts.items() if n)]])
         ids = {t: ingest for t in frames}
-        verdict = audit(spec, ledger, ids, at) if spec.branching else {"publish": True}
+        verdict = audit(spec, ledger, ids, at, known) if spec.branching else {"publish": True}
         result |= {"verdict": verdict, "dead_letters": counts, "tables": sorted(frames)}
         if verdict["publish"]:
             try:

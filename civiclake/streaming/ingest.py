@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.compact import compact, compact_claims
-from ..plans.spec import PipelineSpec, audit, normalise, published_as
+from ..plans.spec import PipelineSpec, audit, normalise, published_as, write_observed
 from ..plans.wap import FilesTaken, Ledger
 from ..sources.files import FILE_ID
 from ..sources.schemas import bronze, strings
@@ -91,9 +91,9 @@ def stream_pipeline(
         ledger.create_branch(ingest, spec.from_ref)
         try:
             claim = ledger.claim(ingest, files)
-            ledger.write(normalise(spec, rows, at), spec.table, ingest)
+            known = write_observed(spec, ledger, normalise(spec, rows, at), spec.table, ingest, at)
             ledger.mark_staged(ingest, [(spec.table, ingest)])
-            if not audit(spec, ledger, {spec.table: ingest}, at)["publish"]:
+            if not audit(spec, ledger, {spec.table: ingest}, at, known)["publish"]:
                 ledger.reject(ingest)
                 raise LotRejected(f"{spec.name}: the rules refuse {ingest}")
             ledger.publish(ingest, claim, since)

@@ -221,3 +221,23 @@ def test_commits_on_an_object_store_are_exclusive_or_refused():
     files._fs = ObjectStore(conditional=False)
     with pytest.raises(RuntimeError, match="exclusively"):
         files.create("commit-2", "a")
+
+
+def test_rules_are_counted_while_writing(spark, tmp_path):
+    import shutil
+
+    from civiclake.plans.spec import audit, write_observed
+
+    rules = [Rule("t", "id", "not_null"), Rule("t", "data_extracao", "freshness", "warn"), Rule("t", "id", "unique", "warn")]
+    spec = PipelineSpec(name="t", source="x", table="t", columns=["id"], rules=rules)
+    ledger, now = Ledger(spark, str(tmp_path / "lake")), datetime(2024, 6, 1, tzinfo=timezone.utc)
+    for n, (values, want) in enumerate([(["a", None, "a"], (1, 2)), ([], (0, 2)), (["a", "b"], (0, 1))]):
+        rows = spark.createDataFrame([(datetime(2024, 5 if n == 2 else 1, 1), v) for v in values], "data_extracao timestamp, id string")
+        known = write_observed(spec, ledger, rows, "t", f"i{n}", now)
+        counted = audit(spec, ledger, {"t": f"i{n}"}, now, known)
+        assert counted == audit(spec, ledger, {"t": f"i{n}"}, now)
+        if values:
+            assert set(known) == {r.name for r in rules[:2]} and (counted["failed"], counted["warned"]) == (want[0], want[1] if n == 0 else 0)
+    only = PipelineSpec(name="t", source="x", table="t", columns=["id"], rules=rules[:2])
+    shutil.rmtree(tmp_path / "lake/t")  # nothing is read again for these rules
+    assert audit(only, ledger, {"t": "i2"}, now, known)["publish"]

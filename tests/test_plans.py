@@ -57,3 +57,13 @@ def test_no_python_outside_archives(spark):
         for operator in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas"):
             assert operator not in text, name
         assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, name
+
+
+def test_colocated_registries_join_without_a_shuffle(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        df = QUERIES["partner_network_repeats"](spark, DATA)
+        text = df._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in text and text.count("Join") == 2 and df.count() > 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
