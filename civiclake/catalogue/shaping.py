@@ -269,6 +269,29 @@ def section_summary(spark, d):
     return s.select("source_url", "extraction_summary.*")
 
 
+def _duck_details(name: str, labels: str | None, values: str, raw: str) -> str:
+    """One row of ``section_details`` per page from SQL lists: cleaned labels, cleaned and raw values."""
+    n, k = f"len(regexp_extract_all(html, '{raw}', 1))", f"len({values})"
+    found, mapped = (f"len({labels})", f"least(len({labels}), {k})") if labels else ("NULL", "NULL")
+    return f"""SELECT url AS source_url, '{name}' AS section, CASE WHEN {k} = 0 AND {n} = 0 THEN 'failed' WHEN {k} = 0 THEN 'failed' ELSE '{"paired_data" if labels else "list"}' END AS method,
+  {found} AS categories_found, {k} AS values_found, {mapped} AS mapped,
+  CASE WHEN {n} = 0 THEN 'no_data' WHEN {k} * 10 > {n} * 7 THEN 'good' ELSE 'needs_review' END AS values_status,
+  CASE WHEN {k} = 0 THEN 'Erro na seção {name}: nenhum valor na página' END AS error FROM pages"""
+
+
+@query("section_details", f"""
+{_duck_details("nav", DUCK_LABELS, DUCK_LINKS, '(?s)<a[^>]*?href="([^"]*)"')}
+UNION ALL {_duck_details("title", None, _duck_list("(?s)<h1[^>]*>(.*?)</h1>"), "(?s)<h1[^>]*>(.*?)</h1>")}
+UNION ALL SELECT url, 'broken', 'failed', NULL, NULL, NULL, NULL, 'Erro na seção broken: sem seletor de valores' FROM pages""")
+def section_details(spark, d):
+    """How each section of a page was extracted, failed ones with their error."""
+    config = {"nav": NAV["nav"], "title": SUMMARY_SECTIONS["title"], "broken": web.Section(values=None, categories=web.tag_text("p"))}
+    s = web.extract_sections(table(spark, d, "pages"), "url", "html", config, require_values=True, details=True)
+    rows = s.select("source_url", F.explode("section_details").alias("section", "x"))
+    return rows.select("source_url", "section", "x.method", "x.categories_found", "x.values_found", "x.mapped",
+                       F.col("x.values.status").alias("values_status"), "x.error")
+
+
 # Page sections as a detail-page parser leaves them, derived from every order.
 PAIRS = """array_compact(array(
   named_struct('category', 'Situação', 'value', CASE o_orderstatus WHEN 'F' THEN 'Concluída' ELSE 'em Andamento' END),

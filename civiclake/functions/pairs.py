@@ -81,7 +81,11 @@ def pair_by_keyword(pairs: Column, rules: dict[str, list[str]], target: str) ->
 
 def list_quality(raw: Column, cleaned: Column) -> Column:
     """struct<status, score, complete> for a raw list and what cleaning left of it."""
-    n_raw, n_clean = F.size(raw), F.size(cleaned)
+    return quality_of(F.size(raw), F.size(cleaned))
+
+
+def quality_of(n_raw: Column, n_clean: Column) -> Column:
+    """``list_quality`` from the sizes of both lists."""
     some = n_raw > 0
     ratio = F.try_divide(n_clean.cast("decimal(12,0)"), n_raw.cast("decimal(12,0)"))
     return F.struct(

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.pairs import summary, zip_pairs
+from ..functions.pairs import quality_of, summary, zip_pairs
 from ..functions.text import clean_html_list
 from ..operators.normalize import explode_rows
 
@@ -228,10 +228,34 @@ PUBLIC_WORK_SECTIONS = {
 }
 
 
+#: What is known of a section besides its data.
+DETAIL = ("struct<method: string, categories_found: int, values_found: int, mapped: int, "
+          "categories: struct<status: string, score: decimal(5,2), complete: boolean>, "
+          "values: struct<status: string, score: decimal(5,2), complete: boolean>, error: string>")
+
+
+def _details(name: str, section: Section, i: int, require_values: bool) -> Column:
+    nothing = F.lit(None)
+    if not section.usable:
+        found = [F.lit("failed"), *[nothing] * 5, F.lit(f"Erro na seção {name}: sem seletor de valores")]
+    else:
+        values, labels = F.size(f"_v{i}"), F.size(f"_c{i}") if section.categories else nothing
+        mapped = F.least(values, labels) if section.categories else nothing
+        lost = F.when(values == 0, F.lit(f"Erro na seção {name}: nenhum valor na página")) if require_values else nothing
+        method = F.lit("paired_data" if section.categories else "list")
+        found = [F.when(lost.isNull(), method).otherwise("failed"), labels, values, mapped,
+                 quality_of(F.col(f"_n_c{i}"), labels) if section.categories else nothing, quality_of(F.col(f"_n_v{i}"), values), lost]
+    names = ("method", "categories_found", "values_found", "mapped", "categories", "values", "error")
+    return F.struct(*[c.alias(n) for c, n in zip(found, names)]).cast(DETAIL)
+
+
 def extract_sections(pages: DataFrame, url: str, html: str, sections: dict[str, Section],
-                     require_values: bool = False) -> DataFrame:
+                     require_values: bool = False, details: bool = False) -> DataFrame:
     """One struct (or list) column per section plus ``extraction_summary``.
 
+    With ``details`` also ``section_details``, a map from each section, failed ones included, to how it was extracted, how much was
+    found, the quality of both lists and the error.
+
     The summary gives processed / successful / failed counts, the rate and its grade.  A
     section fails, and gets no column, if its configuration is unusable; with
     ``require_values`` also if the page holds no value for it.
@@ -240,7 +264,7 @@ def extract_sections(pages: DataFrame, url: str, html: str, sections: dict[str,
     layer is used more than once by the next, so it stays a projection of its own and
     every pattern runs once per page.
     """
-    total = len(sections)
+    total, every = len(sections), sections
     sections = {name: s for name, s in sections.items() if s.usable}
     areas: dict[tuple, str] = {}
     for section in sections.values():
@@ -265,11 +289,17 @@ def extract_sections(pages: DataFrame, url: str, html: str, sections: dict[str,
     else:
         ok = F.lit(len(sections))
     layer = layer.select("source_url", *raw)
-    layer = layer.select("source_url", *cleaned, ok.alias("_ok"))
+    sizes = [F.size(f"_{kind}{i}").alias(f"_n_{kind}{i}") for i, s in enumerate(sections.values())
+             for kind, pattern in zip("vc", (s.values, s.categories)) if pattern] if details else []
+    layer = layer.select("source_url", *cleaned, *sizes, ok.alias("_ok"))
     columns = [
         (zip_pairs(F.col(f"_c{i}"), F.col(f"_v{i}")) if section.categories else F.col(f"_v{i}")).alias(name)
         for i, (name, section) in enumerate(sections.items())
     ]
+    if details:
+        place = {name: i for i, name in enumerate(sections)}
+        known = [x for name, s in every.items() for x in (F.lit(name), _details(name, s, place.get(name, -1), require_values))]
+        columns.append(F.create_map(*known).alias("section_details"))
     return layer.select(
         "source_url", *columns, summary(F.lit(total), F.col("_ok")).alias("extraction_summary")
     )

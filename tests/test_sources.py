@@ -284,3 +284,21 @@ def test_void_elements_and_missing_pages(spark):
     df = spark.createDataFrame([("<br><hr class='c'>",), (None,)], "html string").coalesce(1)
     got = df.select(web.find_all(F.col("html"), web.tag_text("hr", "c")), web.find_all(F.col("html"), web.tag_text("div"))).collect()
     assert [tuple(r) for r in got] == [([""], []), (None, None)]
+
+
+def test_section_details(spark):
+    page = '<h1> </h1><a href="1">x</a><a href="2"> </a><a href="3">z</a>'
+    df = spark.createDataFrame([("u", page)], "url string, html string")
+    config = {"nav": web.Section(values=web.tag_attribute("a", "href"), categories=web.tag_text("a")),
+              "title": web.Section(values=web.tag_text("h1")), "broken": web.Section(values=None)}
+    for strict in (False, True):
+        row = web.extract_sections(df, "url", "html", config, require_values=strict, details=True).first()
+        found = row["section_details"]
+        nav, title, broken = (found[k] for k in ("nav", "title", "broken"))
+        assert (nav["method"], nav["categories_found"], nav["values_found"], nav["mapped"], nav["error"]) == ("paired_data", 2, 3, 2, None)
+        assert (nav["categories"]["status"], str(nav["categories"]["score"]), nav["values"]["status"]) == ("needs_review", "0.67", "good")
+        assert (title["method"], title["values"]["status"], title["values"]["complete"], title["categories"]) == (
+            "failed" if strict else "list", "needs_review", False, None)
+        assert broken["method"] == "failed" and broken["error"].startswith("Erro na seção broken") and broken["values"] is None
+        assert (title["error"] is not None) == strict and "broken" not in row.asDict()
+    assert "section_details" not in web.extract_sections(df, "url", "html", config).columns
