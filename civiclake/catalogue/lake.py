@@ -20,6 +20,8 @@ from ..operators.dedupe import same_rows
 from ..operators.dedupe import snapshot_diff as diff_snapshots
 from ..operators.quality import Rule
 from ..plans.compact import compact
+from ..plans.diff import ref_diff
+from ..plans.profiles import ref_profile, write_profile
 from ..plans.spec import CsvTable, PipelineSpec, run_pipeline
 from ..plans.wap import INGEST, Ledger
 from ..session import scratch_path
@@ -188,6 +190,49 @@ def snapshot_diff(spark, d):
     return diff_snapshots(before, after, ["user_id"])
 
 
+@query("snapshot_diff_refs", """
+WITH cur AS (SELECT user_id, event_type AS t FROM events WHERE ts < TIMESTAMP '2024-01-11' OR ts >= TIMESTAMP '2024-01-21'),
+ old AS (SELECT user_id, event_type AS t FROM events WHERE ts < TIMESTAMP '2024-01-16'),
+ counted AS (SELECT user_id, t, sum(n) AS n, sum(o) AS o FROM (
+   SELECT user_id, t, 1 AS n, 0 AS o FROM cur UNION ALL SELECT user_id, t, 0, 1 FROM old) GROUP BY 1, 2)
+SELECT user_id, CASE WHEN sum(o) = 0 THEN 'added' WHEN sum(n) = 0 THEN 'removed' ELSE 'changed' END AS change,
+  CAST(sum(greatest(n - o, 0)) AS BIGINT) AS rows_added, CAST(sum(greatest(o - n, 0)) AS BIGINT) AS rows_removed
+FROM counted GROUP BY user_id HAVING sum(abs(n - o)) > 0""")
+def snapshot_diff_refs(spark, d):
+    """A branch against main, both with days of their own: shared days are read for keys only."""
+    ledger, days = _lake(spark, d, "diff-refs")
+    _publish(ledger, [i for i in days if i <= "d20240110"], "carga_1", _utc(2, 1))
+    ledger.create_branch("revisao")
+    ledger.mark_staged("revisao", [(EVENTS, i) for i in days if "d20240110" < i <= "d20240115"])
+    _publish(ledger, [i for i in days if i > "d20240120"], "outra", _utc(2, 3))
+    states = (ledger.ingest_ids(EVENTS, ref) for ref in ("revisao", "main"))
+    return ref_diff(ledger, EVENTS, SCHEMA, ["user_id"], *states, columns=["user_id", "event_type"])
+
+
+@query("ref_completeness", """
+SELECT c AS column_name, count(*) - count(*) FILTER (v IS NULL) - count(*) FILTER (v IN ('', '-', 'NA', 'None')) AS valid,
+  count(*) FILTER (v IS NULL) AS nulls, count(*) FILTER (v IN ('', '-', 'NA', 'None')) AS empty,
+  CAST(round(CAST((count(*) - count(*) FILTER (v IS NULL) - count(*) FILTER (v IN ('', '-', 'NA', 'None'))) * 100 AS DECIMAL(24,6)) / CAST(count(*) AS DECIMAL(12,0)), 2) AS DECIMAL(5,2)) AS pct_complete,
+  true AS distinct_near
+FROM (SELECT 'tipo' AS c, CASE event_id % 7 WHEN 0 THEN NULL WHEN 1 THEN '-' ELSE event_type END AS v FROM events
+  UNION ALL SELECT 'usuario', CAST(user_id AS VARCHAR) FROM events) GROUP BY c""")
+def ref_completeness(spark, d):
+    """Completeness of main from the profiles stored with its ingests, compacted in between; no row is read again."""
+    root = scratch_path(spark, "profiles")
+    ledger, schema = Ledger(spark, root), "usuario bigint, tipo string, dia string"
+    events = table(spark, d, "events").select(F.col("user_id").alias("usuario"), F.expr(
+        "CASE event_id % 7 WHEN 0 THEN NULL WHEN 1 THEN '-' ELSE event_type END").alias("tipo"), F.date_format("ts", "d").alias("dia"))
+    for n in range(4):
+        ledger.create_branch(f"carga_{n}")
+        ledger.stage(events.where(F.col("dia").cast("int") % 4 == n), EVENTS, f"i{n}", f"carga_{n}")
+        write_profile(ledger, EVENTS, schema, f"i{n}", ["usuario", "tipo"])
+        ledger.publish(f"carga_{n}")
+        compact(ledger, EVENTS, schema, 3)
+    exact = events.agg(F.count_distinct("usuario").alias("usuario"), F.count_distinct(F.when(F.col("tipo") != "-", F.col("tipo"))).alias("tipo")).first()
+    near = F.abs(F.col("distinct_estimate") - F.when(F.col("column_name") == "tipo", exact["tipo"]).otherwise(exact["usuario"])) <= 0.05 * max(exact)
+    return ref_profile(ledger, EVENTS).withColumn("distinct_near", near).drop("distinct_estimate", "median_estimate")
+
+
 @query("backfill_as_of", f"{ROWS} WHERE ts < TIMESTAMP '2024-01-11'")
 def backfill_as_of(spark, d):
     """A load dated before the last commit is published after it and does not change the past."""

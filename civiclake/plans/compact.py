@@ -26,6 +26,19 @@ def level(ingest_id: str) -> int:
     return int(found.group(1)) if found else 0
 
 
+def origins(ledger: Ledger, table: str, ids: list[str]) -> list[str]:
+    """The ingests that some folders, compacted ones among them, were made from."""
+    made = {e.ingest_id: e.replaces for e in ledger.entries() if e.kind == "compact" and e.table_name == table}
+    out, left = [], list(ids)
+    while left:
+        i = left.pop()
+        if i in made:
+            left += made[i]
+        else:
+            out.append(i)
+    return sorted(out)
+
+
 def compact(ledger: Ledger, table: str, schema: T.StructType | str, fanout: int = FANOUT) -> int:
     """Merge the folders that main shows of a table until no level has ``fanout`` of them; the number of commits made.
 
