@@ -55,6 +55,11 @@ def stage(spark: SparkSession) -> Iterator[None]:
         del _stages.now
 
 
+def keep_stages() -> None:
+    """Leave the tables of the last stage to those who read its result: what begins now is another run."""
+    _stages.before = []
+
+
 def numbered(documents: DataFrame) -> DataFrame:
     """``documents`` with ``__rid``, a number that tells repeated rows apart.
 
