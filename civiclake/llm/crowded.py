@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 
 from .storage import discard, written
 
+#: Parts before one in a text's order that are looked at to tell whether a pair has met already.
+LOOK_BACK = 8
+
 
 def hubs(grid: DataFrame) -> DataFrame:
     """Of ``grid (at, point)``: the keys of several points with the smallest of them."""
@@ -41,14 +44,18 @@ def rare_pairs(points: DataFrame, sets: DataFrame, least: float) -> DataFrame:
         F.sort_array(F.collect_list(F.struct("df", "s"))).alias("parts"))  # the parts of one text
     alone = F.col("size") - F.size("parts")
     length = F.col("size") - F.ceil(F.col("size") * least - 1e-9) + 1
-    heads = ordered.select("point", "root", "size", alone.alias("alone"), F.posexplode(
-        F.slice("parts", F.lit(1), F.greatest(length - alone, F.lit(0)).cast("int"))).alias("k", "part"))
-    heads = written(heads.select("point", "root", "size", (F.col("alone") + F.col("k")).alias("at"), F.col("part.s").alias("s")), "open-heads")
+    heads = ordered.select("point", "root", "size", alone.alias("alone"), F.transform(
+        F.slice("parts", F.lit(1), F.greatest(length - alone, F.lit(0)).cast("int")), lambda x: x["s"]).alias("head"))
+    heads = heads.filter(F.size("head") > 0).select("point", "root", "size", "alone", F.explode(F.transform("head", lambda s, k: F.struct(
+        s.alias("s"), k.alias("k"), F.slice("head", F.greatest(k - LOOK_BACK + 1, F.lit(1)), F.least(k, F.lit(LOOK_BACK))).alias("before")))).alias("x"))
+    heads = written(heads.select("point", "root", "size", (F.col("alone") + F.col("x.k")).alias("at"), "x.s", "x.before"), "open-heads")
     discard(held)
     # what both hold from their first common part on must suffice
     ahead = 1 + F.least(F.col("a.size") - F.col("a.at") - 1, F.col("b.size") - F.col("b.at") - 1)
     enough = ahead >= F.ceil((F.col("a.size") + F.col("b.size")) * (least / (1 + least)) - 1e-9)
     alike = F.least("a.size", "b.size") >= F.greatest("a.size", "b.size") * least - 1e-9
+    # a pair that shares a part shortly before has met there
+    new = ~F.coalesce(F.arrays_overlap("a.before", "b.before"), F.lit(False))
     met = heads.alias("a").join(heads.alias("b").hint("merge"), (
-        F.col("a.s") == F.col("b.s")) & (F.col("a.point") < F.col("b.point")) & (F.col("a.root") != F.col("b.root")) & alike & enough)
+        F.col("a.s") == F.col("b.s")) & (F.col("a.point") < F.col("b.point")) & (F.col("a.root") != F.col("b.root")) & alike & enough & new)
     return met.select(F.col("a.point").alias("a"), F.col("b.point").alias("b")).distinct()
