@@ -1,8 +1,11 @@
-"""Near copies by shingle sets: MinHash finds candidates, exact Jaccard similarity decides.
+"""Near copies by shingle sets: SimHash and, beyond its reach, MinHash find candidates, exact Jaccard similarity decides.
 
 A text is the set of its runs of ``words`` words, lower-cased (a shorter one: of the whole).  Texts with equal sets are one point.
-``BANDS`` keys of ``BAND_ROWS`` minima each make two points of similarity 0.8 candidates in all but three of a million cases;
-every candidate is verified on both whole sets.  Points of one key are first compared with its smallest one, so that a group of
+Its SimHash fingerprint is placed on the grid of segment popcounts of ``simhash``; points within two bits are candidates, all of them.
+Sets of similarity 0.8 differ in ten of 64 bits on average and in over twenty at times, a radius in which unrelated texts lie as
+well and that no grid of popcounts parts.  So ``BANDS`` keys of ``BAND_ROWS`` minima each add the candidates that lie further apart:
+they make two points of similarity 0.8 meet in all but three of a million cases.
+Every candidate is verified on both whole sets.  Points of one key are first compared with its smallest one, so that a group of
 any size gives as many pairs as it has members.  Where that leaves a key with points of several components, the exact prefix filter
 of ``crowded`` finds what is left, so no pair that shares a key is left out and no key gives all its pairs.
 
@@ -19,7 +22,7 @@ from pyspark.sql import types as T
 
 from .components import components
 from .crowded import hubs, open_points, rare_pairs
-from .simhash import drop_others
+from .simhash import drop_others, majority_bits, meeting_words
 from .storage import discard, kept_rows, unpacked, written
 from .tokens import list_array, scramble, with_text_columns, words_of
 
@@ -46,14 +49,14 @@ def shingle_sets(texts: list[bytes], words: int = WORDS) -> list[np.ndarray]:
     return out
 
 
-def sketches(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Digest and size of each set; its band keys, flat, and how many."""
+def sketches(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Digest, size and SimHash fingerprint of each set; its band keys, flat, and how many."""
     sizes = np.array([len(s) for s in sets], dtype=np.int64)
     digest = np.zeros(len(sets), np.uint64)
     used = np.flatnonzero(sizes)
     counts = np.where(sizes > 0, BANDS, 0)
     if not len(used):
-        return digest, sizes, np.empty(0, np.uint64), counts
+        return digest, sizes, digest, np.empty(0, np.uint64), counts
     flat = np.concatenate(sets)
     start = (np.cumsum(sizes) - sizes)[used]
     digest[used] = np.add.reduceat(scramble(flat ^ _PLACE), start)
@@ -63,19 +66,31 @@ def sketches(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray
         for i in range(band * BAND_ROWS, (band + 1) * BAND_ROWS):
             key = scramble(key * _PLACE + np.minimum.reduceat((flat ^ _FLIPS[i]) * _FACTORS[i], start))
         keys[:, band] = key
-    return digest, sizes, keys.ravel(), counts
+    return digest, sizes, majority_bits(flat, sizes), keys.ravel(), counts
 
 
 def with_sketch(documents: DataFrame, words: int) -> DataFrame:
-    """``(__rid, doc_id, digest, size, bands)`` of every whole text."""
+    """``(__rid, doc_id, digest, size, fp, bands)`` of every whole text."""
 
     def compute(texts: list[bytes]) -> list[pa.Array]:
-        digest, sizes, keys, counts = sketches(shingle_sets(texts, words))
-        return [pa.array(digest.view(np.int64)), pa.array(sizes), list_array(keys.view(np.int64), counts)]
+        digest, sizes, prints, keys, counts = sketches(shingle_sets(texts, words))
+        return [pa.array(digest.view(np.int64)), pa.array(sizes), pa.array(prints.view(np.int64)), list_array(keys.view(np.int64), counts)]
 
-    added = T.StructType().add("digest", T.LongType()).add("size", T.LongType()).add("bands", T.ArrayType(T.LongType()))
+    added = (T.StructType().add("digest", T.LongType()).add("size", T.LongType()).add("fp", T.LongType())
+             .add("bands", T.ArrayType(T.LongType())))
     return with_text_columns(documents.select("__rid", "doc_id", "text"), "text", added, compute).select(
-        "__row.__rid", "__row.doc_id", "digest", "size", "bands")
+        "__row.__rid", "__row.doc_id", "digest", "size", "fp", "bands")
+
+
+def simhash_keys(points: DataFrame) -> DataFrame:
+    """``(at, point)``: the points ``(digest, size, fp)`` within two bits of another one, each pair of them under a common key."""
+    used = points.filter("size > 0").select(F.col("digest").alias("point"), "fp")
+    return meeting_words(used.select("fp")).join(used.hint("merge"), "fp").select("at", "point")
+
+
+def band_keys(points: DataFrame) -> DataFrame:
+    """``(at, point)``: the band keys of ``points (digest, bands)``."""
+    return points.select(F.explode("bands").alias("at"), F.col("digest").alias("point"))
 
 
 def with_shingles(texts: DataFrame, words: int) -> DataFrame:
@@ -102,9 +117,8 @@ def near_duplicates(frame: DataFrame, words: int = WORDS, least: float = LEAST)
     """``(__rid, doc_id, root)`` per row of ``frame (__rid, doc_id, text)``: ``root`` names the component."""
     rows = written(with_sketch(frame, words), "sketches")
     points = written(rows.groupBy("digest").agg(
-        F.min("__rid").alias("__rid"), F.first("size").alias("size"), F.first("bands").alias("bands")), "points")
-    grid = points.select("digest", "size", F.explode("bands").alias("at"))
-    grid = grid.withColumnRenamed("digest", "point")
+        F.min("__rid").alias("__rid"), F.first("size").alias("size"), F.first("fp").alias("fp"), F.first("bands").alias("bands")), "points")
+    grid = simhash_keys(points).union(band_keys(points))
     # always merge joins, so that the plan (and what it moves) is the same at every size
     places = written(grid.join(hubs(grid).hint("merge"), "at"), "places")
     met = points.join(places.select(F.col("point").alias("digest")).distinct().hint("merge"), "digest", "left_semi").select("digest", "__rid")

@@ -115,12 +115,21 @@ def _hubs(points: DataFrame) -> DataFrame:
     return points.groupBy("at").agg(F.min("fp").alias("hub"), F.max("fp").alias("last")).filter("hub < last")
 
 
+def meeting_words(points: DataFrame) -> DataFrame:
+    """``(fp, at)``: the words one bit away at most from fingerprints of ``points (fp)`` that stand near another row on the grid.
+
+    Two rows are within two bits of each other if and only if they share a word.
+    """
+    grid = points.select("fp", F.explode(meeting_cells(F.col("fp"))).alias("at"))
+    several = grid.groupBy("at").count().filter("count > 1").select("at")
+    # always merge joins, so that the plan (and what it moves) is the same at every size
+    met = written(grid.join(several.hint("merge"), "at", "left_semi").select("fp").distinct(), "met")
+    return met.select("fp", F.explode(one_bit_away(F.col("fp"))).alias("at"))
+
+
 def near_links(distinct: DataFrame) -> DataFrame:
     """Edges ``(a, b)`` that connect all of ``distinct (fp)`` within two bits of each other, exactly."""
-    grid = distinct.select("fp", F.explode(meeting_cells(F.col("fp"))).alias("at"))
-    # always merge joins, so that the plan (and what it moves) is the same at every size
-    met = written(grid.join(_hubs(grid).select("at").hint("merge"), "at", "left_semi").select("fp").distinct(), "met")
-    exact = met.select("fp", F.explode(one_bit_away(F.col("fp"))).alias("at"))
+    exact = meeting_words(distinct)
     return exact.join(_hubs(exact).hint("merge"), "at").filter("fp <> hub").select(F.col("fp").alias("a"), F.col("hub").alias("b"))
 
 

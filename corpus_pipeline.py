@@ -39,7 +39,10 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @_stage
 def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word shingles, Jaccard similarity 0.8 or more) stays."""
+    """One document of each group of near copies (five-word shingles, Jaccard similarity 0.8 or more) stays.
+
+    Candidates come from SimHash fingerprints met on their segment popcounts, those beyond two bits from MinHash bands.
+    """
     return nearsets.drop_near_duplicates(docs)
 
 
