@@ -70,69 +70,70 @@ class Window:
     after: np.ndarray
 
 
-#: Keeps exponentials finite; beyond it a gate is shut or open anyway.
-_FAR = np.float32(80)
-
-
 def _logistic(negative: np.ndarray) -> np.ndarray:
-    """1 / (1 + exp(x)) in place: the sigmoid of what was negated."""
-    np.minimum(negative, _FAR, out=negative)
+    """1 / (1 + exp(x)) in place: the sigmoid of what was negated; an infinite exponential gives 0."""
     np.exp(negative, out=negative)
     negative += np.float32(1)
     return np.reciprocal(negative, out=negative)
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return _logistic(-x)
-
-
-def _tanh(x: np.ndarray) -> np.ndarray:
-    return np.float32(2) * _logistic(np.float32(-2) * x) - np.float32(1)
+def _planes(weights: np.ndarray) -> np.ndarray:
+    """The update gate's, reset gate's and candidate's columns one after another, so that each is contiguous."""
+    return np.ascontiguousarray(weights.reshape(*weights.shape[:-1], 3, HIDDEN).swapaxes(-3, -2))
 
 
 def forward(p: Parameters, state: np.ndarray, inputs: np.ndarray, begins: np.ndarray) -> Window:
     """Run some steps from ``state``, which is zeroed where a document begins."""
     steps, streams = inputs.shape
-    out = Window(*[np.empty((steps, streams, HIDDEN), np.float32) for _ in range(6)])
-    for t in range(steps):
-        if begins[t].any():
-            state = np.where(begins[t][:, None], np.float32(0), state)
-        x, u = p.input[inputs[t]], state @ p.state
-        gates = _sigmoid(x[:, :2 * HIDDEN] + u[:, :2 * HIDDEN])
-        update, reset, pulled = gates[:, :HIDDEN], gates[:, HIDDEN:], u[:, 2 * HIDDEN:]
-        candidate = _tanh(x[:, 2 * HIDDEN:] + reset * pulled)
-        out.before[t], out.update[t], out.reset[t], out.pulled[t], out.candidate[t] = state, update, reset, pulled, candidate
-        state = candidate + update * (state - candidate)
-        out.after[t] = state
-    return out
+    before, candidates, after = np.empty((3, steps, streams, HIDDEN), np.float32)
+    weights, added = _planes(p.state), _planes(p.input[inputs])
+    from_state = np.empty((steps, 3, streams, HIDDEN), np.float32)
+    gates = np.empty((steps, 2, streams, HIDDEN), np.float32)
+    starting = begins.any(axis=1).tolist()
+    with np.errstate(over="ignore"):
+        for t in range(steps):
+            if starting[t]:
+                state = np.where(begins[t][:, None], np.float32(0), state)
+            before[t] = state
+            x, u, gate, candidate = added[t], from_state[t], gates[t], candidates[t]
+            np.matmul(state, weights, out=u)
+            np.add(x[:2], u[:2], out=gate)
+            _logistic(np.negative(gate, out=gate))
+            np.multiply(gate[1], u[2], out=candidate)
+            candidate += x[2]
+            np.tanh(candidate, out=candidate)
+            new = np.subtract(state, candidate, out=after[t])
+            new *= gate[0]
+            new += candidate
+            state = new
+    return Window(before, gates[:, 0], gates[:, 1], from_state[:, 2], candidates, after)
 
 
 def states(p: Parameters, state: np.ndarray, inputs: np.ndarray, begins: np.ndarray) -> np.ndarray:
     """The states of ``forward`` alone, for scoring."""
     steps, streams = inputs.shape
-    # negated, and doubled for the candidate, as the logistic function takes them
-    gate_input, gate_state = -p.input[:, :2 * HIDDEN], -p.state[:, :2 * HIDDEN]
-    own_input, own_state = (np.float32(-2) * a[:, 2 * HIDDEN:] for a in (p.input, p.state))
+    weights, added = _planes(p.state), np.ascontiguousarray(p.input.reshape(-1, 3, HIDDEN).swapaxes(0, 1))
+    weights[:2] *= -1  # negated, as the logistic function takes them
+    added[:2] *= -1
     after = np.empty((steps, streams, HIDDEN), np.float32)
-    gates, add = np.empty((2, streams, 2 * HIDDEN), np.float32)
-    candidate, own = np.empty((2, streams, HIDDEN), np.float32)
-    starting = begins.any(axis=1)
-    for t in range(steps):
-        if starting[t]:
-            state = np.where(begins[t][:, None], np.float32(0), state)
-        np.take(gate_input, inputs[t], axis=0, out=gates, mode="clip")
-        gates += np.matmul(state, gate_state, out=add)
-        _logistic(gates)
-        np.matmul(state, own_state, out=candidate)
-        candidate *= gates[:, HIDDEN:]
-        candidate += np.take(own_input, inputs[t], axis=0, out=own, mode="clip")
-        _logistic(candidate)
-        candidate *= np.float32(2)
-        candidate -= np.float32(1)
-        new = np.subtract(state, candidate, out=after[t])
-        new *= gates[:, :HIDDEN]
-        new += candidate
-        state = new
+    parts, add = np.empty((2, 3, streams, HIDDEN), np.float32)
+    gates, candidate = parts[:2], parts[2]
+    starting = begins.any(axis=1).tolist()
+    with np.errstate(over="ignore"):
+        for t in range(steps):
+            if starting[t]:
+                state = np.where(begins[t][:, None], np.float32(0), state)
+            np.matmul(state, weights, out=parts)
+            np.take(added, inputs[t], axis=1, out=add, mode="clip")
+            gates += add[:2]
+            _logistic(gates)
+            candidate *= gates[1]
+            candidate += add[2]
+            np.tanh(candidate, out=candidate)
+            new = np.subtract(state, candidate, out=after[t])
+            new *= gates[0]
+            new += candidate
+            state = new
     return after
 
 
@@ -162,54 +163,69 @@ def log_probability(p: Parameters, hidden: np.ndarray, target: np.ndarray) -> np
 
 
 def _softmax(logits: np.ndarray) -> np.ndarray:
-    e = np.exp(logits - logits.max(axis=1, keepdims=True))
-    return e / e.sum(axis=1, keepdims=True)
+    e = logits - logits.max(axis=1, keepdims=True)
+    np.exp(e, out=e)
+    e /= e.sum(axis=1, keepdims=True)
+    return e
 
 
 def output_gradients(p: Parameters, hidden: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, tuple[np.ndarray, ...]]:
     """Gradients of the summed loss: those of the states, and those of both softmax layers."""
     n = len(target)
     group = np.minimum(target // CLASS_WORDS, CLASSES)
-    order = np.argsort(group, kind="stable")
-    ends = np.searchsorted(group[order], np.arange(CLASSES + 1))
-    d_word, d_word_bias = np.zeros_like(p.word_weight), np.zeros_like(p.word_bias)
     classes = _softmax(hidden @ p.class_weight + p.class_bias)
     classes[np.arange(n), group] -= 1
     d_hidden = classes @ p.class_weight.T
-    for c in range(CLASSES):
-        rows = order[ends[c]:ends[c + 1]]
-        if not len(rows):
-            continue
-        h = hidden[rows]
-        words = _softmax(h @ p.word_weight[c] + p.word_bias[c])
-        words[np.arange(len(rows)), target[rows] - c * CLASS_WORDS] -= 1
-        d_word[c], d_word_bias[c] = h.T @ words, words.sum(axis=0)
-        d_hidden[rows] += words @ p.word_weight[c].T
+    order = np.argsort(group, kind="stable")
+    ends = np.searchsorted(group[order], np.arange(CLASSES + 1))
+    order = order[:ends[-1]]  # those whose word is one of its class
+    h, words = hidden[order], np.empty((len(order), CLASS_WORDS), np.float32)
+    back = np.empty((len(order), HIDDEN), np.float32)
+    d_word, d_word_bias = np.zeros_like(p.word_weight), np.zeros_like(p.word_bias)
+    held = [(c, a, b) for c, (a, b) in enumerate(zip(ends.tolist(), ends[1:].tolist())) if a < b]
+    for c, a, b in held:
+        np.matmul(h[a:b], p.word_weight[c], out=words[a:b])
+    words += p.word_bias[group[order]]
+    words = _softmax(words)
+    words[np.arange(len(order)), target[order] % CLASS_WORDS] -= 1
+    for c, a, b in held:
+        np.matmul(h[a:b].T, words[a:b], out=d_word[c])
+        np.matmul(words[a:b], p.word_weight[c].T, out=back[a:b])
+    if held:
+        d_word_bias[[c for c, _, _ in held]] = np.add.reduceat(words, [a for _, a, _ in held], axis=0)
+        d_hidden[order] += back
     return d_hidden, (hidden.T @ classes, classes.sum(axis=0), d_word, d_word_bias)
 
 
 def backward(p: Parameters, w: Window, inputs: np.ndarray, begins: np.ndarray, d_after: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Gradients of ``input`` and ``state`` from those of the states; they stop at the window's first step."""
     steps, streams = inputs.shape
-    d_x = np.empty((steps, streams, 3 * HIDDEN), np.float32)
-    d_state = np.zeros_like(p.state)
-    carried = np.zeros((streams, HIDDEN), np.float32)
+    # what a state's gradient is multiplied by on its way to each part
+    shut = 1 - w.update
+    to_candidate = shut * (1 - w.candidate * w.candidate)
+    to_update = (w.before - w.candidate) * w.update * shut
+    to_reset = to_candidate * w.pulled * w.reset * (1 - w.reset)
+    to_pulled = to_candidate * w.reset
+    factors = np.concatenate((to_update, to_reset, to_pulled), axis=2).reshape(steps, streams, 3, HIDDEN)
+    d_u = np.empty((steps, streams, 3, HIDDEN), np.float32)
+    d_all = d_after.copy()
+    turned = np.ascontiguousarray(p.state.T)
+    starting = begins.any(axis=1).tolist()
+    carried, own = np.zeros((2, streams, HIDDEN), np.float32)
     for t in range(steps - 1, -1, -1):
-        d = d_after[t] + carried
-        update, reset, candidate, before = w.update[t], w.reset[t], w.candidate[t], w.before[t]
-        d_candidate = d * (1 - update) * (1 - candidate * candidate)
-        d_update = d * (before - candidate) * update * (1 - update)
-        d_reset = d_candidate * w.pulled[t] * reset * (1 - reset)
-        d_u = np.concatenate((d_update, d_reset, d_candidate * reset), axis=1)
-        d_x[t] = np.concatenate((d_update, d_reset, d_candidate), axis=1)
-        d_state += before.T @ d_u
-        carried = d * update + d_u @ p.state.T
-        if begins[t].any():
+        d = d_all[t]
+        d += carried
+        np.multiply(factors[t], d[:, None, :], out=d_u[t])
+        np.matmul(d_u[t].reshape(streams, 3 * HIDDEN), turned, out=carried)
+        carried += np.multiply(d, w.update[t], out=own)
+        if starting[t]:
             carried[begins[t]] = 0
+    d_state = w.before.reshape(-1, HIDDEN).T @ d_u.reshape(-1, 3 * HIDDEN)
+    d_u[:, :, 2] = d_all * to_candidate  # what the input adds to the candidate does not pass the reset gate
     d_input = np.zeros_like(p.input)
     order = np.argsort(inputs.ravel(), kind="stable")
     word, first = np.unique(inputs.ravel()[order], return_index=True)
-    d_input[word] = np.add.reduceat(d_x.reshape(-1, 3 * HIDDEN)[order], first, axis=0)
+    d_input[word] = np.add.reduceat(d_u.reshape(-1, 3 * HIDDEN)[order], first, axis=0)
     return d_input, d_state
 
 
@@ -304,8 +320,18 @@ class Learner:
         self.steps += 1
         rate = np.float32(self.rate * np.sqrt(1 - 0.99 ** self.steps) / (1 - 0.9 ** self.steps))
         for a, m, s, d in zip(self.p.arrays(), self.means, self.squares, (d_input, d_state, *softmax)):
-            d = d * scale
-            m += np.float32(0.1) * (d - m)
-            s += np.float32(0.01) * (d * d - s)
-            a -= rate * m / (np.sqrt(s) + np.float32(1e-8))
+            # in place: the gradients' own memory holds what comes between
+            d *= scale
+            change = d - m
+            change *= np.float32(0.1)
+            m += change
+            d *= d
+            d -= s
+            d *= np.float32(0.01)
+            s += d
+            np.sqrt(s, out=d)
+            d += np.float32(1e-8)
+            np.multiply(m, rate, out=change)
+            change /= d
+            a -= change
         self.learned += len(there)
