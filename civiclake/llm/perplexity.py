@@ -66,16 +66,17 @@ class Vocabulary:
     def find(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Place of each word, and whether it is there; a bucket holds a few words at most."""
         bucket = (words >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
-        at, end = self.buckets[bucket].astype(np.int64), self.buckets[bucket + 1]
-        found = np.zeros(len(words), bool)
-        left = np.flatnonzero(at < end)
+        at, end = self.buckets[bucket].astype(np.int64), self.buckets[1:][bucket]
+        # an equal hash is the word, whichever bucket the place is in
+        found = self.hashes.take(at, mode="clip") == words if len(self.hashes) else np.zeros(len(words), bool)
+        left = np.flatnonzero(~found & (at + 1 < end))
         while len(left):
+            at[left] += 1
             hit = self.hashes[at[left]] == words[left]
             found[left[hit]] = True
             left = left[~hit]
-            at[left] += 1
-            left = left[at[left] < end[left]]
-        return at, found
+            left = left[at[left] + 1 < end[left]]
+        return np.minimum(at, max(len(self.hashes) - 1, 0)), found
 
     @property
     def mass(self) -> float:

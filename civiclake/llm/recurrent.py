@@ -17,6 +17,10 @@ CLASSES, CLASS_WORDS = 32, 32
 WORDS = CLASSES * CLASS_WORDS
 OTHER_INPUTS = 256
 WINDOW = 32
+#: Targets whose shares are computed at a time, few enough for a core's cache.
+SCORED = 2048
+#: States of one class that are multiplied by its words at a time in learning.
+BLOCK = 16
 
 
 @dataclass
@@ -60,64 +64,76 @@ class Parameters:
 
 @dataclass
 class Window:
-    """What a forward pass leaves for the backward pass; all arrays are step by stream."""
+    """What a forward pass leaves for the backward pass; all arrays but ``after`` are step by unit by stream."""
 
     before: np.ndarray  # state before each step, after resets
     update: np.ndarray
     reset: np.ndarray
-    pulled: np.ndarray  # what the state adds to the candidate
+    pulled: np.ndarray  # what the state adds to the candidate, through the reset gate
     candidate: np.ndarray
-    after: np.ndarray
+    after: np.ndarray  # step by stream by unit
 
 
-def _logistic(negative: np.ndarray) -> np.ndarray:
-    """1 / (1 + exp(x)) in place: the sigmoid of what was negated; an infinite exponential gives 0."""
-    np.exp(negative, out=negative)
-    negative += np.float32(1)
-    return np.reciprocal(negative, out=negative)
+def _logistic(negative: np.ndarray, one: np.ndarray) -> np.ndarray:
+    """1 / (1 + exp(x)) in place: the sigmoid of what was negated; an infinite exponential gives 0.  ``one``: ones of its shape."""
+    np.exp(negative, negative)
+    np.add(negative, one, negative)
+    return np.reciprocal(negative, negative)
 
 
-def _planes(weights: np.ndarray) -> np.ndarray:
-    """The update gate's, reset gate's and candidate's columns one after another, so that each is contiguous."""
-    return np.ascontiguousarray(weights.reshape(*weights.shape[:-1], 3, HIDDEN).swapaxes(-3, -2))
+def _turned(rows: np.ndarray) -> np.ndarray:
+    """The last two axes exchanged, in new memory."""
+    return np.ascontiguousarray(rows.swapaxes(-1, -2))
 
 
 def forward(p: Parameters, state: np.ndarray, inputs: np.ndarray, begins: np.ndarray) -> Window:
-    """Run some steps from ``state``, which is zeroed where a document begins."""
+    """Run some steps from ``state``, which is zeroed where a document begins.
+
+    Units go before streams, so that one product serves all gates and what it gives for each is contiguous.
+    """
     steps, streams = inputs.shape
-    before, candidates, after = np.empty((3, steps, streams, HIDDEN), np.float32)
-    weights, added = _planes(p.state), _planes(p.input[inputs])
-    from_state = np.empty((steps, 3, streams, HIDDEN), np.float32)
-    gates = np.empty((steps, 2, streams, HIDDEN), np.float32)
+    after, both = np.empty((steps, HIDDEN, streams), np.float32), 2 * HIDDEN
+    weights, given = _turned(p.state), p.input.take(inputs, axis=0).swapaxes(1, 2)
+    np.negative(weights[:both], weights[:both])  # both gates negated, as the logistic function takes them
+    gates, pulled = np.empty(given.shape, np.float32), np.empty_like(after)
+    np.negative(given[:, :both], gates[:, :both])
+    gates[:, both:] = given[:, both:]
+    first = state = np.ascontiguousarray(state.T)
+    one, from_state = np.ones((both, streams), np.float32), np.empty((3 * HIDDEN, streams), np.float32)
+    to_gate, to_candidate = from_state[:both], from_state[both:]
     starting = begins.any(axis=1).tolist()
+    add, multiply = np.add, np.multiply
     with np.errstate(over="ignore"):
-        for t in range(steps):
+        for t, (gate, shut, opened, candidate, passed, new) in enumerate(zip(
+                gates[:, :both], gates[:, :HIDDEN], gates[:, HIDDEN:both], gates[:, both:], pulled, after)):
             if starting[t]:
-                state = np.where(begins[t][:, None], np.float32(0), state)
-            before[t] = state
-            x, u, gate, candidate = added[t], from_state[t], gates[t], candidates[t]
-            np.matmul(state, weights, out=u)
-            np.add(x[:2], u[:2], out=gate)
-            _logistic(np.negative(gate, out=gate))
-            np.multiply(gate[1], u[2], out=candidate)
-            candidate += x[2]
-            np.tanh(candidate, out=candidate)
-            new = np.subtract(state, candidate, out=after[t])
-            new *= gate[0]
-            new += candidate
+                state = np.where(begins[t], np.float32(0), state)
+            np.dot(weights, state, from_state)
+            add(gate, to_gate, gate)
+            _logistic(gate, one)
+            multiply(opened, to_candidate, passed)
+            add(candidate, passed, candidate)
+            np.tanh(candidate, candidate)
+            np.subtract(state, candidate, new)
+            multiply(new, shut, new)
+            add(new, candidate, new)
             state = new
-    return Window(before, gates[:, 0], gates[:, 1], from_state[:, 2], candidates, after)
+    before = np.concatenate((first[None], after[:-1]))
+    before.swapaxes(1, 2)[begins] = 0
+    return Window(before, gates[:, :HIDDEN], gates[:, HIDDEN:both], pulled, gates[:, both:], after.swapaxes(1, 2))
 
 
 def states(p: Parameters, state: np.ndarray, inputs: np.ndarray, begins: np.ndarray) -> np.ndarray:
     """The states of ``forward`` alone, for scoring."""
     steps, streams = inputs.shape
-    weights, added = _planes(p.state), np.ascontiguousarray(p.input.reshape(-1, 3, HIDDEN).swapaxes(0, 1))
+    # the update gate's, reset gate's and candidate's columns one after another, so that each is contiguous
+    weights, added = (np.ascontiguousarray(a.reshape(-1, 3, HIDDEN).swapaxes(0, 1)) for a in (p.state, p.input))
     weights[:2] *= -1  # negated, as the logistic function takes them
     added[:2] *= -1
     after = np.empty((steps, streams, HIDDEN), np.float32)
     parts, add = np.empty((2, 3, streams, HIDDEN), np.float32)
     gates, candidate = parts[:2], parts[2]
+    one = np.ones((2, streams, HIDDEN), np.float32)
     starting = begins.any(axis=1).tolist()
     with np.errstate(over="ignore"):
         for t in range(steps):
@@ -126,7 +142,7 @@ def states(p: Parameters, state: np.ndarray, inputs: np.ndarray, begins: np.ndar
             np.matmul(state, weights, out=parts)
             np.take(added, inputs[t], axis=1, out=add, mode="clip")
             gates += add[:2]
-            _logistic(gates)
+            _logistic(gates, one)
             candidate *= gates[1]
             candidate += add[2]
             np.tanh(candidate, out=candidate)
@@ -137,96 +153,135 @@ def states(p: Parameters, state: np.ndarray, inputs: np.ndarray, begins: np.ndar
     return after
 
 
+def _by_class(group: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """Places of the targets that are words of a class, class by class, and each class with its range of them."""
+    order = np.argsort(group.astype(np.uint8), kind="stable")
+    ends = np.cumsum(np.bincount(group, minlength=CLASSES + 1)[:CLASSES]).tolist()
+    return order[:ends[-1]], [(c, a, b) for c, (a, b) in enumerate(zip([0, *ends], ends)) if a < b]
+
+
+def _word_logits(p: Parameters, hidden: np.ndarray, group: np.ndarray, held: list[tuple[int, int, int]]) -> np.ndarray:
+    """Word of the class by row, from states in the order of their classes."""
+    logits = np.empty((CLASS_WORDS, len(hidden)), np.float32)
+    for c, a, b in held:
+        np.matmul(p.word_weight[c].T, hidden[a:b].T, logits[:, a:b])
+    logits += p.word_bias.T[:, group]
+    return logits
+
+
 def _log_share(logits: np.ndarray, chosen: np.ndarray) -> np.ndarray:
     """Log of the softmax of one chosen row in each column."""
-    top = logits.max(axis=0)
-    picked = logits[chosen, np.arange(logits.shape[1])] - top
-    logits -= top
-    return picked - np.log(np.exp(logits, out=logits).sum(axis=0))
+    logits -= logits.max(axis=0)
+    picked = logits[chosen, np.arange(logits.shape[1])]
+    return picked - np.log(np.exp(logits, logits).sum(axis=0))
 
 
 def log_probability(p: Parameters, hidden: np.ndarray, target: np.ndarray) -> np.ndarray:
     """Natural log-probability of each target (``WORDS``: another word)."""
     group = np.minimum(target // CLASS_WORDS, CLASSES)
-    order = np.argsort(group, kind="stable")
-    group, target = group[order], target[order]
-    across = np.ascontiguousarray(hidden[order].T)
-    log = _log_share(p.class_weight.T @ across + p.class_bias[:, None], group)
-    ends = np.searchsorted(group, np.arange(CLASSES + 1))
-    for c in range(CLASSES):
-        a, b = ends[c], ends[c + 1]
-        if a < b:
-            log[a:b] += _log_share(p.word_weight[c].T @ across[:, a:b] + p.word_bias[c][:, None], target[a:b] - c * CLASS_WORDS)
-    out = np.empty_like(log)
-    out[order] = log
+    out = np.empty(len(target), np.float32)
+    for at in range(0, len(target), SCORED):
+        part = slice(at, at + SCORED)
+        out[part] = _log_share(p.class_weight.T @ hidden[part].T + p.class_bias[:, None], group[part])
+    order, held = _by_class(group)
+    if len(order):
+        group = group[order]
+        out[order] += _log_share(_word_logits(p, hidden[order], group, held), target[order] - group * CLASS_WORDS)
     return out
 
 
-def _softmax(logits: np.ndarray) -> np.ndarray:
-    e = logits - logits.max(axis=1, keepdims=True)
-    np.exp(e, out=e)
-    e /= e.sum(axis=1, keepdims=True)
-    return e
+def _errors(logits: np.ndarray, chosen: np.ndarray, columns: np.ndarray, weight: np.float32) -> np.ndarray:
+    """``weight`` times each column's softmax less one in the chosen row, in place; columns without a choice are the softmax alone."""
+    logits -= logits.max(axis=0)
+    np.exp(logits, logits)
+    logits *= weight / logits.sum(axis=0)
+    logits[chosen, columns] -= weight
+    return logits
+
 
+def _blocks(group: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of the targets that are words of a class, their places in blocks of one class each, and the blocks of each class."""
+    counts = np.bincount(group, minlength=CLASSES + 1)[:CLASSES]
+    order = np.argsort(group.astype(np.uint8), kind="stable")[:counts.sum()]
+    blocks = -(-counts // BLOCK)
+    moved = (np.cumsum(blocks) - blocks) * BLOCK - (np.cumsum(counts) - counts)
+    return order, np.arange(len(order)) + np.repeat(moved, counts), blocks
 
-def output_gradients(p: Parameters, hidden: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, tuple[np.ndarray, ...]]:
-    """Gradients of the summed loss: those of the states, and those of both softmax layers."""
-    n = len(target)
+
+def output_gradients(
+    p: Parameters, hidden: np.ndarray, target: np.ndarray, weight: np.float32 = np.float32(1)
+) -> tuple[np.ndarray, tuple[np.ndarray, ...]]:
+    """Gradients of ``weight`` times the summed loss: those of the states, and those of both softmax layers."""
     group = np.minimum(target // CLASS_WORDS, CLASSES)
-    classes = _softmax(hidden @ p.class_weight + p.class_bias)
-    classes[np.arange(n), group] -= 1
-    d_hidden = classes @ p.class_weight.T
-    order = np.argsort(group, kind="stable")
-    ends = np.searchsorted(group[order], np.arange(CLASSES + 1))
-    order = order[:ends[-1]]  # those whose word is one of its class
-    h, words = hidden[order], np.empty((len(order), CLASS_WORDS), np.float32)
-    back = np.empty((len(order), HIDDEN), np.float32)
-    d_word, d_word_bias = np.zeros_like(p.word_weight), np.zeros_like(p.word_bias)
-    held = [(c, a, b) for c, (a, b) in enumerate(zip(ends.tolist(), ends[1:].tolist())) if a < b]
-    for c, a, b in held:
-        np.matmul(h[a:b], p.word_weight[c], out=words[a:b])
-    words += p.word_bias[group[order]]
-    words = _softmax(words)
-    words[np.arange(len(order)), target[order] % CLASS_WORDS] -= 1
-    for c, a, b in held:
-        np.matmul(h[a:b].T, words[a:b], out=d_word[c])
-        np.matmul(words[a:b], p.word_weight[c].T, out=back[a:b])
-    if held:
-        d_word_bias[[c for c, _, _ in held]] = np.add.reduceat(words, [a for _, a, _ in held], axis=0)
-        d_hidden[order] += back
-    return d_hidden, (hidden.T @ classes, classes.sum(axis=0), d_word, d_word_bias)
+    classes = _errors(p.class_weight.T @ hidden.T + p.class_bias[:, None], group, np.arange(len(target)), weight)
+    d_hidden = classes.T @ p.class_weight.T
+    order, place, blocks = _blocks(group)
+    owner = np.repeat(np.arange(CLASSES), blocks)
+    # a unit that is always on carries the bias; rows that fill up a block are all zero and add nothing
+    h = np.zeros((len(owner) * BLOCK, HIDDEN + 1), np.float32)
+    h[place, :HIDDEN], h[place, HIDDEN] = hidden[order], 1
+    h, weights = h.reshape(-1, BLOCK, HIDDEN + 1), np.concatenate((p.word_weight, p.word_bias[:, None]), axis=1)[owner]
+    words = np.empty((CLASS_WORDS, len(owner), BLOCK), np.float32)
+    by_block = words.swapaxes(0, 1)
+    np.matmul(weights.swapaxes(1, 2), h.swapaxes(1, 2), by_block)
+    _errors(words.reshape(CLASS_WORDS, -1), target[order] % CLASS_WORDS, place, weight)
+    by_block = by_block.swapaxes(1, 2)
+    d_hidden[order] += (by_block @ weights[:, :HIDDEN].swapaxes(1, 2)).reshape(-1, HIDDEN)[place]
+    d_blocks, d_word = h.swapaxes(1, 2) @ by_block, np.zeros((CLASSES, HIDDEN + 1, CLASS_WORDS), np.float32)
+    ends = np.cumsum(blocks)
+    d_word[blocks > 0] = d_blocks[(ends - blocks)[blocks > 0]]
+    for c in np.flatnonzero(blocks > 1).tolist():
+        np.add.reduce(d_blocks[ends[c] - blocks[c]:ends[c]], axis=0, out=d_word[c])
+    return d_hidden, ((classes @ hidden).T, classes.sum(axis=1), d_word[:, :HIDDEN], d_word[:, HIDDEN])
+
+
+def row_sums(rows: np.ndarray, keys: np.ndarray, size: int) -> np.ndarray:
+    """The sum of the rows of each key below ``size``; keys that occur equally often are summed together."""
+    often = np.bincount(keys, minlength=size)
+    by_count = np.argsort(often.astype(np.uint16) if len(keys) < 1 << 16 else often, kind="stable")
+    rank = np.empty(size, np.uint16 if size <= 1 << 16 else np.int64)
+    rank[by_count] = np.arange(size)
+    order = np.argsort(rank[keys], kind="stable")
+    out = np.zeros((size, rows.shape[1]), rows.dtype)
+    keys_of = np.bincount(often)
+    at, key = 0, int(keys_of[0])
+    for count in (np.flatnonzero(keys_of[1:]) + 1).tolist():
+        n = int(keys_of[count])
+        alike = rows.take(order[at:at + n * count].reshape(n, count).T, axis=0)
+        out[by_count[key:key + n]] = np.add.reduce(alike, axis=0)
+        at, key = at + n * count, key + n
+    return out
 
 
 def backward(p: Parameters, w: Window, inputs: np.ndarray, begins: np.ndarray, d_after: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Gradients of ``input`` and ``state`` from those of the states; they stop at the window's first step."""
     steps, streams = inputs.shape
-    # what a state's gradient is multiplied by on its way to each part
+    # first what a state's gradient is multiplied by on its way to each part, then their gradients
+    d_u = np.empty((steps, 3, HIDDEN, streams), np.float32)
+    to_update, to_reset, to_pulled = d_u.swapaxes(0, 1)
     shut = 1 - w.update
     to_candidate = shut * (1 - w.candidate * w.candidate)
-    to_update = (w.before - w.candidate) * w.update * shut
-    to_reset = to_candidate * w.pulled * w.reset * (1 - w.reset)
-    to_pulled = to_candidate * w.reset
-    factors = np.concatenate((to_update, to_reset, to_pulled), axis=2).reshape(steps, streams, 3, HIDDEN)
-    d_u = np.empty((steps, streams, 3, HIDDEN), np.float32)
-    d_all = d_after.copy()
-    turned = np.ascontiguousarray(p.state.T)
+    np.multiply(to_candidate, w.reset, to_pulled)
+    np.multiply(w.pulled - w.pulled * w.reset, to_candidate, to_reset)
+    shut *= w.update
+    np.multiply(w.before - w.candidate, shut, to_update)
+    d_all, joined = _turned(d_after), d_u.reshape(steps, 3 * HIDDEN, streams)
     starting = begins.any(axis=1).tolist()
-    carried, own = np.zeros((2, streams, HIDDEN), np.float32)
-    for t in range(steps - 1, -1, -1):
-        d = d_all[t]
-        d += carried
-        np.multiply(factors[t], d[:, None, :], out=d_u[t])
-        np.matmul(d_u[t].reshape(streams, 3 * HIDDEN), turned, out=carried)
-        carried += np.multiply(d, w.update[t], out=own)
+    carried, own = np.zeros((2, HIDDEN, streams), np.float32)
+    add, multiply = np.add, np.multiply
+    for t, d, update, parts, flat in reversed(list(zip(range(steps), d_all, w.update, d_u, joined))):
+        add(d, carried, d)
+        multiply(parts, d, parts)
+        np.dot(p.state, flat, carried)
+        multiply(d, update, own)
+        add(carried, own, carried)
         if starting[t]:
-            carried[begins[t]] = 0
-    d_state = w.before.reshape(-1, HIDDEN).T @ d_u.reshape(-1, 3 * HIDDEN)
-    d_u[:, :, 2] = d_all * to_candidate  # what the input adds to the candidate does not pass the reset gate
-    d_input = np.zeros_like(p.input)
-    order = np.argsort(inputs.ravel(), kind="stable")
-    word, first = np.unique(inputs.ravel()[order], return_index=True)
-    d_input[word] = np.add.reduceat(d_u.reshape(-1, 3 * HIDDEN)[order], first, axis=0)
-    return d_input, d_state
+            carried[:, begins[t]] = 0
+    rows = _turned(joined).reshape(-1, 3 * HIDDEN)
+    d_state = _turned(w.before).reshape(-1, HIDDEN).T @ rows
+    d_all *= to_candidate  # what the input adds to the candidate does not pass the reset gate
+    rows.reshape(steps, streams, 3, HIDDEN)[:, :, 2] = d_all.swapaxes(1, 2)
+    return row_sums(rows, inputs.ravel(), len(p.input)), d_state
 
 
 @dataclass
@@ -300,6 +355,7 @@ class Learner:
         self.p, self.rate = p, rate
         self.means = [np.zeros_like(a) for a in p.arrays()]
         self.squares = [np.zeros_like(a) for a in p.arrays()]
+        self.changes = [np.empty_like(a) for a in p.arrays()]  # room for each step's
         self.steps = self.learned = 0
 
     def learn(self, packed: Streams) -> None:
@@ -311,27 +367,29 @@ class Learner:
             self._step(run, inputs, begins, packed.targets[part], packed.document[part] >= 0)
 
     def _step(self, run: Window, inputs: np.ndarray, begins: np.ndarray, targets: np.ndarray, valid: np.ndarray) -> None:
-        there = np.flatnonzero(valid.ravel())
-        d_hidden, softmax = output_gradients(self.p, run.after.reshape(-1, HIDDEN)[there], targets.ravel()[there])
-        d_after = np.zeros((valid.size, HIDDEN), np.float32)
-        d_after[there] = d_hidden
+        learned, hidden, targets = int(np.count_nonzero(valid)), run.after.reshape(-1, HIDDEN), targets.ravel()
+        tenth = np.float32(0.1 / max(1, learned))  # of the mean gradient; its square is a hundredth of that gradient's
+        if learned == valid.size:
+            d_after, softmax = output_gradients(self.p, hidden, targets, tenth)
+        else:
+            there = np.flatnonzero(valid.ravel())
+            d_after = np.zeros((valid.size, HIDDEN), np.float32)
+            d_after[there], softmax = output_gradients(self.p, hidden[there], targets[there], tenth)
         d_input, d_state = backward(self.p, run, inputs, begins, d_after.reshape(*valid.shape, HIDDEN))
-        scale = np.float32(1 / max(1, len(there)))
+        words = np.flatnonzero(np.bincount(inputs.ravel()))  # all other rows have no gradient
         self.steps += 1
         rate = np.float32(self.rate * np.sqrt(1 - 0.99 ** self.steps) / (1 - 0.9 ** self.steps))
-        for a, m, s, d in zip(self.p.arrays(), self.means, self.squares, (d_input, d_state, *softmax)):
-            # in place: the gradients' own memory holds what comes between
-            d *= scale
-            change = d - m
-            change *= np.float32(0.1)
-            m += change
+        every = slice(None)
+        for a, m, s, change, at, d in zip(
+                self.p.arrays(), self.means, self.squares, self.changes, (words, *[every] * 5), (d_input.take(words, axis=0), d_state, *softmax)):
+            m *= np.float32(0.9)
+            m[at] += d
             d *= d
-            d -= s
-            d *= np.float32(0.01)
-            s += d
-            np.sqrt(s, out=d)
-            d += np.float32(1e-8)
-            np.multiply(m, rate, out=change)
-            change /= d
+            s *= np.float32(0.99)
+            s[at] += d
+            np.sqrt(s, change)
+            change += np.float32(1e-8)
+            np.divide(m, change, change)
+            change *= rate
             a -= change
-        self.learned += len(there)
+        self.learned += learned

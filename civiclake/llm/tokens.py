@@ -102,14 +102,20 @@ def joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return data, np.concatenate(([0], np.cumsum([len(t) + 1 for t in texts], dtype=np.int64)))
 
 
+def _translated(data: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """The entry of a table of 256 one-byte values for each byte."""
+    return np.frombuffer(data.tobytes().translate(table.tobytes()), table.dtype)
+
+
 def words_of(texts: list[bytes], separators: np.ndarray = SPACE, lower: bool = True) -> Words:
     data, begin = joined(texts)
     if lower:
-        data = LOWER[data]
-    inside = np.concatenate(([False], ~separators[data], [False]))
+        data = _translated(data, LOWER)
+    inside = np.concatenate(([False], _translated(data, ~separators), [False]))
     edge = np.flatnonzero(inside[1:] != inside[:-1])
     start, end = edge[::2], edge[1::2]
-    return Words(data, start, end, np.searchsorted(begin, start, side="right") - 1, len(texts))
+    row = np.repeat(np.arange(len(texts)), np.diff(np.searchsorted(start, begin)))
+    return Words(data, start, end, row, len(texts))
 
 
 def slices(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, list[bytes]]]:
