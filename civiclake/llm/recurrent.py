@@ -17,8 +17,6 @@ CLASSES, CLASS_WORDS = 32, 32
 WORDS = CLASSES * CLASS_WORDS
 OTHER_INPUTS = 256
 WINDOW = 32
-#: Targets whose shares are computed at a time, few enough for a core's cache.
-SCORED = 2048
 #: States of one class that are multiplied by its words at a time in learning.
 BLOCK = 16
 
@@ -160,6 +158,13 @@ def _by_class(group: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]
     return order[:ends[-1]], [(c, a, b) for c, (a, b) in enumerate(zip([0, *ends], ends)) if a < b]
 
 
+def _class_logits(p: Parameters, hidden: np.ndarray) -> np.ndarray:
+    """Class by row."""
+    logits = p.class_weight.T @ hidden.T
+    logits += p.class_bias[:, None]
+    return logits
+
+
 def _word_logits(p: Parameters, hidden: np.ndarray, group: np.ndarray, held: list[tuple[int, int, int]]) -> np.ndarray:
     """Word of the class by row, from states in the order of their classes."""
     logits = np.empty((CLASS_WORDS, len(hidden)), np.float32)
@@ -179,10 +184,7 @@ def _log_share(logits: np.ndarray, chosen: np.ndarray) -> np.ndarray:
 def log_probability(p: Parameters, hidden: np.ndarray, target: np.ndarray) -> np.ndarray:
     """Natural log-probability of each target (``WORDS``: another word)."""
     group = np.minimum(target // CLASS_WORDS, CLASSES)
-    out = np.empty(len(target), np.float32)
-    for at in range(0, len(target), SCORED):
-        part = slice(at, at + SCORED)
-        out[part] = _log_share(p.class_weight.T @ hidden[part].T + p.class_bias[:, None], group[part])
+    out = _log_share(_class_logits(p, hidden), group)
     order, held = _by_class(group)
     if len(order):
         group = group[order]
@@ -213,7 +215,7 @@ def output_gradients(
 ) -> tuple[np.ndarray, tuple[np.ndarray, ...]]:
     """Gradients of ``weight`` times the summed loss: those of the states, and those of both softmax layers."""
     group = np.minimum(target // CLASS_WORDS, CLASSES)
-    classes = _errors(p.class_weight.T @ hidden.T + p.class_bias[:, None], group, np.arange(len(target)), weight)
+    classes = _errors(_class_logits(p, hidden), group, np.arange(len(target)), weight)
     d_hidden = classes.T @ p.class_weight.T
     order, place, blocks = _blocks(group)
     owner = np.repeat(np.arange(CLASSES), blocks)

@@ -62,7 +62,9 @@ class RollingHash:
     def __init__(self, data: np.ndarray):
         total = np.empty(len(data) + 1, dtype=np.uint64)
         total[0] = 0
-        np.cumsum(_BYTE_CODE[data] * _power_table(_BASE, len(data)), out=total[1:])
+        codes = _BYTE_CODE.take(data)
+        codes *= _power_table(_BASE, len(data))
+        np.cumsum(codes, out=total[1:])
         self._total = total
         self._shift = _power_table(_BASE_INVERSE, len(data) + 1)
 
