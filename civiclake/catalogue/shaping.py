@@ -383,9 +383,15 @@ PUBLIC_WORK_HTML = """concat(
 
 
 def _work_pages(spark, d) -> DataFrame:
-    """Public-works detail pages derived from every customer, with their sections extracted."""
+    """Public-works detail pages derived from every customer, with their sections extracted.
+
+    A customer is a few bytes and its page thousands, so customers are dealt to all cores first: a file of millions of them may be one
+    task, and the adaptive planner would leave it one.
+    """
+    customers = table(spark, d, "customer")
+    tasks = max(3 * spark.sparkContext.defaultParallelism, customers.rdd.getNumPartitions())
     html = F.expr(PUBLIC_WORK_HTML.replace("{money}", "translate(format_number(valor, 2), ',.', '.,')"))
-    landed = table(spark, d, "customer").selectExpr(
+    landed = customers.repartition(tasks, "c_custkey").selectExpr(
         "c_custkey AS id", "c_mktsegment AS setor", "CAST(c_acctbal AS DECIMAL(18,2)) AS valor",
         "substr('FOP', c_nationkey % 3 + 1, 1) AS situ", "date_add(DATE '2020-01-01', CAST(c_custkey % 1000 AS INT)) AS inicio",
     ).select(

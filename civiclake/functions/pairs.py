@@ -7,13 +7,13 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import strip
+from .text import has_text
 
 
 def confidence(category: Column, value: Column) -> Column:
     """low if either is empty, high if both have visible characters, else medium."""
     empty = F.coalesce((category == "") | (value == ""), F.lit(True))
-    return F.when(empty, "low").when((strip(category) != "") & (strip(value) != ""), "high").otherwise("medium")
+    return F.when(empty, "low").when(has_text(category) & has_text(value), "high").otherwise("medium")
 
 
 def zip_pairs(categories: Column, values: Column) -> Column:

@@ -40,6 +40,36 @@ def clean_html_list(values: Column) -> Column:
     return F.filter(F.transform(values, strip_html), lambda v: v != "")
 
 
+#: Between texts and between lists of them.
+TEXT_END, LIST_END = "\x01", "\x02"
+_SPACES = "".join(f"\\x{{{ord(c):x}}}" for c in sorted(set(WHITESPACE)))
+#: Runs of whitespace other than one space; the first test passes over most characters.
+_UNEVEN_RUN = rf"[^!-~](?:(?<=\x20)(?=[{_SPACES}])|(?<=[{_SPACES}&&[^\x20]]))[{_SPACES}]*+"
+
+
+def clean_html_lists(lists: Column) -> Column:
+    """``clean_html_list`` on every list of a list.
+
+    All texts are joined and cleaned as one.  Where a text holds one of the two characters that then part them, or a list is null, each
+    text is cleaned by itself.
+    """
+    joined = F.array_join(F.transform(lists, lambda texts: F.array_join(texts, TEXT_END)), LIST_END)
+
+    def parted(all_texts: Column) -> Column:
+        bare = F.replace(F.regexp_replace(all_texts, rf"<[^>{TEXT_END}{LIST_END}]*>", ""), F.lit("\n"), F.lit(""))
+        even = F.split(F.regexp_replace(bare, _UNEVEN_RUN, " "), LIST_END, -1)
+        return F.transform(even, lambda texts: F.filter(F.transform(F.split(texts, TEXT_END, -1), lambda t: F.trim(t)), lambda v: v != ""))
+
+    def whole(all_texts: Column) -> Column:
+        # as many ends as there should be, so none of them is part of a text
+        ends = F.length(all_texts) - F.length(F.translate(all_texts, TEXT_END + LIST_END, ""))
+        due = F.aggregate(lists, F.lit(-1).cast("bigint"), lambda n, texts: n + F.when(texts.isNull(), 1 << 40).otherwise(
+            F.greatest(F.size(texts), F.lit(1))))
+        return F.when(ends == due, parted(all_texts)).otherwise(F.transform(lists, clean_html_list))
+
+    return F.get(F.transform(F.array(joined), whole), F.lit(0))
+
+
 def normal_category(c: Column) -> Column:
     """Lower-case, spaces to ``_``, everything but word characters, ``-`` and spaces dropped."""
     return F.regexp_replace(F.replace(F.lower(strip(c)), F.lit(" "), F.lit("_")), r"(?U)[^\w\s-]", "")
@@ -57,6 +87,11 @@ def fix_mojibake(c: Column) -> Column:
     return strip(F.regexp_replace(F.coalesce(redecoded, c), r"[\x00-\x08\x0B\x0C\x0E-\x1F]", ""))
 
 
+def has_text(c: Column) -> Column:
+    """Whether anything is left by ``strip``; most texts show it by their first character."""
+    return F.ascii(c).between(33, 126) | (strip(c) != "")
+
+
 def is_blank(c: Column) -> Column:
     """True for null or whitespace-only."""
     return c.isNull() | (strip(c) == "")

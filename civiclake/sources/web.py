@@ -8,12 +8,13 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.pairs import quality_of, summary, zip_pairs
-from ..functions.text import clean_html_list
+from ..functions.text import clean_html_lists
 from ..operators.normalize import explode_rows
 
 
@@ -48,9 +49,27 @@ def tag_attribute(tag: str, attribute: str, css_class: str | None = None) -> str
     return rf"(?is)<{tag}\b{_classes(css_class)}[^>]*?\s{attribute}\s*=\s*{value}"
 
 
-def opening(tag: str, css_class: str | None = None) -> str:
+class Tags(str):
+    """Pattern for tags, matched from their ``<`` and not beyond their ``>``, with the kinds of tags it selects.
+
+    A kind is a name (``/name`` for closing tags) and the classes that a tag must have.
+    """
+
+    kinds: frozenset[tuple[str, frozenset[str]]]
+
+    def __new__(cls, pattern: str, kinds) -> Tags:
+        self = super().__new__(cls, pattern)
+        self.kinds = frozenset(kinds)
+        return self
+
+    def narrows(self, other: Tags) -> bool:
+        """Whether every tag that this selects is one of ``other``, by fewer of its classes."""
+        return all(any(name == n and classes > c for n, c in other.kinds) for name, classes in self.kinds)
+
+
+def opening(tag: str, css_class: str | None = None) -> Tags:
     """Pattern for the opening tag of an element that has all the classes, in any order."""
-    return rf"(?is)<{tag}\b{_classes(css_class)}[^>]*>"
+    return Tags(rf"(?is)<{tag}\b{_classes(css_class)}[^>]*>", [(tag, frozenset((css_class or "").split()))])
 
 
 def _classes(names: str | None) -> str:
@@ -74,7 +93,7 @@ def find_all(html: Column, pattern: str | Element) -> Column:
 
 
 #: Text that holds no elements, whatever it looks like.
-_NO_ELEMENTS = r"(?is)<!--.*?(?:-->|\z)|<(script|style)\b.*?(?:</\1\s*+>|\z)"
+_NO_ELEMENTS = r"<(?is:!--.*?(?:-->|\z)|(script|style)\b.*?(?:</\1\s*+>|\z))"
 #: Levels of elements of a name inside a selected one that one pattern matches.
 SHALLOW = 4
 _OPENS, _SELECTED, _CLOSES, _EMPTY, _NOTHING = range(5)
@@ -89,12 +108,15 @@ def insides(page: Column, element: Element) -> Column:
     """The insides of all selected elements of a page of ``elements_only`` in page order, an outer one before those in it.
 
     A closing tag without opening one counts for nothing, an element that is never closed reaches to the end, a tag that closes itself
-    is empty.  One pattern matches elements of a few levels.  Where it has not matched every selected opening tag, the page is
-    matched by depth instead, with the same result for what the pattern can match.
+    is empty.  One pattern matches elements of a few levels, each with the ``<`` that closes it, and gives an empty text for selected
+    tags that it cannot match.  A page with such tags is matched by depth instead, with the same result for what the pattern can match.
     """
-    opened = F.regexp_count(page, F.lit(opening(element.tag, element.css_class)))
     return _bound(F.regexp_extract_all(page, F.lit(_shallow(element)), F.lit(1)), lambda found: F.when(
-        F.size(found) == opened, found).otherwise(_by_depth(page, element)))
+        ~F.array_contains(found, ""), F.transform(found, lambda t: F.substring(t, F.lit(1), F.length(t) - 1))).otherwise(_by_depth(page, element)))
+
+
+def _insides_of(element: Element) -> Callable[[Column], Column]:
+    return lambda page: insides(page, element)
 
 
 def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -103,12 +125,13 @@ def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
 
 
 def _shallow(element: Element) -> str:
-    tag = element.tag
-    other = rf"[^<]++|<(?!/?{tag}\b)|<{tag}\b[^>]*+(?<=/)>"
+    tag, classes = element.tag, _classes(element.css_class)
+    own = rf"<{tag}\b(?!{classes}[^>]*+>)[^>]*+"  # one that is not selected
+    other = rf"[^<]++|<(?!/?{tag}\b)|{own}(?<=/)>"
     inside = rf"(?:{other})*+"
     for _ in range(SHALLOW):
-        inside = rf"(?:{other}|<{tag}\b[^>]*+(?<!/)>{inside}</{tag}\s*+>)*+"
-    return rf"(?is)<{tag}\b{_classes(element.css_class)}[^>]*+(?<!/)>({inside})</{tag}\s*+>"
+        inside = rf"(?:{other}|{own}(?<!/)>{inside}</{tag}\s*+>)*+"
+    return rf"(?is)<{tag}\b{classes}[^>]*+>(?:(?<!/>)({inside}<)/{tag}\s*+>)?+"
 
 
 def _by_depth(page: Column, element: Element) -> Column:
@@ -181,10 +204,70 @@ def area(html: Column, scope: str | None, scope_end: str | None) -> Column:
     return F.coalesce(F.array_join(parts, "\n"), F.lit(""))
 
 
-_GROUP_END = rf"{opening('div', 'bigCard')}|(?is)<section\b"
+#: Stands before the tags where a page is cut; the most pieces that are put together again one by one, the most scopes in a mask.
+_MARK, PIECES, SCOPES = "\x01", 1000, 31
+#: A tag whose end and attributes are beyond doubt: no angle brackets, and in quotes neither other quotes nor attributes.
+_PLAIN_TAG = r"""\A<(?:[^<>"']++|"[^<>"'=]*+"|'[^<>"'=]*+')*+>"""
+
+
+def _sql(text: str) -> str:
+    """A text as an SQL constant, whatever is in it."""
+    return f"CAST(X'{text.encode().hex()}' AS STRING)"
+
 
+def areas(pages: DataFrame, html: str, scopes: dict[tuple[str | None, str | None], str]) -> DataFrame:
+    """``area`` of each scope and end as a column of the given name.
 
-def _group(name: str) -> dict[str, str]:
+    Scopes of tags are found together: the page is cut once before every tag that begins or ends one of them, each piece is graded by its
+    tag alone, and an area is put together from pieces.  That gives the same texts as long as the tags are plain; pages on which one is
+    not, and all other scopes, are searched for each scope by itself.
+    """
+    tags = [scope for scope in scopes if isinstance(scope[0], Tags) and isinstance(scope[1], Tags | None)][:SCOPES]
+    if not tags:
+        return pages.select("*", *[area(F.col(html), *scope).alias(name) for scope, name in scopes.items()])
+    bits = {scope: 1 << i for i, scope in enumerate(tags)}
+    wanted = list(dict.fromkeys(p for scope in tags for p in scope if p))
+    widest = [p for p in wanted if not any(p.narrows(q) for q in wanted)]
+    before = "(?=<)(?:" + "|".join(f"(?={p})" for p in widest) + ")"
+    pieces = F.slice(F.split(F.regexp_replace(html, before, _MARK), _MARK, -1), 2, 1 << 30)  # nothing begins in the first one
+    tagged = F.transform(pieces, lambda p: F.struct(p.alias("text"), F.regexp_extract(p, _PLAIN_TAG, 0).alias("tag")))
+    plain = ~F.contains(F.col(html), F.lit(_MARK)) & (F.size("_tagged") <= PIECES) & F.forall("_tagged", lambda p: p["tag"] != "")
+
+    def graded(side: int) -> str:
+        """Mask of the scopes that a tag begins (0) or ends (1)."""
+        masks = {p: sum(bit for scope, bit in bits.items() if scope[side] == p) for p in wanted}
+        return " | ".join(f"IF(({_may_be(p)}) AND p.tag RLIKE {_sql(rf'\A(?:{p})')}, {mask}L, 0L)" for p, mask in masks.items() if mask) or "0L"
+
+    kinds = F.expr(f"""transform(transform(_tagged, p -> struct(p.text AS text, p.tag AS tag, lower(p.tag) AS low)), p -> struct(
+      p.text AS text, substring(p.text, length(p.tag) + 1) AS rest, {graded(0)} AS begins, {graded(1)} AS ends))""")
+    opened = F.expr("""aggregate(_graded, struct(0L AS open, CAST(array() AS array<struct<text: string, rest: string, begins: bigint, open: bigint>>) AS pieces),
+      (a, p) -> struct(a.open & ~p.ends | p.begins AS open, array_append(
+        a.pieces, struct(p.text AS text, p.rest AS rest, p.begins AS begins, a.open & ~p.ends | p.begins AS open)) AS pieces)).pieces""")
+    layer = pages.select("*", tagged.alias("_tagged")).select("*", kinds.alias("_graded"), plain.alias("_plain"))
+    layer = layer.select("*", F.when(F.col("_plain"), opened).alias("_pieces"))
+
+    def found(scope: tuple[str | None, str | None]) -> Column:
+        if scope not in bits:
+            return area(F.col(html), *scope)
+        together = F.expr(f"""array_join(transform(filter(_pieces, p -> p.open & {bits[scope]}L <> 0), (p, i) -> IF(
+          p.begins & {bits[scope]}L = 0, p.text, IF(i = 0, p.rest, concat(char(10), p.rest)))), '')""")
+        return F.when(F.col("_plain"), together).otherwise(area(F.col(html), *scope))
+
+    return layer.select(*pages.columns, *[found(scope).alias(name) for scope, name in scopes.items()])
+
+
+def _may_be(tags: Tags) -> str:
+    """SQL test on a tag in lower case that holds for all that the pattern matches."""
+    return " OR ".join(" AND ".join(f"contains(p.low, {_sql(text.lower())})" for text in (f"<{name}", *sorted(classes)) if text.isascii()) or "true"
+                       for name, classes in sorted(tags.kinds, key=str))
+
+
+_SECTION = Tags(r"(?is)<section\b", [("section", frozenset())])
+_BIG_CARD = opening("div", "bigCard")
+_GROUP_END = Tags(f"{_BIG_CARD}|{_SECTION}", _BIG_CARD.kinds | _SECTION.kinds)
+
+
+def _group(name: str) -> dict[str, Tags]:
     return {"scope": opening("div", f"bigCard {name}"), "scope_end": _GROUP_END}
 
 
@@ -194,7 +277,7 @@ def _card(group: str) -> Section:
 
 _ATTACHMENTS = {
     "scope": opening("section", "allDocuments"),
-    "scope_end": r"(?i)</section\s*>",
+    "scope_end": Tags(r"(?i)</section\s*>", [("/section", frozenset())]),
 }
 
 # Section layout of a public-works detail page (class names are fixed values).
@@ -234,17 +317,22 @@ DETAIL = ("struct<method: string, categories_found: int, values_found: int, mapp
           "values: struct<status: string, score: decimal(5,2), complete: boolean>, error: string>")
 
 
-def _details(name: str, section: Section, i: int, require_values: bool) -> Column:
+def _at(lists: str, i: int) -> Column:
+    return F.get(F.col(lists), F.lit(i))
+
+
+def _details(name: str, section: Section, lists: tuple[int, int | None], require_values: bool) -> Column:
     nothing = F.lit(None)
     if not section.usable:
         found = [F.lit("failed"), *[nothing] * 5, F.lit(f"Erro na seção {name}: sem seletor de valores")]
     else:
-        values, labels = F.size(f"_v{i}"), F.size(f"_c{i}") if section.categories else nothing
+        v, c = lists
+        values, labels = F.size(_at("_lists", v)), F.size(_at("_lists", c)) if section.categories else nothing
         mapped = F.least(values, labels) if section.categories else nothing
         lost = F.when(values == 0, F.lit(f"Erro na seção {name}: nenhum valor na página")) if require_values else nothing
         method = F.lit("paired_data" if section.categories else "list")
         found = [F.when(lost.isNull(), method).otherwise("failed"), labels, values, mapped,
-                 quality_of(F.col(f"_n_c{i}"), labels) if section.categories else nothing, quality_of(F.col(f"_n_v{i}"), values), lost]
+                 quality_of(_at("_found", c), labels) if section.categories else nothing, quality_of(_at("_found", v), values), lost]
     names = ("method", "categories_found", "values_found", "mapped", "categories", "values", "error")
     return F.struct(*[c.alias(n) for c, n in zip(found, names)]).cast(DETAIL)
 
@@ -262,43 +350,46 @@ def extract_sections(pages: DataFrame, url: str, html: str, sections: dict[str,
 
     The work is laid out in layers (areas, raw matches, cleaned lists, pairs).  Each
     layer is used more than once by the next, so it stays a projection of its own and
-    every pattern runs once per page.
+    every pattern runs once per page and area, however many sections share it.
     """
     total, every = len(sections), sections
     sections = {name: s for name, s in sections.items() if s.usable}
-    areas: dict[tuple, str] = {}
-    for section in sections.values():
-        for scope in section.scopes():
-            areas.setdefault(scope, f"_area{len(areas)}")
-    layer = pages.select(
-        F.col(url).alias("source_url"),
-        *[area(F.col(html), *scope).alias(name) for scope, name in areas.items()],
-    )
-    wanted = {areas[scope] for s in sections.values() for pattern, scope in zip((s.values, s.categories), s.scopes()) if isinstance(pattern, Element)}
-    layer = layer.select("*", *[elements_only(F.col(name)).alias(f"{name}_only") for name in sorted(wanted)])
-    raw, cleaned = [], []
-    for i, section in enumerate(sections.values()):
-        for kind, pattern, scope in zip("vc", (section.values, section.categories), section.scopes()):
-            if pattern:
-                at = areas[scope]
-                found = insides(F.col(f"{at}_only"), pattern) if isinstance(pattern, Element) else find_all(F.col(at), pattern)
-                raw.append(found.alias(f"_{kind}{i}"))
-                cleaned.append(clean_html_list(F.col(f"_{kind}{i}")).alias(f"_{kind}{i}"))
+    scopes: dict[tuple, str] = {}
+    elements: dict[Element, list[str]] = {}  # the areas where each is looked for
+    others: dict[str, list[str]] = {}
+
+    def sides(section: Section) -> list[tuple[str | Element | None, str]]:
+        return [(pattern, scopes.setdefault(scope, f"_area{len(scopes)}")) for pattern, scope in zip((section.values, section.categories), section.scopes())]
+
+    for pattern, at in [side for s in sections.values() for side in sides(s) if side[0]]:
+        sought = (elements if isinstance(pattern, Element) else others).setdefault(pattern, [])
+        if at not in sought:
+            sought.append(at)
+    lists = [(pattern, at) for sought in (elements, others) for pattern, found in sought.items() for at in found]
+    place = {name: [lists.index(side) if side[0] else None for side in sides(s)] for name, s in sections.items()}
+
+    layer = areas(pages.select(F.col(url).alias("source_url"), F.col(html).alias("_html")), "_html", scopes)
+    raw = [F.array(*[find_all(F.col(at), pattern) for pattern, at in lists if pattern in others])] if others or not lists else []
+    if elements:
+        bare = list(dict.fromkeys(at for found in elements.values() for at in found))
+        layer = layer.select("*", F.transform(F.array(*bare), elements_only).alias("_bare"))
+        raw = [F.transform(F.array(*[_at("_bare", bare.index(at)) for at in found]), _insides_of(element))
+               for element, found in elements.items()] + raw
+    layer = layer.select("source_url", F.concat(*raw).cast("array<array<string>>").alias("_lists"))
     if require_values:
-        ok = sum((F.when(F.size(f"_v{i}") > 0, 1).otherwise(0) for i in range(len(sections))), F.lit(0))
+        ok = sum((F.when(F.size(_at("_lists", place[name][0])) > 0, 1).otherwise(0) for name in sections), F.lit(0))
     else:
         ok = F.lit(len(sections))
-    layer = layer.select("source_url", *raw)
-    sizes = [F.size(f"_{kind}{i}").alias(f"_n_{kind}{i}") for i, s in enumerate(sections.values())
-             for kind, pattern in zip("vc", (s.values, s.categories)) if pattern] if details else []
-    layer = layer.select("source_url", *cleaned, *sizes, ok.alias("_ok"))
-    columns = [
-        (zip_pairs(F.col(f"_c{i}"), F.col(f"_v{i}")) if section.categories else F.col(f"_v{i}")).alias(name)
-        for i, (name, section) in enumerate(sections.items())
-    ]
+    sizes = [F.transform("_lists", F.size).alias("_found")] if details else []
+    layer = layer.select("source_url", clean_html_lists(F.col("_lists")).alias("_lists"), *sizes, ok.alias("_ok"))
+    paired = [name for name, s in sections.items() if s.categories]
+    both = [F.struct(*[_at("_lists", i).alias(side) for i, side in zip(place[name], "vc")]) for name in paired]
+    pairs = [F.transform(F.array(*both), lambda p: zip_pairs(p["c"], p["v"])).alias("_pairs")] if paired else []
+    layer = layer.select("*", *pairs)
+    columns = [(_at("_pairs", paired.index(name)) if section.categories else _at("_lists", place[name][0])).alias(name)
+               for name, section in sections.items()]
     if details:
-        place = {name: i for i, name in enumerate(sections)}
-        known = [x for name, s in every.items() for x in (F.lit(name), _details(name, s, place.get(name, -1), require_values))]
+        known = [x for name, s in every.items() for x in (F.lit(name), _details(name, s, place.get(name, ()), require_values))]
         columns.append(F.create_map(*known).alias("section_details"))
     return layer.select(
         "source_url", *columns, summary(F.lit(total), F.col("_ok")).alias("extraction_summary")
